@@ -98,11 +98,13 @@ _ORDERS = """
 WITH log AS (
   SELECT l_orderkey AS k, (l_shipdate, l_linenumber, l_partkey) AS seq, l_linestatus AS s, l_extendedprice AS p,
          l_shipdate AS d,
-         CASE WHEN l_returnflag = 'R' AND l_quantity >= 40 THEN 'D' WHEN l_quantity <= 10 THEN 'I' ELSE 'U' END AS action
+         CASE WHEN l_returnflag = 'R' AND l_quantity >= 40 THEN 'D'
+              WHEN l_quantity <= 10 THEN 'I' ELSE 'U' END AS action
   FROM lineitem
 ),
 timeline AS (
-  SELECT o_orderkey AS k, NULL AS seq, 'B' AS action, o_orderstatus AS s, o_totalprice AS p, o_orderdate AS d FROM orders
+  SELECT o_orderkey AS k, NULL AS seq, 'B' AS action, o_orderstatus AS s, o_totalprice AS p, o_orderdate AS d
+  FROM orders
   UNION ALL
   SELECT k, seq, action, s, p, d FROM log
 ),

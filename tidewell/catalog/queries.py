@@ -15,7 +15,7 @@ from tidewell.operators.joins import denormalize
 from tidewell.plans import features
 from tidewell.plans.replay_files import replay_files
 from tidewell.plans.synced_table import SyncedTable
-from tidewell.session import settle, workspace
+from tidewell.session import reusable, settle, workspace
 from tidewell.sources import files, sinks
 from tidewell.streaming.sync import sync_stream
 
@@ -173,7 +173,7 @@ def users_by_city(spark, sf_dir):
 
 @query
 def city_features(spark, sf_dir):
-    return features.city_features(_replayed(spark, sf_dir), inputs.dimension(spark, sf_dir), AS_OF)
+    return features.city_features(reusable(_replayed(spark, sf_dir), "state"), inputs.dimension(spark, sf_dir), AS_OF)
 
 
 @query
@@ -203,7 +203,7 @@ def features_sorted(spark, sf_dir):
 
 @query
 def features_top10(spark, sf_dir):
-    return features.first_features(_replayed(spark, sf_dir), inputs.dimension(spark, sf_dir), AS_OF)
+    return features.first_features(reusable(_replayed(spark, sf_dir), "state"), inputs.dimension(spark, sf_dir), AS_OF)
 
 
 @query
@@ -277,5 +277,6 @@ def stream_late_repair(spark, sf_dir):
     landing = _stream_in_two_runs(
         spark, table, log.filter(~one_day), log.filter(one_day), after_batch=SyncedTable.compact
     )
-    table.load(changes.replay(table.state(0), files.settle_changes(files.read_changes(spark, landing, key_type=KEY_TYPE))))
+    log = files.settle_changes(files.read_changes(spark, landing, key_type=KEY_TYPE))
+    table.load(changes.replay(table.state(0), log))
     return table.state()

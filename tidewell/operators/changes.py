@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.joins import HotKeys, join_unique, known_size
+from tidewell.operators.joins import HotKeys, join_unique, known_size, pick_hot
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
@@ -73,9 +73,11 @@ def net_changes(
     )
 
 
-def _settled(rows: DataFrame, net: DataFrame, keys: list[str], columns: list[str], hot: HotKeys | None) -> DataFrame:
+def _net_applied(
+    rows: DataFrame, net: DataFrame, keys: list[str], columns: list[str], hot: HotKeys | None
+) -> DataFrame:
     """Drop and overwrite ``rows`` by the net changes. Rows without ``_born`` are base rows."""
-    joined = join_unique(rows, net, keys, hot=hot)
+    joined = join_unique(rows, net, keys, hot=pick_hot(rows, net, keys) if hot is None else hot)
     if "_born" in rows.columns:
         survives = F.coalesce(F.col("_born") > F.col("_deleted_at"), F.lit(True))
         updated = F.coalesce(F.col("_update.at") > F.col("_born"), F.lit(False))
@@ -103,17 +105,17 @@ def replay(
     """
     keys = _names(key)
     columns = [name for name in base.columns if name not in keys]
-    net = known_size(net_changes(log, columns, key=keys, seq=seq, action=action), base)
     inserted = (
         valid_changes(log, key=keys, action=action)
         .filter(F.col(action) == INSERT)
         .select(*keys, *columns, F.col(seq).alias("_born"))
     )
+    net = known_size(net_changes(log, columns, key=keys, seq=seq, action=action), base, inserted)
     # Two joins rather than one over the union: base rows need no birth, and inserts, which come with
     # the log, do not change how the base is joined. Both read the same exchange of the net changes.
     return (
-        _settled(base, net, keys, columns, hot)
-        .unionByName(_settled(inserted, net, keys, columns, hot))
+        _net_applied(base, net, keys, columns, hot)
+        .unionByName(_net_applied(inserted, net, keys, columns, hot))
         .select(*base.columns)
     )
 

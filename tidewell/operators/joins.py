@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.session import broadcast_limit, estimated_bytes, settle, split_floor
+from tidewell.session import broadcast_limit, estimated_bytes, input_bytes, is_large, settle
 
 HOT_LIMIT = 64  # at most this many lookup rows are broadcast for hot keys
 HOT_FLOOR = 100  # sampled rows a key must have to be called hot
@@ -27,17 +27,23 @@ SAMPLE_BYTES = 1 << 30  # about this much of the rows is sampled
 HotKeys = Sequence[tuple]
 
 
-def known_size(lookup: DataFrame, rows: DataFrame) -> DataFrame:
-    """Settle ``lookup`` if its guessed size forbids a broadcast and ``rows`` are worth the write."""
-    spark = rows.sparkSession
-    if estimated_bytes(lookup) <= broadcast_limit(spark) or estimated_bytes(rows) < split_floor(spark):
-        return lookup
-    return settle(lookup, "lookup")
+def _is_shuffled(lookup: DataFrame) -> bool:
+    return estimated_bytes(lookup) > broadcast_limit(lookup.sparkSession)
+
+
+def known_size(lookup: DataFrame, *rows: DataFrame) -> DataFrame:
+    """Settle ``lookup`` if its guessed size forbids a broadcast and some ``rows`` are worth the write."""
+    return settle(lookup, "lookup") if _is_shuffled(lookup) and any(map(is_large, rows)) else lookup
+
+
+def pick_hot(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> HotKeys:
+    """Hot keys of ``rows``, if a join with ``lookup`` would have to shuffle many of them."""
+    return hot_keys(rows, on) if _is_shuffled(lookup) and is_large(rows) else ()
 
 
 def hot_keys(rows: DataFrame, on: Sequence[str]) -> HotKeys:
     """The heaviest keys in a sample of ``rows``, at most HOT_LIMIT of them."""
-    fraction = min(1.0, max(SAMPLE_BYTES / max(estimated_bytes(rows), 1), 1e-6))
+    fraction = min(1.0, max(SAMPLE_BYTES / max(input_bytes(rows), 1), 1e-6))
     heavy = (
         rows.select(*on)
         .sample(fraction=fraction, seed=7)
@@ -82,10 +88,8 @@ def join_unique(
     ``hot`` names the keys to keep out of the shuffle; by default they are looked for when needed.
     """
     if hot is None:
-        spark = rows.sparkSession
         lookup = known_size(lookup, rows)
-        large = estimated_bytes(lookup) > broadcast_limit(spark)
-        hot = hot_keys(rows, on) if large and estimated_bytes(rows) >= split_floor(spark) else ()
+        hot = pick_hot(rows, lookup, on)
     if not hot:
         return _left_join(rows, lookup, on, null_safe)
 

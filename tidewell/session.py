@@ -10,7 +10,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Below this estimated input size a skewed key cannot hurt, so no extra job is spent on it.
+# Below this input size a hot key or a repeated computation cannot hurt, so no extra job is spent on it.
 SPLIT_FLOOR_CONF = "spark.tidewell.splitFloorBytes"
 SPLIT_FLOOR_DEFAULT = 1 << 30
 
@@ -61,9 +61,22 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables and files that ``df`` reads; unlike an estimate, joins do not inflate it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
-def split_floor(spark: SparkSession) -> int:
-    return int(spark.conf.get(SPLIT_FLOOR_CONF, str(SPLIT_FLOOR_DEFAULT)))
+def is_large(df: DataFrame) -> bool:
+    """Whether the input of ``df`` is worth an extra job that saves a shuffle or a hot task."""
+    floor = int(df.sparkSession.conf.get(SPLIT_FLOOR_CONF, str(SPLIT_FLOOR_DEFAULT)))
+    return input_bytes(df) >= floor
+
+
+def reusable(df: DataFrame, label: str) -> DataFrame:
+    """For a result that is read several times: written first if it takes much to compute."""
+    return settle(df, label) if is_large(df) else df
