@@ -1,4 +1,5 @@
-"""Writers. Parquet is the default for the synced table; these give the plain CSV form."""
+"""Writers of the plain CSV form. The synced table itself is Parquet, which also keeps empty texts
+apart from NULL; CSV does not."""
 
 from __future__ import annotations
 
