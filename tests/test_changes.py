@@ -132,3 +132,15 @@ def test_net_changes_are_exchanged_once(spark, tmp_path):
     result = replay(base_frame(spark, [user(1, "a")]), spark.read.parquet(str(tmp_path / "log")))
     final = executed_plan(result).split("== Initial Plan ==")[0]
     assert re.search("Reused(Exchange|.*Exchange)", final)
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    spark.range(1000).selectExpr(
+        "id AS seq", "'U' AS action", "CAST(id % 50 AS INT) AS user_id", "'n' AS name", "'c' AS city",
+        "DATE'2021-01-01' AS last_login", "'unused' AS more",
+    ).write.parquet(str(tmp_path / "log"))
+    result = replay(base_frame(spark, [user(1, "a")]), spark.read.parquet(str(tmp_path / "log")))
+    plan = result._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(action, [D,U]), IsNotNull(user_id)]" in plan
+    assert "PushedFilters: [IsNotNull(action), EqualTo(action,I), IsNotNull(user_id)]" in plan
+    assert "more:string" not in plan.split("== Physical Plan ==")[1]

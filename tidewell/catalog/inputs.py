@@ -12,25 +12,46 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.functions import DELIVERY
 from tidewell.session import workspace
 
 AS_OF = dt.date(2001, 8, 1)
 KEY_TYPE = "BIGINT"
 
-_USERS = """
-SELECT c_custkey AS user_id, c_name AS name, n_name AS city, last_login
-FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
-LEFT JOIN (SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS last_login FROM {orders} GROUP BY o_custkey) o
-  ON o_custkey = c_custkey
-"""
+# The columns in use; a given layout saves Spark a job that reads the footers.
+TABLES = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ",
+    "region": "r_regionkey INT, r_name STRING",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_USERS, **{name: table(spark, sf_dir, name) for name in ("customer", "nation", "orders")})
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    last_order = (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey")
+        .agg(F.max(F.col("o_orderdate").cast("date")).alias("last_login"))
+    )
+    return (
+        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+        .join(last_order, F.col("c_custkey") == F.col("o_custkey"), "left")
+        .select(
+            F.col("c_custkey").alias("user_id"),
+            F.col("c_name").alias("name"),
+            F.col("n_name").alias("city"),
+            "last_login",
+        )
+    )
 
 
 def users_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,14 +73,16 @@ ALIASES = {"NATION_3-Metro": "NATION_3"}
 def delivered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log, with the name of the day's delivery that brings each change."""
     kind, value = F.col("event_type"), F.col("value")
-    k = F.get_json_object("props", "$.k").cast("int")
+    # A column of its own, so that the text is parsed once per row.
+    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     action = (
         F.when((kind == "error") & (value >= 150), "D")
         .when((kind == "signup") & (value >= 100), "I")
         .when(kind.isin("click", "purchase") & (value >= 50), "U")
         .otherwise(F.upper(kind))
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("seq"),
         action.alias("action"),
         F.when(k != 99, F.col("user_id") * 11).alias("user_id"),
@@ -95,7 +118,7 @@ def deliver(rows: DataFrame, landing: str, order: str) -> None:
         .sortWithinPartitions("delivery", order)
         .select(*columns)
         .write.mode("append")
-        .partitionBy("delivery")
+        .partitionBy(DELIVERY)
         .csv(landing)
     )
 

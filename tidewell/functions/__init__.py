@@ -21,14 +21,26 @@ def is_recent(day: Column, as_of: dt.date, days: int = 90) -> Column:
     return F.coalesce(day >= F.lit(as_of - dt.timedelta(days=days)), F.lit(False))
 
 
+# Deliveries of many files are written by Spark as folders "delivery=<name>".
+DELIVERY = "delivery"
+
+
+def _in_delivery(path: Column) -> Column:
+    return F.substring_index(path, "/", -2).startswith(f"{DELIVERY}=")
+
+
 def file_key(path: Column) -> Column:
-    """File name, with the ``name=value`` folders just above it if there are any."""
-    return F.regexp_extract(path, r"((?:[^/=]+=[^/]+/)*[^/]+)$", 1)
+    """What files are ordered by: the file name, within its delivery folder if it has one.
+
+    Evaluated for every row, hence no regular expressions.
+    """
+    return F.when(_in_delivery(path), F.substring_index(path, "/", -2)).otherwise(F.substring_index(path, "/", -1))
 
 
 def drop_name(path: Column) -> Column:
-    """The name a file was delivered under: its ``name=value`` folder's value, else its own name."""
-    return F.regexp_extract(file_key(path), r"^(?:[^/=]+=)?([^/]+)", 1)
+    """The name a file was delivered under: that of its delivery folder, else its own."""
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(_in_delivery(path), F.substring_index(folder, "=", -1)).otherwise(F.substring_index(path, "/", -1))
 
 
 def is_snapshot_name(name: Column, marker: str = "LOAD") -> Column:

@@ -16,6 +16,7 @@ combined map-side, and one join. ``seq`` may have any orderable type and must be
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,24 +30,24 @@ def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _known_action(action: str) -> Column:
-    return F.coalesce(F.col(action).isin(INSERT, UPDATE, DELETE), F.lit(False))
-
-
 def _has_key(keys: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for name in keys:
-        present = present & F.col(name).isNotNull()
-    return present
+    return reduce(Column.__and__, (F.col(name).isNotNull() for name in keys))
 
 
-def valid_changes(log: DataFrame, *, key: str | Sequence[str] = "user_id", action: str = "action") -> DataFrame:
-    return log.filter(_known_action(action) & _has_key(_names(key)))
+def valid_changes(
+    log: DataFrame,
+    *codes: str,
+    key: str | Sequence[str] = "user_id",
+    action: str = "action",
+) -> DataFrame:
+    """Changes that replay applies, or only those with the given codes. The filter reaches the scan."""
+    return log.filter(F.col(action).isin(*(codes or (INSERT, UPDATE, DELETE))) & _has_key(_names(key)))
 
 
 def rejects(log: DataFrame, *, key: str | Sequence[str] = "user_id", action: str = "action") -> DataFrame:
     """Changes that replay ignores, with the reason."""
-    known, keyed = _known_action(action), _has_key(_names(key))
+    known = F.coalesce(F.col(action).isin(INSERT, UPDATE, DELETE), F.lit(False))
+    keyed = _has_key(_names(key))
     reason = F.when(~known, F.lit("unknown action")).otherwise(F.lit("null key"))
     return log.filter(~(known & keyed)).withColumn("reason", reason)
 
@@ -63,8 +64,7 @@ def net_changes(
     code = F.col(action)
     image = F.struct(F.col(seq).alias("at"), *columns)
     return (
-        valid_changes(log, key=key, action=action)
-        .filter(code != INSERT)
+        valid_changes(log, UPDATE, DELETE, key=key, action=action)
         .groupBy(*_names(key))
         .agg(
             F.max(F.when(code == DELETE, F.col(seq))).alias("_deleted_at"),
@@ -105,11 +105,7 @@ def replay(
     """
     keys = _names(key)
     columns = [name for name in base.columns if name not in keys]
-    inserted = (
-        valid_changes(log, key=keys, action=action)
-        .filter(F.col(action) == INSERT)
-        .select(*keys, *columns, F.col(seq).alias("_born"))
-    )
+    inserted = valid_changes(log, INSERT, key=keys, action=action).select(*keys, *columns, F.col(seq).alias("_born"))
     net = known_size(net_changes(log, columns, key=keys, seq=seq, action=action), base, inserted)
     # Two joins rather than one over the union: base rows need no birth, and inserts, which come with
     # the log, do not change how the base is joined. Both read the same exchange of the net changes.

@@ -33,12 +33,12 @@ def _is_shuffled(lookup: DataFrame) -> bool:
 
 def known_size(lookup: DataFrame, *rows: DataFrame) -> DataFrame:
     """Settle ``lookup`` if its guessed size forbids a broadcast and some ``rows`` are worth the write."""
-    return settle(lookup, "lookup") if _is_shuffled(lookup) and any(map(is_large, rows)) else lookup
+    return settle(lookup, "lookup") if any(map(is_large, rows)) and _is_shuffled(lookup) else lookup
 
 
 def pick_hot(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> HotKeys:
     """Hot keys of ``rows``, if a join with ``lookup`` would have to shuffle many of them."""
-    return hot_keys(rows, on) if _is_shuffled(lookup) and is_large(rows) else ()
+    return hot_keys(rows, on) if is_large(rows) and _is_shuffled(lookup) else ()
 
 
 def hot_keys(rows: DataFrame, on: Sequence[str]) -> HotKeys:

@@ -69,9 +69,10 @@ class SyncedTable:
         )
         row.write.mode("errorifexists").json(f"{self.root}/manifest/version={version}")
 
-    def has_batch(self, stream: str, batch_id: int) -> bool:
-        done = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
-        return not self.history().filter(done).isEmpty()
+    def _committed(self, stream: str, batch_id: int) -> int | None:
+        """Version that has the stream's batch."""
+        same = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
+        return self.history().filter(same).agg(F.max("version")).first()[0]
 
     # Changes of the table
 
@@ -85,9 +86,11 @@ class SyncedTable:
 
     def append(self, changes: DataFrame, *, stream: str | None = None, batch_id: int | None = None) -> int:
         """Add changes, as given by ``read_changes``. A batch that is there already is not added again."""
+        if stream is not None:
+            committed = self._committed(stream, batch_id)
+            if committed is not None:
+                return committed
         current = self._require_current()
-        if stream is not None and self.has_batch(stream, batch_id):
-            return current.version
         version = current.version + 1
         if current.mark is not None:
             is_late = F.col("seq.file") <= current.mark

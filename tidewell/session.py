@@ -10,7 +10,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Below this input size a hot key or a repeated computation cannot hurt, so no extra job is spent on it.
+# Below this input size a hot key cannot hurt, so no extra job is spent on it.
 SPLIT_FLOOR_CONF = "spark.tidewell.splitFloorBytes"
 SPLIT_FLOOR_DEFAULT = 1 << 30
 
@@ -75,8 +75,3 @@ def is_large(df: DataFrame) -> bool:
     """Whether the input of ``df`` is worth an extra job that saves a shuffle or a hot task."""
     floor = int(df.sparkSession.conf.get(SPLIT_FLOOR_CONF, str(SPLIT_FLOOR_DEFAULT)))
     return input_bytes(df) >= floor
-
-
-def reusable(df: DataFrame, label: str) -> DataFrame:
-    """For a result that is read several times: written first if it takes much to compute."""
-    return settle(df, label) if is_large(df) else df

@@ -1,8 +1,8 @@
 """Landing folder: snapshot files (``LOAD<number>``) and change files (named by their time).
 
 Files are headerless CSV, read with a fixed layout; an unreadable number or date becomes NULL. A file
-may lie in the folder itself or in ``name=value`` folders written by Spark; its delivery name is then
-the folder's value, which lets one delivery have many parts.
+may lie in the folder itself or, as one of many parts, in a folder ``delivery=<name>`` as Spark writes
+it; the part files are then taken in the order of their names.
 """
 
 from __future__ import annotations
