@@ -9,7 +9,7 @@ from tests.rows import executed_plan
 from tidewell import city_features, replay
 from tidewell.operators.joins import HOT_LIMIT, hot_keys, join_unique
 from tidewell.plans.features import city_stats, normalize_city
-from tidewell.session import SPLIT_FLOOR_CONF, workspace
+from tidewell.session import BROADCAST_CONF, SPLIT_FLOOR_CONF, workspace
 
 N = 30_000
 
@@ -19,6 +19,7 @@ def at_scale(spark):
     """Treat the small test tables as too large to broadcast or to leave alone."""
     settings = {
         SPLIT_FLOOR_CONF: "0",
+        BROADCAST_CONF: "0",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
@@ -90,3 +91,14 @@ def test_too_many_hot_keys_are_refused(tables):
     lookup = log.groupBy("user_id").agg(F.max("seq").alias("last"))
     with pytest.raises(ValueError, match="at most"):
         join_unique(base, lookup, ["user_id"], hot=[(i,) for i in range(HOT_LIMIT + 1)])
+
+
+def test_a_written_lookup_of_known_size_is_broadcast(spark, tables, at_scale):
+    """Up to the limit for written lookups, large rows are not shuffled at all."""
+    base, log = tables
+    expected = checksum(replay(base, log))
+    spark.conf.set(BROADCAST_CONF, str(64 << 20))
+    result = replay(base, log)
+    assert checksum(result) == expected
+    plan = executed_plan(result)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan

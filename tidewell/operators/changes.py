@@ -21,7 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.joins import HotKeys, join_unique, known_size, pick_hot
+from tidewell.operators.joins import HotKeys, hot_keys, join_unique, sized_lookup
+from tidewell.session import is_large
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
@@ -73,11 +74,9 @@ def net_changes(
     )
 
 
-def _net_applied(
-    rows: DataFrame, net: DataFrame, keys: list[str], columns: list[str], hot: HotKeys | None
-) -> DataFrame:
+def _net_applied(rows: DataFrame, net: DataFrame, keys: list[str], columns: list[str], hot: HotKeys) -> DataFrame:
     """Drop and overwrite ``rows`` by the net changes. Rows without ``_born`` are base rows."""
-    joined = join_unique(rows, net, keys, hot=pick_hot(rows, net, keys) if hot is None else hot)
+    joined = join_unique(rows, net, keys, hot=hot)
     if "_born" in rows.columns:
         survives = F.coalesce(F.col("_born") > F.col("_deleted_at"), F.lit(True))
         updated = F.coalesce(F.col("_update.at") > F.col("_born"), F.lit(False))
@@ -106,14 +105,15 @@ def replay(
     keys = _names(key)
     columns = [name for name in base.columns if name not in keys]
     inserted = valid_changes(log, INSERT, key=keys, action=action).select(*keys, *columns, F.col(seq).alias("_born"))
-    net = known_size(net_changes(log, columns, key=keys, seq=seq, action=action), base, inserted)
+    net, shuffled = sized_lookup(net_changes(log, columns, key=keys, seq=seq, action=action), base, inserted)
+
+    def applied(rows: DataFrame) -> DataFrame:
+        found = hot_keys(rows, keys) if hot is None and shuffled and is_large(rows) else hot or ()
+        return _net_applied(rows, net, keys, columns, found)
+
     # Two joins rather than one over the union: base rows need no birth, and inserts, which come with
     # the log, do not change how the base is joined. Both read the same exchange of the net changes.
-    return (
-        _net_applied(base, net, keys, columns, hot)
-        .unionByName(_net_applied(inserted, net, keys, columns, hot))
-        .select(*base.columns)
-    )
+    return applied(base).unionByName(applied(inserted)).select(*base.columns)
 
 
 def apply_updates(

@@ -1,13 +1,15 @@
 """Left join of many rows to a lookup that has one row per key, safe for hot keys.
 
-Small lookups are broadcast by Catalyst, which checks their size. For large inputs whose lookup size
-is only guessed (the result of an aggregation), the lookup is written first so that its size is known.
-If it is still too large to broadcast, the heaviest keys of the rows are found in a sample and taken
-out of the shuffle: their few lookup rows are broadcast, all other rows take the shuffle join. The
-sample only decides which way a row goes, never whether it is kept.
-
-AQE's skew-join rule is not enough here: it does not see an aggregate between the shuffle and the join,
-and above 2,000 partitions Spark reports average block sizes that hide a hot partition.
+Small lookups are broadcast by Catalyst, which checks their size. If the rows are many and the lookup's
+size is only guessed (it is the result of an aggregation), the lookup is written first: now its size is
+known, and up to a limit it is broadcast, so that the rows need no shuffle. If it is larger, the
+heaviest keys of the rows are found in a sample and taken out of the shuffle: their few lookup rows are
+broadcast, all other rows take the shuffle join. The sample only decides which way a row goes, never
+whether it is kept.
+
+AQE's skew-join rule alone is not enough here: it splits only sides that come straight from a shuffle,
+not from an aggregation after one, and above 2,000 partitions Spark reports average block sizes, which
+hide a hot partition.
 """
 
 from __future__ import annotations
@@ -18,32 +20,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.session import broadcast_limit, estimated_bytes, input_bytes, is_large, settle
+from tidewell.session import (
+    broadcast_limit,
+    estimated_bytes,
+    input_bytes,
+    is_large,
+    settle,
+    written_broadcast_limit,
+)
 
 HOT_LIMIT = 64  # at most this many lookup rows are broadcast for hot keys
 HOT_FLOOR = 100  # sampled rows a key must have to be called hot
-SAMPLE_BYTES = 1 << 30  # about this much of the rows is sampled
+SAMPLE_BYTES = 1 << 24  # about this much of the rows is sampled
 
 HotKeys = Sequence[tuple]
 
 
-def _is_shuffled(lookup: DataFrame) -> bool:
-    return estimated_bytes(lookup) > broadcast_limit(lookup.sparkSession)
-
-
-def known_size(lookup: DataFrame, *rows: DataFrame) -> DataFrame:
-    """Settle ``lookup`` if its guessed size forbids a broadcast and some ``rows`` are worth the write."""
-    return settle(lookup, "lookup") if any(map(is_large, rows)) and _is_shuffled(lookup) else lookup
-
-
-def pick_hot(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> HotKeys:
-    """Hot keys of ``rows``, if a join with ``lookup`` would have to shuffle many of them."""
-    return hot_keys(rows, on) if is_large(rows) and _is_shuffled(lookup) else ()
+def sized_lookup(lookup: DataFrame, *rows: DataFrame) -> tuple[DataFrame, bool]:
+    """``lookup``, and whether joining it to some of ``rows`` means to shuffle many of them."""
+    spark = lookup.sparkSession
+    if not any(map(is_large, rows)) or estimated_bytes(lookup) <= broadcast_limit(spark):
+        return lookup, False
+    lookup = settle(lookup, "lookup")
+    if estimated_bytes(lookup) <= max(broadcast_limit(spark), written_broadcast_limit(spark)):
+        return F.broadcast(lookup), False
+    return lookup, True
 
 
 def hot_keys(rows: DataFrame, on: Sequence[str]) -> HotKeys:
     """The heaviest keys in a sample of ``rows``, at most HOT_LIMIT of them."""
-    fraction = min(1.0, max(SAMPLE_BYTES / max(input_bytes(rows), 1), 1e-6))
+    fraction = min(1.0, max(SAMPLE_BYTES / max(input_bytes(rows), 1), 1e-7))
     heavy = (
         rows.select(*on)
         .sample(fraction=fraction, seed=7)
@@ -58,6 +64,10 @@ def hot_keys(rows: DataFrame, on: Sequence[str]) -> HotKeys:
 
 def _is_any(on: Sequence[str], keys: HotKeys) -> Column:
     """Never NULL, so its negation keeps every other row."""
+    if len(on) == 1:  # a hash lookup rather than one comparison per key
+        value, values = F.col(on[0]), [key[0] for key in keys]
+        known = [each for each in values if each is not None]
+        return F.when(value.isNull(), F.lit(None in values)).otherwise(value.isin(known))
     matches = (
         reduce(Column.__and__, (F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(on, key)))
         for key in keys
@@ -88,8 +98,8 @@ def join_unique(
     ``hot`` names the keys to keep out of the shuffle; by default they are looked for when needed.
     """
     if hot is None:
-        lookup = known_size(lookup, rows)
-        hot = pick_hot(rows, lookup, on)
+        lookup, shuffled = sized_lookup(lookup, rows)
+        hot = hot_keys(rows, on) if shuffled else ()
     if not hot:
         return _left_join(rows, lookup, on, null_safe)
 

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Below this input size a hot key cannot hurt, so no extra job is spent on it.
 SPLIT_FLOOR_CONF = "spark.tidewell.splitFloorBytes"
 SPLIT_FLOOR_DEFAULT = 1 << 30
+# A written lookup of at most this many bytes of Parquet is broadcast.
+BROADCAST_CONF = "spark.tidewell.broadcastBytes"
+BROADCAST_DEFAULT = 64 << 20
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -23,6 +26,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Hash the smaller side of a shuffle join, instead of sorting both, if its partitions are small.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
         # With more than 2,000 shuffle partitions Spark reports only average block sizes, which hides
         # a hot partition from AQE; this keeps the sizes of outlying blocks.
         "spark.shuffle.accurateBlockSkewedFactor": "5",
@@ -71,7 +76,10 @@ def broadcast_limit(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
+def written_broadcast_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_CONF, str(BROADCAST_DEFAULT)))
+
+
 def is_large(df: DataFrame) -> bool:
     """Whether the input of ``df`` is worth an extra job that saves a shuffle or a hot task."""
-    floor = int(df.sparkSession.conf.get(SPLIT_FLOOR_CONF, str(SPLIT_FLOOR_DEFAULT)))
-    return input_bytes(df) >= floor
+    return input_bytes(df) >= int(df.sparkSession.conf.get(SPLIT_FLOOR_CONF, str(SPLIT_FLOOR_DEFAULT)))
