@@ -2,7 +2,8 @@
 
 Each query runs once to warm up and is then timed; the time is the best of REPEAT runs and covers the
 making of the plan and all rows of the result. ``replay_log_<n>x`` replays the change log repeated n
-times, to show that time follows the data and the plan does not grow with the log.
+times, to show that time follows the data and the plan does not grow with the log; in ``_hot`` a third
+of the changes has one key.
 """
 
 from __future__ import annotations
@@ -40,20 +41,22 @@ HEADLINE = [
     "summary_by_state",
     "features_sorted",
     "features_top10",
-    "replay_from_files",
+    "replay_files",
     "stream_apply",
 ]
 
 
-def repeated_log(spark, times: int) -> str:
+def repeated_log(spark, times: int, hot: bool = False) -> str:
     """The change log ``times`` over, one copy after the other, as a table."""
     path = workspace(spark, f"log-{times}x")
     log = inputs.change_log(spark, SF_DIR)
     copies = F.explode(F.sequence(F.lit(0), F.lit(times - 1)))
     step = log.agg(F.max("seq")).first()[0] + 1
-    log.withColumn("copy", copies).withColumn("seq", F.col("copy") * step + F.col("seq")).drop("copy").repartition(
-        int(CPUS)
-    ).write.parquet(path)
+    longer = log.withColumn("copy", copies).withColumn("seq", F.col("copy") * step + F.col("seq")).drop("copy")
+    if hot:
+        key = F.when(F.col("seq") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
+        longer = longer.withColumn("user_id", key)
+    longer.repartition(int(CPUS)).write.parquet(path)
     return path
 
 
@@ -70,9 +73,10 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     tasks = {name: (lambda query=QUERIES[name]: query(spark, SF_DIR)) for name in HEADLINE}
-    for times in (1, 10, 100):
-        path = repeated_log(spark, times)
-        tasks[f"replay_log_{times}x"] = lambda path=path: replay(inputs.users(spark, SF_DIR), spark.read.parquet(path))
+    for times, hot in ((1, False), (10, False), (100, False), (100, True)):
+        path = repeated_log(spark, times, hot)
+        name = f"replay_log_{times}x" + ("_hot" if hot else "")
+        tasks[name] = lambda path=path: replay(inputs.users(spark, SF_DIR), spark.read.parquet(path))
 
     seconds = {}
     for name, task in tasks.items():

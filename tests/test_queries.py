@@ -19,6 +19,17 @@ def duck():
     return connection
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def comparable(columns, rows):
     order = sorted(range(len(columns)), key=columns.__getitem__)
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
@@ -33,7 +44,8 @@ def test_query_equals_oracle(name, spark, duck):
     result = entry.queries()[name](spark, SF_DIR)
     expected = duck.execute(entry.oracle_sql()[name])
     columns = [column[0] for column in expected.description]
-    assert sorted(result.columns) == sorted(columns)
+    types = {column[0]: str(column[1]) for column in expected.description}
+    assert {name: SQL_TYPES[kind] for name, kind in result.dtypes} == types
     got = comparable(result.columns, [tuple(row) for row in result.collect()])
     want = comparable(columns, expected.fetchall())
     assert len(want) > 0

@@ -151,7 +151,7 @@ SELECT action, CASE WHEN action IN ('I', 'U', 'D') THEN 'null key' ELSE 'unknown
 FROM log WHERE action NOT IN ('I', 'U', 'D') OR user_id IS NULL GROUP BY 1, 2""",
     "cdc_incremental": _STATE,
     "cdc_initial_load": _ALL_USERS,
-    "replay_from_files": _STATE,
+    "replay_files": _STATE,
     "duplicate_keys": f"""WITH {_REPLAYED}
 SELECT user_id, count(*) AS copies FROM replayed GROUP BY user_id HAVING count(*) > 1""",
     "normalize_city": f"WITH {_GAPS} SELECT * FROM plain",

@@ -13,7 +13,7 @@ from tidewell.functions import drop_name
 from tidewell.operators import changes, windows
 from tidewell.operators.joins import denormalize
 from tidewell.plans import features
-from tidewell.plans.replay_files import replay_files
+from tidewell.plans import replay_files as batch
 from tidewell.plans.synced_table import SyncedTable
 from tidewell.session import settle, workspace
 from tidewell.sources import files, sinks
@@ -131,8 +131,8 @@ def cdc_initial_load(spark, sf_dir):
 
 
 @query
-def replay_from_files(spark, sf_dir):
-    return replay_files(spark, inputs.landing_folder(spark, sf_dir), key_type=KEY_TYPE)
+def replay_files(spark, sf_dir):
+    return batch.replay_files(spark, inputs.landing_folder(spark, sf_dir), key_type=KEY_TYPE)
 
 
 @query

@@ -18,6 +18,8 @@ from tidewell.operators.windows import RANK, RATE, USERS, distinct_users, recenc
 # City names that are written in more than one way in the source.
 CITY_ALIASES = {"Nashville-Davidson": "Nashville"}
 
+BROADCAST_ROWS = 10_000
+
 FEATURES = ["state", RANK, RATE, USERS]
 
 
@@ -93,7 +95,9 @@ def first_features(
     first = rows.orderBy(
         F.asc_nulls_first("city"), F.asc_nulls_first("last_login"), F.asc("user_id"), F.asc("name")
     ).limit(n)
-    cities = F.broadcast(first.select(F.col("city").alias("_city")).distinct())
+    cities = first.select(F.col("city").alias("_city")).distinct()
+    if n <= BROADCAST_ROWS:
+        cities = F.broadcast(cities)
     same_city = F.col("city").eqNullSafe(F.col("_city"))
     stats = city_stats(rows.join(cities, same_city, "left_semi"), dimension, as_of, days=days)
     features = city_features(first, dimension, as_of, days=days, aliases={}, stats=stats, hot=())
