@@ -124,6 +124,19 @@ def test_a_repeated_batch_has_no_effect(spark, table, landing):
     assert in_order(table.state()) == after(first)
 
 
+def test_a_file_is_added_once_whatever_brings_it(spark, table, landing, tmp_path, sync):
+    first, second, third = FILES
+    deliver(landing, first, second)
+    sync()
+    deliver(landing, third)
+    table.append(read_changes(spark, str(landing)))
+    assert in_order(table.state()) == after(*FILES)
+    # A new checkpoint takes all files up again, with batch numbers that begin anew.
+    sync_stream(table, str(landing), str(tmp_path / "other checkpoint")).awaitTermination()
+    assert in_order(table.state()) == after(*FILES)
+    assert table.history().filter("stream IS NOT NULL").select("stream").distinct().count() == 2
+
+
 def test_late_file_and_repair(spark, table, landing, sync):
     first, second, third = FILES
     deliver(landing, first, third)

@@ -57,7 +57,10 @@ def city_features(
     stats: DataFrame | None = None,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """``rows`` with the four features. ``stats`` may be a written ``city_stats`` of the same rows."""
+    """``rows`` with the four features. ``stats`` may be a written ``city_stats`` of the same rows.
+
+    ``rows`` are read three times, so a state that takes a replay to compute should be written first.
+    """
     rows = normalize_city(rows, aliases)
     if stats is None:
         stats = city_stats(rows, dimension, as_of, days=days)

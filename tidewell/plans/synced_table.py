@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.changes import replay
+from tidewell.operators.joins import join_unique
 from tidewell.plans.features import city_features, city_stats, normalize_city, sort_features
 from tidewell.schemas import SEQ_DDL, changes_ddl, snapshot_ddl
 
@@ -85,13 +86,20 @@ class SyncedTable:
         return version
 
     def append(self, changes: DataFrame, *, stream: str | None = None, batch_id: int | None = None) -> int:
-        """Add changes, as given by ``read_changes``. A batch that is there already is not added again."""
+        """Add changes, as given by ``read_changes``.
+
+        A stream's batch that is there already has no effect, nor have files that are in the log already.
+        """
         if stream is not None:
             committed = self._committed(stream, batch_id)
             if committed is not None:
                 return committed
         current = self._require_current()
         version = current.version + 1
+        if current.snapshot < current.version:
+            taken = self._log(current).groupBy(F.col("seq.file").alias("_file")).agg(F.lit(True).alias("_taken"))
+            changes = join_unique(changes.withColumn("_file", F.col("seq.file")), taken, ["_file"])
+            changes = changes.filter(F.col("_taken").isNull()).drop("_file", "_taken")
         if current.mark is not None:
             is_late = F.col("seq.file") <= current.mark
             changes.filter(is_late).write.mode("overwrite").parquet(f"{self.root}/late/version={version}")

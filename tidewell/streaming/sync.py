@@ -17,22 +17,24 @@ def sync_stream(
     landing: str,
     checkpoint: str,
     *,
-    name: str = "sync",
     max_files: int | None = None,
     after_batch: Callable[[SyncedTable], None] | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Start the sync; by default it takes up all files that are there and stops.
 
-    The checkpoint keeps which files were taken, the table's manifest which batches were committed, so
-    a batch that is repeated after a failure has no effect. ``after_batch`` can publish features.
+    The checkpoint keeps which files were taken, the table's manifest which batches of which checkpoint
+    were committed, so a batch that is repeated after a failure has no effect. ``after_batch`` can
+    publish features.
     """
     raw = table.spark.readStream.schema(changes_ddl(table.key_type)).option("recursiveFileLookup", "true")
     if max_files is not None:
         raw = raw.option("maxFilesPerTrigger", max_files)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        table.append(with_order(batch), stream=name, batch_id=batch_id)
+        # The id of the query, which stays with its checkpoint and begins anew with a new one.
+        stream = table.spark.read.text(f"{checkpoint}/metadata").first()[0]
+        table.append(with_order(batch), stream=stream, batch_id=batch_id)
         if after_batch is not None:
             after_batch(table)
 
