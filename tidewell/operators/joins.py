@@ -3,9 +3,9 @@
 Small lookups are broadcast by Catalyst, which checks their size. If the rows are many and the lookup's
 size is only guessed (it is the result of an aggregation), the lookup is written first: now its size is
 known, and up to a limit it is broadcast, so that the rows need no shuffle. If it is larger, the
-heaviest keys of the rows are found in a sample and taken out of the shuffle: their few lookup rows are
-broadcast, all other rows take the shuffle join. The sample only decides which way a row goes, never
-whether it is kept.
+heaviest keys of the rows are found in a sample and taken out of the shuffle: their lookup rows, at most
+HOT_LIMIT, are broadcast, and all other rows take the shuffle join. The sample only decides which way a
+row goes, never whether it is kept.
 
 AQE's skew-join rule alone is not enough here: it splits only sides that come straight from a shuffle,
 not from an aggregation after one, and above 2,000 partitions Spark reports average block sizes, which
@@ -29,7 +29,7 @@ from tidewell.session import (
     written_broadcast_limit,
 )
 
-HOT_LIMIT = 64  # at most this many lookup rows are broadcast for hot keys
+HOT_LIMIT = 1000  # at most this many keys are kept out of the shuffle
 HOT_FLOOR = 100  # sampled rows a key must have to be called hot
 SAMPLE_BYTES = 1 << 24  # about this much of the rows is sampled
 
@@ -62,26 +62,13 @@ def hot_keys(rows: DataFrame, on: Sequence[str]) -> HotKeys:
     return [tuple(row[name] for name in on) for row in heavy.collect()]
 
 
-def _is_any(on: Sequence[str], keys: HotKeys) -> Column:
-    """Never NULL, so its negation keeps every other row."""
-    if len(on) == 1:  # a hash lookup rather than one comparison per key
-        value, values = F.col(on[0]), [key[0] for key in keys]
-        known = [each for each in values if each is not None]
-        return F.when(value.isNull(), F.lit(None in values)).otherwise(value.isin(known))
-    matches = (
-        reduce(Column.__and__, (F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(on, key)))
-        for key in keys
-    )
-    return reduce(Column.__or__, matches)
-
-
-def _left_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], null_safe: bool) -> DataFrame:
+def _join(rows: DataFrame, other: DataFrame, on: Sequence[str], null_safe: bool, how: str) -> DataFrame:
     right = {name: f"_lookup_{name}" for name in on}
     same = (
         F.col(name).eqNullSafe(F.col(alias)) if null_safe else F.col(name) == F.col(alias)
         for name, alias in right.items()
     )
-    joined = rows.join(lookup.withColumnsRenamed(right), reduce(Column.__and__, same), "left")
+    joined = rows.join(other.withColumnsRenamed(right), reduce(Column.__and__, same), how)
     return joined.drop(*right.values())
 
 
@@ -101,15 +88,17 @@ def join_unique(
         lookup, shuffled = sized_lookup(lookup, rows)
         hot = hot_keys(rows, on) if shuffled else ()
     if not hot:
-        return _left_join(rows, lookup, on, null_safe)
-
-    if len(hot) > HOT_LIMIT:
-        raise ValueError(f"at most {HOT_LIMIT} hot keys can be broadcast, got {len(hot)}")
-    is_hot = _is_any(on, hot)
-    few = F.broadcast(lookup.filter(is_hot))  # one row per hot key
-    return _left_join(rows.filter(is_hot), few, on, null_safe).unionByName(
-        _left_join(rows.filter(~is_hot), lookup.filter(~is_hot), on, null_safe)
-    )
+        return _join(rows, lookup, on, null_safe, "left")
+
+    keys = list(dict.fromkeys(map(tuple, hot)))
+    if len(keys) > HOT_LIMIT:
+        raise ValueError(f"at most {HOT_LIMIT} hot keys can be broadcast, got {len(keys)}")
+    few = F.broadcast(rows.sparkSession.createDataFrame(keys, rows.select(*on).schema))
+    # One row per hot key, with its attributes if the lookup has the key. Joining it picks the hot rows.
+    known = F.broadcast(_join(lookup, few, on, null_safe, "left_semi"))
+    hot_rows = _join(rows, F.broadcast(_join(few, known, on, null_safe, "left")), on, True, "inner")
+    other_rows = _join(_join(rows, few, on, True, "left_anti"), lookup, on, null_safe, "left")
+    return hot_rows.unionByName(other_rows)
 
 
 def lookup_table(dimension: DataFrame, key: str) -> DataFrame:
