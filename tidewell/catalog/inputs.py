@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewell.functions import DELIVERY
 from tidewell.session import workspace
@@ -18,21 +19,15 @@ from tidewell.session import workspace
 AS_OF = dt.date(2001, 8, 1)
 KEY_TYPE = "BIGINT"
 
-# The columns in use; a given layout saves Spark a job that reads the footers.
-TABLES = {
-    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT",
-    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
-    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
-    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
-    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
-    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
-    "o_orderdate TIMESTAMP_NTZ",
-    "region": "r_regionkey INT, r_name STRING",
-}
+_layouts: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its layout is read once, as each reading of it is a Spark job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _layouts:
+        _layouts[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_layouts[path]).parquet(path)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:

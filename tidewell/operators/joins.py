@@ -8,8 +8,8 @@ HOT_LIMIT, are broadcast, and all other rows take the shuffle join. The sample o
 row goes, never whether it is kept.
 
 AQE's skew-join rule alone is not enough here: it splits only sides that come straight from a shuffle,
-not from an aggregation after one, and above 2,000 partitions Spark reports average block sizes, which
-hide a hot partition.
+not from an aggregation after one, and above 2,000 partitions Spark reports only the average size of all
+blocks under 100 MB, which hides a hot partition.
 """
 
 from __future__ import annotations
@@ -94,10 +94,11 @@ def join_unique(
     if len(keys) > HOT_LIMIT:
         raise ValueError(f"at most {HOT_LIMIT} hot keys can be broadcast, got {len(keys)}")
     few = F.broadcast(rows.sparkSession.createDataFrame(keys, rows.select(*on).schema))
+    has_null = any(value is None for key in keys for value in key)  # else the faster plain equality will do
     # One row per hot key, with its attributes if the lookup has the key. Joining it picks the hot rows.
     known = F.broadcast(_join(lookup, few, on, null_safe, "left_semi"))
-    hot_rows = _join(rows, F.broadcast(_join(few, known, on, null_safe, "left")), on, True, "inner")
-    other_rows = _join(_join(rows, few, on, True, "left_anti"), lookup, on, null_safe, "left")
+    hot_rows = _join(rows, F.broadcast(_join(few, known, on, null_safe, "left")), on, has_null, "inner")
+    other_rows = _join(_join(rows, few, on, has_null, "left_anti"), lookup, on, null_safe, "left")
     return hot_rows.unionByName(other_rows)
 
 

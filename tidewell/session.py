@@ -28,8 +28,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Hash the smaller side of a shuffle join, instead of sorting both, if its partitions are small.
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
-        # With more than 2,000 shuffle partitions Spark reports only average block sizes, which hides
-        # a hot partition from AQE; this keeps the sizes of outlying blocks.
+        # With more than 2,000 shuffle partitions Spark reports only the average size of blocks under
+        # 100 MB, which hides a hot partition from AQE; this keeps the sizes of outlying blocks.
         "spark.shuffle.accurateBlockSkewedFactor": "5",
     }
     for name, value in {**defaults, **conf}.items():
