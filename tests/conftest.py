@@ -1,6 +1,6 @@
 import pytest
 
-from tidewell.session import build_session
+from tidewell.session import BROADCAST_CONF, SPLIT_FLOOR_CONF, build_session
 
 
 @pytest.fixture(scope="session")
@@ -19,3 +19,19 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def at_scale(spark):
+    """Treat the small test tables as too large to broadcast or to leave alone."""
+    settings = {
+        SPLIT_FLOOR_CONF: "0",
+        BROADCAST_CONF: "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name in settings:
+        spark.conf.unset(name)

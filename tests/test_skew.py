@@ -9,27 +9,11 @@ from tests.rows import executed_plan
 from tidewell import city_features, replay
 from tidewell.operators.joins import HOT_LIMIT, hot_keys, join_unique
 from tidewell.plans.features import city_stats, normalize_city
-from tidewell.session import BROADCAST_CONF, SPLIT_FLOOR_CONF, workspace
+from tidewell.session import BROADCAST_CONF, workspace
 
 N = 30_000
 
 
-@pytest.fixture
-def at_scale(spark):
-    """Treat the small test tables as too large to broadcast or to leave alone."""
-    settings = {
-        SPLIT_FLOOR_CONF: "0",
-        BROADCAST_CONF: "0",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    yield spark
-    for name in settings:
-        spark.conf.unset(name)
-
-
 @pytest.fixture
 def tables(spark):
     """Base with one hot key and many NULL keys, and a log with the same hot key."""
