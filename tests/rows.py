@@ -2,9 +2,9 @@
 
 import datetime as dt
 
-from tidewell.schemas import snapshot_ddl
+from tidewell.schemas import USERS_DDL
 
-LOG_DDL = f"seq BIGINT, action STRING, {snapshot_ddl()}"
+LOG_DDL = f"seq BIGINT, action STRING, {USERS_DDL}"
 
 
 def day(text):
@@ -12,7 +12,7 @@ def day(text):
 
 
 def base_frame(spark, rows):
-    return spark.createDataFrame([tuple(row) for row in rows], snapshot_ddl())
+    return spark.createDataFrame([tuple(row) for row in rows], USERS_DDL)
 
 
 def log_frame(spark, changes):

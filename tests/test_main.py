@@ -4,10 +4,10 @@ from tests.rows import in_order
 from tests.test_features import CHANGES, FIRST_TEN, SNAPSHOT, STATES, dated
 from tests.test_sources import put
 from tidewell.__main__ import main
-from tidewell.schemas import snapshot_ddl
+from tidewell.schemas import USERS_DDL
 from tidewell.sources.files import read_snapshot
 
-DDL = f"{snapshot_ddl()}, state STRING, rank INT, rate DOUBLE, users INT"
+DDL = f"{USERS_DDL}, state STRING, rank INT, rate DOUBLE, users INT"
 
 
 def lines(rows):

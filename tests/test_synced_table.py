@@ -159,3 +159,12 @@ def test_features_are_published_after_each_batch(spark, table, landing, sync):
     assert len(set(published)) == len(FILES)
     expected = sort_features(city_features(table.state(), dimension, as_of)).collect()
     assert sorted(spark.read.parquet(published[-1]).collect(), key=repr) == sorted(expected, key=repr)
+
+
+def test_another_table_with_a_composite_key(spark, tmp_path, landing):
+    ddl = "shop INT, item STRING, price DOUBLE"
+    table = SyncedTable(spark, str(tmp_path / "prices"), ddl=ddl, key=["shop", "item"])
+    table.load(spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], ddl))
+    put(landing, "20211017-000000000.csv", "U,1,a,1.5", "D,1,b,", "I,2,a,3")
+    sync_stream(table, str(landing), str(tmp_path / "checkpoint")).awaitTermination()
+    assert in_order(table.state()) == [(1, "a", 1.5), (2, "a", 3.0)]

@@ -12,6 +12,7 @@ import datetime as dt
 
 from tidewell.plans.features import FEATURES, city_features, first_features, sort_features
 from tidewell.plans.replay_files import replay_files
+from tidewell.schemas import USERS_DDL
 from tidewell.session import build_session, settle
 from tidewell.sources.files import read_dimension
 from tidewell.sources.sinks import write_features_csv, write_state_csv
@@ -25,7 +26,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--features", required=True, help="must not exist")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     parser.add_argument("--days", type=int, default=90)
-    parser.add_argument("--key-type", default="INT")
+    parser.add_argument("--key-type", default="INT", help="type of the user id")
     options = parser.parse_args(arguments)
     for path in (options.state, options.features):
         if f"{path.rstrip('/')}/".startswith(f"{options.landing.rstrip('/')}/"):
@@ -33,7 +34,8 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = build_session("tidewell")
     dimension = read_dimension(spark, options.dimension)
-    state = settle(replay_files(spark, options.landing, key_type=options.key_type), "state")
+    ddl = USERS_DDL.replace("INT", options.key_type, 1)
+    state = settle(replay_files(spark, options.landing, ddl=ddl), "state")
     write_state_csv(state, options.state)
     features = city_features(state, dimension, options.as_of, days=options.days)
     write_features_csv(sort_features(features).select(*state.columns, *FEATURES), options.features)

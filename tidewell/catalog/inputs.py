@@ -17,7 +17,7 @@ from tidewell.functions import DELIVERY
 from tidewell.session import workspace
 
 AS_OF = dt.date(2001, 8, 1)
-KEY_TYPE = "BIGINT"
+USERS_DDL = "user_id BIGINT, name STRING, city STRING, last_login DATE"
 
 _layouts: dict[str, StructType] = {}
 

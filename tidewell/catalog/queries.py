@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.catalog import inputs
-from tidewell.catalog.inputs import ALIASES, AS_OF, KEY_TYPE
+from tidewell.catalog.inputs import ALIASES, AS_OF, USERS_DDL
 from tidewell.functions import drop_name
 from tidewell.operators import changes, windows
 from tidewell.operators.joins import denormalize
@@ -35,12 +35,12 @@ def query(function: Query) -> Query:
 def scan_snapshot(spark, sf_dir):
     path = workspace(spark, "snapshot")
     sinks.write_state_csv(inputs.users(spark, sf_dir), path)
-    return files.read_snapshot(spark, path, key_type=KEY_TYPE)
+    return files.read_snapshot(spark, path, ddl=USERS_DDL)
 
 
 @query
 def scan_log(spark, sf_dir):
-    log = files.read_changes(spark, inputs.landing_folder(spark, sf_dir), key_type=KEY_TYPE)
+    log = files.read_changes(spark, inputs.landing_folder(spark, sf_dir), ddl=USERS_DDL)
     return log.withColumn("delivery", drop_name(F.col("seq.file"))).drop("seq")
 
 
@@ -54,7 +54,7 @@ def route_files(spark, sf_dir):
 def latest_snapshot(spark, sf_dir):
     landing = workspace(spark, "landing")
     inputs.deliver(inputs.snapshots(spark, sf_dir), landing, "user_id")
-    return files.read_latest_snapshot(spark, landing, key_type=KEY_TYPE)
+    return files.read_latest_snapshot(spark, landing, ddl=USERS_DDL)
 
 
 @query
@@ -63,7 +63,7 @@ def union_logs(spark, sf_dir):
     first, second = workspace(spark, "landing"), workspace(spark, "landing")
     inputs.deliver(log.filter(F.col("delivery") < "20240116"), first, "seq")
     inputs.deliver(log.filter(F.col("delivery") >= "20240116"), second, "seq")
-    return files.read_changes(spark, [first, second], key_type=KEY_TYPE).drop("seq")
+    return files.read_changes(spark, [first, second], ddl=USERS_DDL).drop("seq")
 
 
 # Change replay
@@ -125,14 +125,14 @@ def cdc_incremental(spark, sf_dir):
 def cdc_initial_load(spark, sf_dir):
     landing = workspace(spark, "landing")
     inputs.deliver(inputs.snapshots(spark, sf_dir), landing, "user_id")
-    table = SyncedTable(spark, workspace(spark, "table"), key_type=KEY_TYPE)
-    table.load(files.read_latest_snapshot(spark, landing, key_type=KEY_TYPE))
+    table = SyncedTable(spark, workspace(spark, "table"), ddl=USERS_DDL)
+    table.load(files.read_latest_snapshot(spark, landing, ddl=USERS_DDL))
     return table.state()
 
 
 @query
 def replay_files(spark, sf_dir):
-    return batch.replay_files(spark, inputs.landing_folder(spark, sf_dir), key_type=KEY_TYPE)
+    return batch.replay_files(spark, inputs.landing_folder(spark, sf_dir), ddl=USERS_DDL)
 
 
 @query
@@ -216,7 +216,7 @@ def sink_roundtrip_state(spark, sf_dir):
     path = workspace(spark, "state")
     sinks.write_state_csv(inputs.users_with_gaps(spark, sf_dir), path)
     sinks.write_state_csv(_replayed(spark, sf_dir), path)
-    return files.read_snapshot(spark, path, key_type=KEY_TYPE)
+    return files.read_snapshot(spark, path, ddl=USERS_DDL)
 
 
 @query
@@ -232,7 +232,7 @@ def sink_roundtrip_features(spark, sf_dir):
 
 
 def _loaded_table(spark, sf_dir):
-    table = SyncedTable(spark, workspace(spark, "table"), key_type=KEY_TYPE)
+    table = SyncedTable(spark, workspace(spark, "table"), ddl=USERS_DDL)
     table.load(inputs.users(spark, sf_dir))
     return table
 
@@ -282,6 +282,6 @@ def stream_late_repair(spark, sf_dir):
     landing = _stream_in_two_runs(
         spark, table, log.filter(~one_day), log.filter(one_day), after_batch=SyncedTable.compact
     )
-    log = files.settle_changes(files.read_changes(spark, landing, key_type=KEY_TYPE))
+    log = files.settle_changes(files.read_changes(spark, landing, ddl=USERS_DDL))
     table.load(changes.replay(table.state(0), log))
     return table.state()

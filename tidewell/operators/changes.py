@@ -10,7 +10,8 @@ apply in ``seq`` order, with these rules:
 A row therefore survives if no delete of its key comes after its birth (base rows are born before all
 changes), and shows the image of the key's last update if that comes after its birth. So it is enough
 to know, per key, when the last delete came and what the last update was: one aggregation of the log,
-combined map-side, and one join. ``seq`` may have any orderable type and must be unique per key.
+combined map-side, and one join. ``seq`` may have any type with an order and must be unique per key; the
+row's columns need an order as well, so no maps.
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ def net_changes(
 ) -> DataFrame:
     """One row per changed key: when its last delete came, and its last update."""
     code = F.col(action)
-    image = F.struct(F.col(seq).alias("at"), *columns)
+    image = F.struct(F.col(seq).alias("_at"), *columns)
     return (
         valid_changes(log, UPDATE, DELETE, key=key, action=action)
         .groupBy(*_names(key))
@@ -79,7 +80,7 @@ def _net_applied(rows: DataFrame, net: DataFrame, keys: list[str], columns: list
     joined = join_unique(rows, net, keys, hot=hot)
     if "_born" in rows.columns:
         survives = F.coalesce(F.col("_born") > F.col("_deleted_at"), F.lit(True))
-        updated = F.coalesce(F.col("_update.at") > F.col("_born"), F.lit(False))
+        updated = F.coalesce(F.col("_update._at") > F.col("_born"), F.lit(False))
     else:
         survives = F.col("_deleted_at").isNull()
         updated = F.col("_update").isNotNull()
@@ -130,7 +131,7 @@ def apply_updates(
     last = (
         updates.filter(_has_key(keys))
         .groupBy(*keys)
-        .agg(F.max(F.struct(F.col(seq).alias("at"), *columns)).alias("_update"))
+        .agg(F.max(F.struct(F.col(seq).alias("_at"), *columns)).alias("_update"))
     )
     updated = F.col("_update").isNotNull()
     return join_unique(base, last, keys, hot=hot).select(

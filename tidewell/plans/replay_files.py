@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.operators.changes import replay
+from tidewell.schemas import USERS_DDL
 from tidewell.sources.files import read_changes, read_latest_snapshot, settle_changes
 
 
-def replay_files(spark: SparkSession, landing: str, *, key_type: str = "INT") -> DataFrame:
+def replay_files(
+    spark: SparkSession, landing: str, *, ddl: str = USERS_DDL, key: str | Sequence[str] = "user_id"
+) -> DataFrame:
     """State after all changes; without change files, the snapshot as it is."""
-    base = read_latest_snapshot(spark, landing, key_type=key_type)
-    log = settle_changes(read_changes(spark, landing, key_type=key_type))
-    return replay(base, log)
+    base = read_latest_snapshot(spark, landing, ddl=ddl)
+    log = settle_changes(read_changes(spark, landing, ddl=ddl))
+    return replay(base, log, key=key)

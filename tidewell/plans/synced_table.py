@@ -22,6 +22,7 @@ of the landing folder (``load``) puts it right.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tidewell.operators.changes import replay
 from tidewell.operators.joins import join_unique
 from tidewell.plans.features import city_features, city_stats, normalize_city, sort_features
-from tidewell.schemas import SEQ_DDL, changes_ddl, snapshot_ddl
+from tidewell.schemas import SEQ_DDL, USERS_DDL, changes_ddl
 
 # snapshot: version of the snapshot to start from; its log is that of later versions.
 # mark: newest file whose changes are part of the snapshot.
@@ -38,10 +39,15 @@ MANIFEST_DDL = "kind STRING, snapshot BIGINT, mark STRING, stream STRING, batch_
 
 
 class SyncedTable:
-    def __init__(self, spark: SparkSession, root: str, *, key_type: str = "INT"):
+    """``ddl`` gives the columns of the table, ``key`` those that changes address rows by."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, *, ddl: str = USERS_DDL, key: str | Sequence[str] = "user_id"
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.key_type = key_type
+        self.ddl = ddl
+        self.key = key
 
     # Manifest
 
@@ -142,7 +148,7 @@ class SyncedTable:
         return f"{self.root}/snapshots/{version}"
 
     def _changes(self, folder: str) -> DataFrame:
-        ddl = f"{changes_ddl(self.key_type)}, seq {SEQ_DDL}, version BIGINT"
+        ddl = f"{changes_ddl(self.ddl)}, seq {SEQ_DDL}, version BIGINT"
         try:
             committed = self.spark.read.schema(ddl).parquet(f"{self.root}/{folder}")
         except AnalysisException as missing:
@@ -156,8 +162,8 @@ class SyncedTable:
         return self._changes("log").filter(wanted).drop("version")
 
     def _state(self, row: Row) -> DataFrame:
-        base = self.spark.read.schema(snapshot_ddl(self.key_type)).parquet(self._snapshot(row.snapshot))
-        return base if row.snapshot == row.version else replay(base, self._log(row))
+        base = self.spark.read.schema(self.ddl).parquet(self._snapshot(row.snapshot))
+        return base if row.snapshot == row.version else replay(base, self._log(row), key=self.key)
 
     # Features
 

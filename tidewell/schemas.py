@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-
-def snapshot_ddl(key_type: str = "INT") -> str:
-    return f"user_id {key_type}, name STRING, city STRING, last_login DATE"
-
-
-def changes_ddl(key_type: str = "INT") -> str:
-    return f"action STRING, {snapshot_ddl(key_type)}"
-
+USERS_DDL = "user_id INT, name STRING, city STRING, last_login DATE"
 
 # Order of a change: its file, then the block of the file, then the row within the block.
 SEQ_DDL = "STRUCT<file: STRING, block: BIGINT, row: BIGINT>"
+
+
+def changes_ddl(ddl: str) -> str:
+    """Layout of the changes of a table: the action, then the whole row."""
+    return f"action STRING, {ddl}"

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import drop_name, file_key, first_number, is_snapshot_name
-from tidewell.schemas import changes_ddl, snapshot_ddl
+from tidewell.schemas import USERS_DDL, changes_ddl
 from tidewell.session import settle
 
 _PATH = "_metadata.file_path"
@@ -43,14 +43,14 @@ def latest_snapshot_name(spark: SparkSession, landing: str) -> str:
     return newest.name
 
 
-def read_snapshot(spark: SparkSession, path: str, *, key_type: str = "INT") -> DataFrame:
-    return spark.read.schema(snapshot_ddl(key_type)).option("recursiveFileLookup", "true").csv(path)
+def read_snapshot(spark: SparkSession, path: str, *, ddl: str = USERS_DDL) -> DataFrame:
+    return spark.read.schema(ddl).option("recursiveFileLookup", "true").csv(path)
 
 
-def read_latest_snapshot(spark: SparkSession, landing: str, *, key_type: str = "INT") -> DataFrame:
+def read_latest_snapshot(spark: SparkSession, landing: str, *, ddl: str = USERS_DDL) -> DataFrame:
     name = latest_snapshot_name(spark, landing)
     # A filter on file metadata is applied to the file listing: other files are not opened.
-    return read_snapshot(spark, landing, key_type=key_type).filter(drop_name(F.col(_PATH)) == name)
+    return read_snapshot(spark, landing, ddl=ddl).filter(drop_name(F.col(_PATH)) == name)
 
 
 def with_order(changes: DataFrame) -> DataFrame:
@@ -72,9 +72,9 @@ def with_position(changes: DataFrame) -> DataFrame:
     )
 
 
-def read_changes(spark: SparkSession, landing: str | list[str], *, key_type: str = "INT") -> DataFrame:
+def read_changes(spark: SparkSession, landing: str | list[str], *, ddl: str = USERS_DDL) -> DataFrame:
     """All change files as one log, with ``seq``: by file name, then by position."""
-    raw = spark.read.schema(changes_ddl(key_type)).option("recursiveFileLookup", "true").csv(landing)
+    raw = spark.read.schema(changes_ddl(ddl)).option("recursiveFileLookup", "true").csv(landing)
     return with_order(with_position(raw))
 
 

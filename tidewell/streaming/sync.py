@@ -27,7 +27,7 @@ def sync_stream(
     were committed, so a batch that is repeated after a failure has no effect. ``after_batch`` can
     publish features.
     """
-    raw = table.spark.readStream.schema(changes_ddl(table.key_type)).option("recursiveFileLookup", "true")
+    raw = table.spark.readStream.schema(changes_ddl(table.ddl)).option("recursiveFileLookup", "true")
     if max_files is not None:
         raw = raw.option("maxFilesPerTrigger", max_files)
 
