@@ -237,9 +237,11 @@ def _loaded_table(spark, sf_dir):
     return table
 
 
-def _stream_in_two_runs(spark, table, early, late, **options):
+def _stream_in_two_runs(spark, table, early, late, snapshots=None, **options):
     """Deliver and take up ``early``, then ``late``, as two runs of one stream."""
     landing, checkpoint = workspace(spark, "landing"), workspace(spark, "checkpoint")
+    if snapshots is not None:
+        inputs.deliver(snapshots, landing, "user_id")
     for log in (early, late):
         inputs.deliver(log, landing, "seq")
         sync_stream(table, landing, checkpoint, **options).awaitTermination()
@@ -280,8 +282,12 @@ def stream_late_repair(spark, sf_dir):
     table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
     one_day = F.col("delivery").startswith("20240110")
     landing = _stream_in_two_runs(
-        spark, table, log.filter(~one_day), log.filter(one_day), after_batch=SyncedTable.compact
+        spark,
+        table,
+        log.filter(~one_day),
+        log.filter(one_day),
+        snapshots=inputs.snapshots(spark, sf_dir),
+        after_batch=SyncedTable.compact,
     )
-    log = files.settle_changes(files.read_changes(spark, landing, ddl=USERS_DDL))
-    table.load(changes.replay(table.state(0), log))
+    table.rebuild(landing)
     return table.state()

@@ -16,7 +16,7 @@ writer at a time.
 
 Changes are ordered by file name, whatever the order of arrival. Once compacted, the order is settled:
 a file whose name sorts at or before the newest compacted file is kept apart as late, and a full replay
-of the landing folder (``load``) puts it right.
+of the landing folder (``rebuild``) puts it right.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from tidewell.operators.changes import replay
 from tidewell.operators.joins import join_unique
 from tidewell.plans.features import city_features, city_stats, normalize_city, sort_features
 from tidewell.schemas import SEQ_DDL, USERS_DDL, changes_ddl
+from tidewell.sources.files import read_changes, read_latest_snapshot, settle_changes
 
 # snapshot: version of the snapshot to start from; its log is that of later versions.
 # mark: newest file whose changes are part of the snapshot.
@@ -91,6 +92,13 @@ class SyncedTable:
         self._commit(version, kind="load", snapshot=version, mark=mark)
         return version
 
+    def rebuild(self, landing: str) -> int:
+        """Replace the table by the newest snapshot of ``landing`` with all its change files replayed."""
+        log = settle_changes(read_changes(self.spark, landing, ddl=self.ddl))
+        newest = log.agg(F.max("seq.file")).first()[0]
+        base = read_latest_snapshot(self.spark, landing, ddl=self.ddl)
+        return self.load(replay(base, log, key=self.key), mark=newest)
+
     def append(self, changes: DataFrame, *, stream: str | None = None, batch_id: int | None = None) -> int:
         """Add changes, as given by ``read_changes``.
 
