@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import sharding
+from tidewell.llm import sharding, simhash
 from tidewell.llm.common import table
 
 
@@ -24,6 +24,12 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op7_virtual_slots": op7_virtual_slots,
+    "op9_simhash_vantage": op9_simhash_vantage,
 }
