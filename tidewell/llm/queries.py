@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import sharding, simhash
+from tidewell.llm import quality, sharding, simhash
 from tidewell.llm.common import table
 
 
+def op3_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "score",
+    )
+
+
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_records(table(spark, sf_dir, "documents"), sharding.map_folder(spark))
     return placed.select(
@@ -30,6 +45,7 @@ def op9_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_isolation_forest": op3_isolation_forest,
     "op7_virtual_slots": op7_virtual_slots,
     "op9_simhash_vantage": op9_simhash_vantage,
 }
