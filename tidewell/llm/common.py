@@ -19,6 +19,21 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return ["" if text is None else text for text in column.to_pylist()]
 
 
+def runs_of(batch: pa.RecordBatch, chars: int) -> Iterator[tuple[pa.Array, list[str]]]:
+    """First column and texts (second column; null counts as empty) of runs of rows with about so many
+    characters; a longer text is a run of its own."""
+    start, held, texts = 0, 0, []
+    for row, text in enumerate(batch.column(1)):
+        text = text.as_py() or ""
+        if texts and held + len(text) > chars:
+            yield batch.column(0).slice(start, row - start), texts
+            start, held, texts = row, 0, []
+        texts.append(text)
+        held += len(text)
+    if texts:
+        yield batch.column(0).slice(start), texts
+
+
 def lower_words(text: str) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` in UTF-8 with A-Z lower-cased.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import quality, sharding, simhash
+from tidewell.llm import packing, quality, sharding, simhash
 from tidewell.llm.common import table
 
 
@@ -24,6 +24,23 @@ def op3_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """The digest of packed documents that op6 and the pipeline return."""
+    return packing.pack(docs).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op6_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_records(table(spark, sf_dir, "documents"), sharding.map_folder(spark))
     return placed.select(
@@ -46,6 +63,7 @@ def op9_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_isolation_forest": op3_isolation_forest,
+    "op6_window_packing": op6_window_packing,
     "op7_virtual_slots": op7_virtual_slots,
     "op9_simhash_vantage": op9_simhash_vantage,
 }
