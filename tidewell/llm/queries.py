@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import packing, quality, sharding, simhash
+from tidewell.llm import bpe, packing, quality, sharding, simhash
 from tidewell.llm.common import table
 
 
@@ -56,6 +56,15 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -65,5 +74,6 @@ QUERIES = {
     "op3_isolation_forest": op3_isolation_forest,
     "op6_window_packing": op6_window_packing,
     "op7_virtual_slots": op7_virtual_slots,
+    "op8_backtracking_bpe": op8_backtracking_bpe,
     "op9_simhash_vantage": op9_simhash_vantage,
 }
