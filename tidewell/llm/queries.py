@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, main_text, packing, quality, sharding, simhash
+from tidewell.llm import bpe, lsh, main_text, packing, quality, sharding, simhash
 from tidewell.llm.common import table
 
 
@@ -24,6 +24,12 @@ def op3_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = lsh.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op5_mincut_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = main_text.extract(table(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -77,6 +83,7 @@ def op9_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_isolation_forest": op3_isolation_forest,
+    "op4_multiprobe_lsh": op4_multiprobe_lsh,
     "op5_mincut_extraction": op5_mincut_extraction,
     "op6_window_packing": op6_window_packing,
     "op7_virtual_slots": op7_virtual_slots,
