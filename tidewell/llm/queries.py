@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, lsh, main_text, packing, quality, sharding, simhash
+from tidewell.llm import bpe, lsh, main_text, packing, pii, quality, sharding, simhash
 from tidewell.llm.common import table
 
 
@@ -81,6 +81,16 @@ def op9_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = [
+        F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(pii.KINDS)
+    ]
+    digest = F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *count, digest, pii.listed("spans").alias("spans"))
+
+
 QUERIES = {
     "op3_isolation_forest": op3_isolation_forest,
     "op4_multiprobe_lsh": op4_multiprobe_lsh,
@@ -89,4 +99,5 @@ QUERIES = {
     "op7_virtual_slots": op7_virtual_slots,
     "op8_backtracking_bpe": op8_backtracking_bpe,
     "op9_simhash_vantage": op9_simhash_vantage,
+    "op10_boosted_pii": op10_boosted_pii,
 }
