@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, lsh, main_text, packing, pii, quality, sharding, simhash
+from tidewell.llm import bpe, lm, lsh, main_text, packing, pii, quality, sharding, simhash
 from tidewell.llm.common import table
 
 
+def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -92,6 +96,7 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_recurrent_lm": op2_recurrent_lm,
     "op3_isolation_forest": op3_isolation_forest,
     "op4_multiprobe_lsh": op4_multiprobe_lsh,
     "op5_mincut_extraction": op5_mincut_extraction,
