@@ -31,11 +31,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidewell.llm.common import runs_of, starts_of
+from tidewell.llm.common import Recent, runs_of, starts_of
 
 #: Entries of each table that a task keeps.
 MEMORY = 200_000
-LONG_WORD = 64
 RUN_CHARS = 1 << 21
 SPAN = 1 << 20
 
@@ -53,29 +52,6 @@ def byte_letters() -> list[str]:
     return [letters[byte] for byte in range(256)]
 
 
-class Recent:
-    """A table of words that forgets those not used for ``MEMORY`` new ones. A matter of speed only."""
-
-    def __init__(self):
-        self.now: dict = {}
-        self.old: dict = {}
-
-    def get(self, word: str):
-        value = self.now.get(word)
-        if value is None:
-            value = self.old.get(word)
-            if value is not None:
-                self.put(word, value)
-        return value
-
-    def put(self, word: str, value) -> None:
-        if len(word) > LONG_WORD:
-            return
-        if len(self.now) >= MEMORY:
-            self.now, self.old = {}, self.now
-        self.now[word] = value
-
-
 class Merges:
     """Tokens and merge ranks over symbols: one per byte, and another per byte that ends a word."""
 
@@ -164,8 +140,8 @@ class Codec:
         #: All token names, each with a blank behind it, and where each one begins.
         self.letters = np.frombuffer(b"".join(shown), np.uint8)
         self.offsets = starts_of(np.array([len(name) for name in shown]))
-        self.chunks = Recent()
-        self.parts = Recent()
+        self.chunks = Recent(MEMORY)
+        self.parts = Recent(MEMORY)
 
     def _encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a text without white space."""

@@ -10,6 +10,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+LONG_WORD = 64
+
+
+class Recent:
+    """A table of words that forgets those not asked for during ``size`` new ones, and never keeps long
+    ones. A matter of speed only."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.now: dict = {}
+        self.old: dict = {}
+
+    def get(self, word: str):
+        value = self.now.get(word)
+        if value is None:
+            value = self.old.get(word)
+            if value is not None:
+                self.put(word, value)
+        return value
+
+    def put(self, word: str, value) -> None:
+        if len(word) > LONG_WORD:
+            return
+        if len(self.now) >= self.size:
+            self.now, self.old = {}, self.now
+        self.now[word] = value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import re
 import struct
-from collections import deque
 from collections.abc import Iterator
 from functools import cache
 
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from tidewell.llm.common import runs_of, starts_of
+from tidewell.llm.common import LONG_WORD, runs_of, starts_of
 
 WIDTH = 1024
 END = 0
@@ -44,12 +43,13 @@ SEQUENCE_COST = 8.0
 #: Distance of cuts where there is no boundary.
 GRID = 64
 STREAM_CHARS = 1 << 23
-#: Words whose ids are remembered by a task; then it starts anew. A matter of speed only.
-MEMORY = 300_000
+#: Words whose ids a task remembers, twice. A matter of speed only.
+MEMORY = 400_000
 
 #: A single space between two characters that are not white space: a new piece begins there in any case.
 SEAM = re.compile(r"(?<=\S) (?=\S)")
 BLANKS = re.compile(r"\s\s")
+NONE: list[int] = []
 #: What ends a sentence, at the end of a word.
 STOPS = (".", "!", "?", "\n")
 
@@ -68,36 +68,42 @@ class WordTokens:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.blobs: list[bytes] = []
-        self.sizes: list[int] = []
-        self.stops: list[bool] = []
-
-    def _learn(self, words: list[str]) -> None:
-        for word, encoding in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            ids = encoding.ids
-            self.place[word] = len(self.blobs)
-            self.blobs.append(pack_ids(ids))
-            self.sizes.append(len(ids))
-            self.stops.append(word.endswith(STOPS) or "\n" in word)
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-        """Per text: its ids as little-endian 32-bit numbers, and for each word the token where it ends
-        and whether a sentence may end there."""
-        if len(self.place) > MEMORY:
-            self.forget()
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        names = [self.tokenizer.decode([token]) for token in range(self.tokenizer.get_vocab_size())]
+        #: Tokens that may end a sentence, and those that begin with white space.
+        self.stops = np.array([name.endswith(STOPS) for name in names])
+        self.blanks = np.array([name[:1].isspace() for name in names])
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text as little-endian 32-bit numbers."""
         for begin in range(0, len(texts), 256):
             block = [self._words(text) for text in texts[begin : begin + 256]]
-            new = {word for words in block for word in words}.difference(self.place)
-            self._learn(sorted(new))
+            if len(self.now) > MEMORY:  # words that were not met since the last time are forgotten
+                self.now, self.old = {}, self.now
+            self._learn(set().union(*block).difference(self.now))
             for words in block:
-                places = [self.place[word] for word in words]
-                sizes = np.array([self.sizes[x] for x in places], np.int64)
-                stops = np.array([self.stops[x] for x in places], bool)
-                yield b"".join([self.blobs[x] for x in places]), np.cumsum(sizes), stops
+                yield b"".join(map(self.now.__getitem__, words))
+            for word in [word for words in block for word in words if len(word) > LONG_WORD]:
+                self.now.pop(word, None)
+
+    def _learn(self, words: set[str]) -> None:
+        unknown = []
+        for word in words:
+            ids = self.old.get(word)
+            if ids is None:
+                unknown.append(word)
+            else:
+                self.now[word] = ids
+        encodings = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
+        for word, encoding in zip(unknown, encodings, strict=True):
+            self.now[word] = pack_ids(encoding.ids)
+
+    def sentence_ends(self, ids: bytes) -> np.ndarray:
+        """Numbers of tokens after which a sentence may end."""
+        tokens = np.frombuffer(ids, "<u4")
+        after = np.append(self.blanks[tokens[1:]], True)
+        return np.nonzero(self.stops[tokens] & after[: len(tokens)])[0] + 1
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -115,14 +121,14 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
-def cut_points(ends: np.ndarray, stops: np.ndarray, total: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where one document may be cut, with penalties; ``total`` counts its end token.
+def cut_points(ends: np.ndarray, total: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where one document may be cut, with penalties; ``ends`` are those of sentences, ``total`` counts the
+    document's end token.
 
     Its last point is its end. No two points, and not its start and its first point, are more than half
     a window apart.
     """
-    at = np.unique(ends[stops])
-    at = at[(at > 0) & (at < total)]
+    at = ends[ends < total]
     penalty = np.full(len(at) + 1, SENTENCE_PENALTY)
     penalty[-1] = 0.0
     at = np.append(at, total)
@@ -149,31 +155,40 @@ def with_full_windows(at: np.ndarray, penalty: np.ndarray, width: int) -> tuple[
 def best_cuts(at: np.ndarray, penalty: np.ndarray, width: int = WIDTH) -> np.ndarray:
     """The chosen ones of the cuts ``at`` (ascending, not 0, the last one is the end of the stream)."""
     where = np.append(0, at)
-    powers = [1 << k for k in range(width.bit_length()) if 1 << k < width]
-    short: dict[int, list[int]] = {}
-    for power in powers:
-        place = np.searchsorted(where, where - power)
-        hit = (where[np.minimum(place, len(where) - 1)] == where - power) & (where >= power)
-        for j, i in zip(np.nonzero(hit)[0].tolist(), place[hit].tolist(), strict=True):
-            short.setdefault(j, []).append(i)
-    position, cost = where.tolist(), np.append(0.0, penalty + SEQUENCE_COST).tolist()
+    short: list[list[int]] = [NONE] * len(where)
+    for power in [1 << k for k in range(width.bit_length()) if 1 << k < width]:
+        # Windows of a few tokens serve to end a stream only.
+        first = 1 if power >= width // 16 else np.searchsorted(where, where[-1] - 2 * width, side="left")
+        ends = np.arange(max(1, first), len(where))
+        ends = ends[where[ends] >= power]
+        place = np.searchsorted(where, where[ends] - power)
+        hit = where[place] == where[ends] - power
+        for j, i in zip(ends[hit].tolist(), place[hit].tolist(), strict=True):
+            short[j] = [*short[j], i]
+    position, cost = where.tolist(), np.append(0.0, penalty + SEQUENCE_COST + width).tolist()
     best, before = [0.0] * len(position), [0] * len(position)
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])
-    for j in range(1, len(position)):
-        here = position[j]
-        while position[queue[0][1]] < here - width:
-            queue.popleft()
-        value, i = queue[0]
-        value += width - here
-        for other in short.get(j, ()):
-            if best[other] < value:
-                value, i = best[other], other
-        value += cost[j]
-        best[j], before[j] = value, i
+    # The monotone queue: cuts in reach by place, and what they cost with their place, ascending.
+    head, cuts, costs = 0, [0], [0.0]
+    j = 0
+    for here, extra, others in zip(position[1:], cost[1:], short[1:], strict=True):
+        j += 1
+        least = here - width
+        while position[cuts[head]] < least:
+            head += 1
+        i = cuts[head]
+        value = costs[head] - here
+        for other in others:
+            if best[other] - width < value:
+                value, i = best[other] - width, other
+        value += extra
+        best[j] = value
+        before[j] = i
         reach = value + here
-        while queue and queue[-1][0] >= reach:
-            queue.pop()
-        queue.append((reach, j))
+        while len(costs) > head and costs[-1] >= reach:
+            costs.pop()
+            cuts.pop()
+        costs.append(reach)
+        cuts.append(j)
     chosen = []
     j = len(position) - 1
     while j:
@@ -188,9 +203,9 @@ def packed(texts: list[str], encoder: WordTokens, width: int = WIDTH, end: int =
     blobs, points, penalties, lengths = [], [], [], []
     start = 0
     tail = pack_ids([end])
-    for ids, ends, stops in encoder.encode(texts):
+    for ids in encoder.encode(texts):
         total = len(ids) // 4 + 1
-        at, penalty = cut_points(ends, stops, total, width)
+        at, penalty = cut_points(encoder.sentence_ends(ids), total, width)
         blobs.append(ids + tail)
         points.append(at + start)
         penalties.append(penalty)
