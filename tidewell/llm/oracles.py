@@ -1,3 +1,28 @@
 """SQL for the queries of this folder, as far as SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_temporal_lists": r"""
+WITH hosts AS (
+  SELECT page_id, url, nullif(regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1), '') AS host,
+         DATE '2024-01-01' + CAST(('0x' || substr(md5(url), 1, 4)) AS INTEGER) % 366 AS fetched_on
+  FROM pages
+), changes AS (
+  SELECT regexp_replace(host, '^(www|m|blog)\.', '') AS entry, page_id AS number,
+         DATE '2024-01-01' + CAST(('0x' || substr(md5('list ' || url), 1, 4)) AS INTEGER) % 366 AS day,
+         CASE WHEN starts_with(url, 'https') THEN 'add' ELSE 'remove' END AS action
+  FROM hosts WHERE regexp_matches(host, 'casino|bets|pills')
+), latest AS (
+  SELECT h.page_id, c.entry, c.action, c.day,
+         row_number() OVER (PARTITION BY h.page_id, c.entry ORDER BY c.day DESC, c.number DESC) AS place
+  FROM hosts h JOIN changes c
+    ON (h.host = c.entry OR ends_with(h.host, '.' || c.entry)) AND c.day <= h.fetched_on
+), hit AS (
+  SELECT page_id, entry, day,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(entry) DESC, entry DESC) AS place
+  FROM latest WHERE place = 1 AND action = 'add'
+)
+SELECT h.page_id, h.url, h.fetched_on, h.host, i.page_id IS NOT NULL AS blocked, i.entry,
+       i.day AS active_since
+FROM hosts h LEFT JOIN hit i ON i.page_id = h.page_id AND i.place = 1
+""",
+}

@@ -5,10 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, lm, lsh, main_text, packing, pii, quality, sharding, simhash
+from tidewell.llm import bpe, lm, lsh, main_text, packing, pii, quality, sharding, simhash, url_lists
 from tidewell.llm.common import table
 
 
+def op1_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures, and a list of domains that pages on suspicious hosts put on and take off it.
+
+    The days of captures and of list changes are drawn from a hash of the address.
+    """
+    pages = table(spark, sf_dir, "pages")
+    hosts = pages.select("page_id", "url", url_lists.host("url").alias("host"))
+    day = lambda text: F.date_add(
+        F.lit("2024-01-01").cast("date"), (F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int") % 366)
+    )
+    captures = hosts.select("page_id", "url", day(F.col("url")).alias("fetched_on"))
+    changes = hosts.filter(F.col("host").rlike("casino|bets|pills")).select(
+        F.regexp_replace("host", r"^(www|m|blog)\.", "").alias("entry"),
+        day(F.concat(F.lit("list "), "url")).alias("day"),
+        F.when(F.col("url").startswith("https"), "add").otherwise("remove").alias("action"),
+        F.col("page_id").alias("number"),
+    )
+    return url_lists.judged(captures, url_lists.intervals(changes))
+
+
 def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
@@ -96,6 +116,7 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_temporal_lists": op1_temporal_lists,
     "op2_recurrent_lm": op2_recurrent_lm,
     "op3_isolation_forest": op3_isolation_forest,
     "op4_multiprobe_lsh": op4_multiprobe_lsh,

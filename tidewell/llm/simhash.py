@@ -11,7 +11,8 @@ and searched block against block.
 
 Defined results: a null text is empty; a text without words has fingerprint zero and is linked like any
 other; rows with a null id are grouped too, and a component with null ids only has a null id; repeated
-rows are all returned; an empty table gives an empty result. Only the two named columns are read.
+rows are all returned; an empty table gives an empty result. ``near_duplicates`` reads the two named columns
+only; ``keep_one`` returns all columns of its input, whatever their names, and no others.
 """
 
 from __future__ import annotations
@@ -137,19 +138,49 @@ def near_edges(prints: DataFrame, reach: int = REACH) -> DataFrame:
     )
 
 
+def rooted(prints: DataFrame, key: str, reach: int) -> DataFrame:
+    """``fingerprint``, ``least`` (its smallest key) and ``root`` of every distinct fingerprint."""
+    distinct = settle(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct-fingerprints")
+    linked = components(near_edges(distinct, reach))
+    roots = distinct.join(linked, distinct.fingerprint == linked.node, "left")
+    return settle(roots.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
     """``key``, ``fingerprint`` and ``component_id`` (smallest key reachable) of every row."""
     prints = settle(fingerprints(docs, key, text), "fingerprints")
-    distinct = settle(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct-fingerprints")
-    linked = components(near_edges(distinct, reach))
-    rooted = distinct.join(linked, distinct.fingerprint == linked.node, "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    rooted = settle(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fingerprint", "component_id")
+    roots = rooted(prints, key, reach)
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = roots.join(least, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
+    """One row of each component, with all columns of ``docs``: the one with the smallest key (a null key
+    comes last), and of rows that share it, the one with the smallest fingerprint."""
+    columns = docs.columns
+    place = columns.index(text)
+    schema = docs.select("*").schema.add("__print", "long")
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([fingerprint(x) for x in texts_of(batch.column(place))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], names=schema.names)
+
+    prints = settle(fingerprints(docs, key, text), "fingerprints")
+    roots = rooted(prints, key, reach).select("fingerprint", "root")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("fingerprint").alias("print"))
+    first = prints.join(roots, "fingerprint").groupBy("root").agg(F.min(order).alias("first"))
+    first = first.select(F.col("first.key").alias("__key"), F.col("first.print").alias("__first"))
+    marked = docs.mapInArrow(mapped, schema)
+    same = (F.col("__print") == F.col("__first")) & F.col(key).eqNullSafe(F.col("__key"))
+    kept = marked.join(first, same, "left_semi")
+    # Rows that are equal in key and text can't be told apart by the join.
+    repeated = prints.groupBy(key, "fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates([key, "__print"])
+    return kept.select(*columns)
+
+
 def hex_digits(bits: str = "fingerprint"):
     return F.lower(F.lpad(F.hex(F.col(bits)), 16, "0"))
