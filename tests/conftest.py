@@ -1,5 +1,6 @@
 import pytest
 
+from tidewell.operators import joins
 from tidewell.session import BROADCAST_CONF, SPLIT_FLOOR_CONF, build_session
 
 
@@ -22,8 +23,9 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture
-def at_scale(spark):
+def at_scale(spark, monkeypatch):
     """Treat the small test tables as too large to broadcast or to leave alone."""
+    monkeypatch.setattr(joins, "HOT_BYTES", 0)
     settings = {
         SPLIT_FLOOR_CONF: "0",
         BROADCAST_CONF: "0",

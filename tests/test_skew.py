@@ -1,15 +1,25 @@
 """One key holds a third of all rows: results stay whole, and no task takes the whole key."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import executed_plan
 from tidewell import city_features, replay
-from tidewell.operators.joins import HOT_LIMIT, hot_keys, join_unique
+from tidewell.operators import joins
+from tidewell.operators.joins import HOT_LIMIT, hot_keys, join_unique, sized_lookup
 from tidewell.plans.features import city_stats, normalize_city
-from tidewell.session import BROADCAST_CONF, workspace
+from tidewell.session import (
+    BROADCAST_CONF,
+    SPLIT_FLOOR_CONF,
+    estimated_bytes,
+    memory_bytes,
+    scratch,
+    shared_folder,
+    workspace,
+)
 
 N = 30_000
 
@@ -70,19 +80,73 @@ def test_features_with_a_hot_city_and_day(spark, tables, at_scale):
     assert stats.count() == base.select("city", "last_login").distinct().count()
 
 
-def test_too_many_hot_keys_are_refused(tables):
-    base, log = tables
-    lookup = log.groupBy("user_id").agg(F.max("seq").alias("last"))
-    with pytest.raises(ValueError, match="at most"):
-        join_unique(base, lookup, ["user_id"], hot=[(i,) for i in range(HOT_LIMIT + 1)])
-
-
 def test_a_written_lookup_of_known_size_is_broadcast(spark, tables, at_scale):
     """Up to the limit for written lookups, large rows are not shuffled at all."""
     base, log = tables
     expected = checksum(replay(base, log))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     spark.conf.set(BROADCAST_CONF, str(64 << 20))
     result = replay(base, log)
     assert checksum(result) == expected
     plan = executed_plan(result)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_a_lookup_is_broadcast_by_its_size_in_memory(spark, tables):
+    """Few bytes of Parquet, many rows: not broadcast. Nor is anything if the user has forbidden it."""
+    base, _ = tables
+    path = workspace(spark, "lookup")
+    spark.range(300_000).selectExpr("CAST(id AS INT) AS user_id", "1L AS last").write.parquet(path)
+    lookup = spark.read.parquet(path)
+    assert memory_bytes(lookup) > 10 * estimated_bytes(lookup)
+    settings = {
+        SPLIT_FLOOR_CONF: "0",
+        "spark.sql.autoBroadcastJoinThreshold": "1000",
+        BROADCAST_CONF: str(memory_bytes(lookup) - 1),
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        assert sized_lookup(lookup, base)[1]
+        spark.conf.set(BROADCAST_CONF, str(memory_bytes(lookup)))
+        assert not sized_lookup(lookup, base)[1]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert sized_lookup(lookup, base)[1]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_a_long_list_of_hot_keys_is_cut(tables):
+    base, log = tables
+    lookup = log.groupBy("user_id").agg(F.max("seq").alias("last"))
+    keys = [(7,), *((i,) for i in range(100, 100 + 2 * HOT_LIMIT))]
+    assert checksum(join_unique(base, lookup, ["user_id"], hot=keys)) == checksum(
+        join_unique(base, lookup, ["user_id"], hot=())
+    )
+
+
+def test_a_key_is_hot_by_its_bytes(at_scale, tables, monkeypatch):
+    base, _ = tables
+    monkeypatch.setattr(joins, "HOT_BYTES", 1 << 40)
+    assert hot_keys(base, ["user_id"]) == []
+
+
+def test_the_shared_folder_is_needed_on_clusters():
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda name, default=None: folder or default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("yarn", "/shared/")) == "/shared"
+    assert shared_folder(session("local[4]")) == shared_folder(session("local"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
+
+
+def test_scratch_tables_are_removed(spark):
+    with scratch(spark):
+        path = workspace(spark, "table")
+        spark.range(3).write.parquet(path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

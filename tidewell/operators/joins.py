@@ -1,8 +1,8 @@
 """Left join of many rows to a lookup that has one row per key, safe for hot keys.
 
 Small lookups are broadcast by Catalyst, which checks their size. If the rows are many and the lookup's
-size is only guessed (it is the result of an aggregation), the lookup is written first: now its size is
-known, and up to a limit it is broadcast, so that the rows need no shuffle. If it is larger, the
+size is only guessed (it is the result of an aggregation), the lookup is written first: now its rows and
+texts can be counted, and up to a limit of their size in memory it is broadcast, so that the rows need no shuffle. If it is larger, the
 heaviest keys of the rows are found in a sample and taken out of the shuffle: their lookup rows, at most
 HOT_LIMIT, are broadcast, and all other rows take the shuffle join. The sample only decides which way a
 row goes, never whether it is kept.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewell.session import (
@@ -25,13 +25,16 @@ from tidewell.session import (
     estimated_bytes,
     input_bytes,
     is_large,
+    memory_bytes,
     settle,
+    shared_folder,
     written_broadcast_limit,
 )
 
 HOT_LIMIT = 1000  # at most this many keys are kept out of the shuffle
-HOT_FLOOR = 100  # sampled rows a key must have to be called hot
-SAMPLE_BYTES = 1 << 24  # about this much of the rows is sampled
+HOT_FLOOR = 30  # sampled rows a key must have, so that chance does not make it hot
+HOT_BYTES = 1 << 26  # about this much of the rows a key must have to be called hot
+SAMPLE_BYTES = 1 << 30  # about this much of the rows is sampled, keys only
 
 HotKeys = Sequence[tuple]
 
@@ -39,27 +42,34 @@ HotKeys = Sequence[tuple]
 def sized_lookup(lookup: DataFrame, *rows: DataFrame) -> tuple[DataFrame, bool]:
     """``lookup``, and whether joining it to some of ``rows`` means to shuffle many of them."""
     spark = lookup.sparkSession
+    shared_folder(spark)
     if not any(map(is_large, rows)) or estimated_bytes(lookup) <= broadcast_limit(spark):
         return lookup, False
     lookup = settle(lookup, "lookup")
-    if estimated_bytes(lookup) <= max(broadcast_limit(spark), written_broadcast_limit(spark)):
+    if broadcast_limit(spark) >= 0 and memory_bytes(lookup) <= written_broadcast_limit(spark):
         return F.broadcast(lookup), False
     return lookup, True
 
 
 def hot_keys(rows: DataFrame, on: Sequence[str]) -> HotKeys:
     """The heaviest keys in a sample of ``rows``, at most HOT_LIMIT of them."""
-    fraction = min(1.0, max(SAMPLE_BYTES / max(input_bytes(rows), 1), 1e-7))
+    size = max(input_bytes(rows), 1)
+    fraction = min(1.0, max(SAMPLE_BYTES / size, 1e-7))
+    share = min(1.0, HOT_BYTES / size)
+    counted = Observation()
     heavy = (
         rows.select(*on)
         .sample(fraction=fraction, seed=7)
+        .observe(counted, F.count(F.lit(1)).alias("n"))
         .groupBy(*on)
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") >= HOT_FLOOR)
         .orderBy(F.desc("_n"), *on)
         .limit(HOT_LIMIT)
+        .collect()
     )
-    return [tuple(row[name] for name in on) for row in heavy.collect()]
+    floor = share * counted.get["n"]
+    return [tuple(row[name] for name in on) for row in heavy if row["_n"] >= floor]
 
 
 def _join(rows: DataFrame, other: DataFrame, on: Sequence[str], null_safe: bool, how: str) -> DataFrame:
@@ -82,7 +92,8 @@ def join_unique(
 ) -> DataFrame:
     """``rows`` LEFT JOIN ``lookup``, which must have one row per ``on`` key.
 
-    ``hot`` names the keys to keep out of the shuffle; by default they are looked for when needed.
+    ``hot`` names the keys to keep out of the shuffle, the heaviest first, as only HOT_LIMIT of them can be;
+    by default they are looked for when needed.
     """
     if hot is None:
         lookup, shuffled = sized_lookup(lookup, rows)
@@ -90,9 +101,8 @@ def join_unique(
     if not hot:
         return _join(rows, lookup, on, null_safe, "left")
 
-    keys = list(dict.fromkeys(map(tuple, hot)))
-    if len(keys) > HOT_LIMIT:
-        raise ValueError(f"at most {HOT_LIMIT} hot keys can be broadcast, got {len(keys)}")
+    # The first of a longer list; the others take the shuffle join like all keys.
+    keys = list(dict.fromkeys(map(tuple, hot)))[:HOT_LIMIT]
     few = F.broadcast(rows.sparkSession.createDataFrame(keys, rows.select(*on).schema))
     has_null = any(value is None for key in keys for value in key)  # else the faster plain equality will do
     # One row per hot key, with its attributes if the lookup has the key. Joining it picks the hot rows.
