@@ -3,6 +3,7 @@ import pytest
 from tests.rows import in_order
 from tests.test_features import CHANGES, FIRST_TEN, SNAPSHOT, STATES, dated
 from tests.test_sources import put
+from tidewell import SyncedTable
 from tidewell.__main__ import main
 from tidewell.schemas import USERS_DDL
 from tidewell.sources.files import read_snapshot
@@ -27,3 +28,15 @@ def test_batch_job(spark, tmp_path, capsys):
     assert "Oliver Figueroa" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         main([*paths[:2], "--state", f"{paths[0]}/output", "--features", paths[3]])
+
+
+def test_incremental_job(spark, tmp_path, capsys):
+    landing, table = tmp_path / "landing", str(tmp_path / "table")
+    arguments = ["sync", str(landing), table, "--checkpoint", str(tmp_path / "checkpoint"), "--compact", "0"]
+    put(landing, "LOAD00000001.csv", *lines(SNAPSHOT))
+    main(arguments)
+    put(landing, "20211017-194324349.csv", *lines(CHANGES), "Q,1,x,y,2021-01-01")
+    put(tmp_path, "cities.csv", *lines(STATES))
+    main([*arguments, "--dimension", str(tmp_path / "cities.csv"), "--as-of", "2021-10-18"])
+    assert SyncedTable(spark, table).state().count() == len(SNAPSHOT) + 3
+    assert "rejected 1, late 0" in capsys.readouterr().out

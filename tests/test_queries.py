@@ -5,7 +5,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from tidewell.catalog.oracles import ORACLES
+from tidewell.catalog.queries import QUERIES
 from tidewell.operators import joins
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -37,7 +38,7 @@ def comparable(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 JOINING = [
@@ -64,14 +65,14 @@ def test_query_equals_oracle_at_scale(name, at_scale, duck, monkeypatch):
     check(name, at_scale, duck)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(name, spark, duck):
     check(name, spark, duck)
 
 
 def check(name, spark, duck):
-    result = entry.queries()[name](spark, SF_DIR)
-    expected = duck.execute(entry.oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.execute(ORACLES[name])
     columns = [column[0] for column in expected.description]
     types = {column[0]: str(column[1]) for column in expected.description}
     assert {name: SQL_TYPES[kind] for name, kind in result.dtypes} == types

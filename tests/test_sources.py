@@ -27,8 +27,8 @@ def test_files_are_routed_by_name_and_the_highest_number_wins(spark, tmp_path):
     put(landing, "20211017-194324349.csv", "U,1,changed,X,2021-01-01")
     listing = {row.name: (row.is_snapshot, row.version) for row in files.list_files(spark, str(landing)).collect()}
     assert listing == {
-        "LOAD9.csv": (True, 9),
-        "LOAD00000010.csv": (True, 10),
+        "LOAD9.csv": (True, "9"),
+        "LOAD00000010.csv": (True, "10"),
         "20211017-194324349.csv": (False, None),
     }
     assert files.latest_snapshot_name(spark, str(landing)) == "LOAD00000010.csv"
@@ -93,3 +93,57 @@ def test_csv_sinks(spark, tmp_path):
     sinks.write_features_csv(base_frame(spark, rows), str(tmp_path / "features"))
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         sinks.write_features_csv(base_frame(spark, rows), str(tmp_path / "features"))
+
+
+def test_names_with_blanks_and_percent_signs(spark, tmp_path):
+    put(tmp_path, "LOAD 1.csv", "1,a,X,2021-01-01")
+    put(tmp_path, "LOAD 2%20+x.csv", "1,b,X,2021-01-01")
+    put(tmp_path, "2021 1%.csv", "U,1,c,X,2021-01-01")
+    assert files.latest_snapshot_name(spark, str(tmp_path)) == "LOAD 2%20+x.csv"
+    assert in_order(files.read_latest_snapshot(spark, str(tmp_path))) == [(1, "b", "X", D1)]
+    assert files.read_changes(spark, str(tmp_path)).first().seq.file == "2021 1%.csv"
+
+
+def test_long_snapshot_numbers_and_missing_ones(spark, tmp_path):
+    put(tmp_path, "LOAD1.csv", "1,old,X,2021-01-01")
+    put(tmp_path, "LOAD20240116101010123456.csv", "1,new,X,2021-01-01")
+    assert in_order(files.read_latest_snapshot(spark, str(tmp_path))) == [(1, "new", "X", D1)]
+    put(tmp_path, "LOAD.csv", "1,x,X,2021-01-01")
+    with pytest.raises(ValueError, match="without a number"):
+        files.latest_snapshot_name(spark, str(tmp_path))
+
+
+def test_files_of_one_name_in_two_folders_are_two_files(spark, tmp_path):
+    put(tmp_path, "LOAD1.csv", "1,a,X,2021-01-01")
+    put(tmp_path / "01", "part-0.csv", "U,1,b,X,2021-01-01", "I,2,c,X,2021-01-01")
+    put(tmp_path / "02", "part-0.csv", "U,1,d,X,2021-01-01", "I,3,e,X,2021-01-01")
+    assert in_order(replay_files(spark, str(tmp_path))) == [(1, "d", "X", D1), (2, "c", "X", D1), (3, "e", "X", D1)]
+
+
+def test_delivery_folders_and_plain_files_are_ordered_by_name(spark, tmp_path):
+    put(tmp_path, "LOAD1.csv", "1,a,X,2021-01-01")
+    put(tmp_path / "delivery=20211017-000000000", "part-00000.csv", "U,1,old,X,2021-01-01")
+    put(tmp_path, "20211018-000000000.csv", "U,1,new,X,2021-01-01")
+    assert in_order(replay_files(spark, str(tmp_path))) == [(1, "new", "X", D1)]
+
+
+def test_part_numbers_are_compared_as_numbers(spark, tmp_path):
+    put(tmp_path, "LOAD1.csv", "1,a,X,2021-01-01")
+    folder = tmp_path / "delivery=20211017-000000000"
+    put(folder, "part-99999-x.c000.csv", "U,1,first,X,2021-01-01")
+    put(folder, "part-100000-x.c000.csv", "U,1,second,X,2021-01-01")
+    assert in_order(replay_files(spark, str(tmp_path))) == [(1, "second", "X", D1)]
+
+
+def test_listing_has_no_task_per_gigabyte(spark, tmp_path):
+    for i in range(20):
+        with open(tmp_path / f"LOAD{i}.csv", "wb") as file:
+            file.truncate(1 << 30)  # sparse
+    assert files.list_files(spark, str(tmp_path)).rdd.getNumPartitions() <= 8
+    assert files.latest_snapshot_name(spark, str(tmp_path)) == "LOAD19.csv"
+
+
+def test_line_breaks_are_refused(spark, tmp_path):
+    rows = base_frame(spark, [(1, "a\nb", "X", D1)])
+    with pytest.raises(Exception, match="line break in column name"):
+        sinks.write_state_csv(rows, str(tmp_path / "state"))

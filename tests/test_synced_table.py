@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import time
 
 import pytest
 
@@ -171,3 +173,93 @@ def test_another_table_with_a_composite_key(spark, tmp_path, landing):
     put(landing, "20211017-000000000.csv", "U,1,a,1.5", "D,1,b,", "I,2,a,3")
     sync_stream(table, str(landing), str(tmp_path / "checkpoint")).awaitTermination()
     assert in_order(table.state()) == [(1, "a", 1.5), (2, "a", 3.0)]
+
+
+def test_a_file_with_an_old_time_stamp_is_taken(table, landing, sync):
+    for name, days in zip(FILES, (0, 8, 0), strict=True):
+        deliver(landing, name)
+        then = time.time() - days * 86_400
+        os.utime(landing / name, (then, then))
+        sync()
+    assert in_order(table.state()) == after(*FILES)
+
+
+def test_files_of_one_name_in_two_folders_are_both_taken(table, landing, sync):
+    put(landing / "01", "part-0.csv", "U,1,b,X,2021-01-01", "I,5,c,X,2021-01-01")
+    sync()
+    put(landing / "02", "part-0.csv", "U,1,d,X,2021-01-01", "I,6,e,X,2021-01-01")
+    sync()
+    changes = [("U", 1, "b", "X", D1), ("I", 5, "c", "X", D1), ("U", 1, "d", "X", D1), ("I", 6, "e", "X", D1)]
+    assert in_order(table.state()) == fold(BASE, changes)
+    assert table.late().count() == 0
+
+
+def test_compacted_and_repeated_files_are_not_late(spark, table, landing, sync, tmp_path):
+    first, second, third = FILES
+    deliver(landing, first, third)
+    sync(after_batch=SyncedTable.compact)
+    deliver(landing, second)
+    sync(after_batch=SyncedTable.compact)
+    late = table.late().count()
+    assert late == len(FILES[second])
+    table.append(read_changes(spark, str(landing)))
+    sync_stream(table, str(landing), str(tmp_path / "new checkpoint")).awaitTermination()
+    assert table.late().count() == late
+    assert in_order(table.state()) == after(first, third)
+    put(landing, "LOAD1.csv", *("1,a,X,2021-01-01", "2,b,Y,2021-01-01", "3,c,X,"))
+    table.rebuild(str(landing))
+    assert table.late().count() == 0
+    table.append(read_changes(spark, str(landing)))
+    assert table.late().count() == 0 and in_order(table.state()) == after(*FILES)
+
+
+def test_a_newer_snapshot_file_replaces_the_state(table, landing, sync):
+    first, second, third = FILES
+    deliver(landing, first)
+    put(landing, "LOAD1.csv", "7,z,X,2021-01-01")
+    sync()
+    base = [(7, "z", "X", D1)]
+    assert in_order(table.state()) == fold(base, FILES[first])
+    put(landing, "LOAD2.csv", *("1,a,X,2021-01-01", "2,b,Y,2021-01-01", "3,c,X,"))
+    sync()
+    assert in_order(table.state()) == after()
+    deliver(landing, second)
+    sync()
+    version = table.current().version
+    assert in_order(table.state()) == fold(BASE, FILES[second])
+    put(landing, "LOAD01.csv", "8,old,X,2021-01-01")  # not newer
+    sync()
+    assert in_order(table.state()) == fold(BASE, FILES[second])
+    sync()
+    assert table.current().version == version + 1
+
+
+def test_publishing_leaves_the_table_and_earlier_features_alone(spark, table, landing, sync):
+    dimension = spark.createDataFrame([("X", "Xland")], "city STRING, state STRING")
+    first, second, third = FILES
+    deliver(landing, first, third)
+    sync()
+    one = table.publish_features(dimension, dt.date(2021, 2, 1))
+    rows = spark.read.parquet(one).collect()
+    two = table.publish_features(dimension, dt.date(2021, 2, 1))
+    assert one != two and table.published() == [one, two]
+    assert spark.read.parquet(one).collect() == rows
+    deliver(landing, second)  # sorts before a published one, and is still in time
+    sync()
+    assert table.current().mark is None
+    assert in_order(table.state()) == after(*FILES)
+
+
+def test_compaction_by_ratio(table, landing, sync):
+    deliver(landing, *FILES)
+    sync()
+    version = table.current().version
+    assert table.compact(ratio=1e9) == version
+    assert table.compact(ratio=1e-9) == version + 1
+    assert in_order(table.state()) == after(*FILES)
+
+
+def test_rejects_of_the_table(table, landing, sync):
+    deliver(landing, *FILES)
+    sync(after_batch=SyncedTable.compact)
+    assert [(row.action, row.reason) for row in table.rejects().collect()] == [("Q", "unknown action")]

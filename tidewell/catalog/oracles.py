@@ -39,7 +39,7 @@ log AS (
   FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events)
 )"""
 
-_REPLAYED = f"""{_USERS}, {_LOG},
+_REPLAY = """
 births AS (
   SELECT user_id, name, city, last_login, -1 AS born FROM users
   UNION ALL
@@ -58,6 +58,16 @@ replayed AS (
   FROM alive a LEFT JOIN log u ON u.seq = a.upd
 )"""
 
+_REPLAYED = f"{_USERS}, {_LOG}, {_REPLAY}"
+
+# The files of the even changes come before those of the odd ones.
+_REORDERED = f"""{_USERS}, {_LOG.replace("log AS", "plain_log AS", 1)},
+log AS (SELECT * REPLACE (seq % 2 * 1000000000000 + seq AS seq) FROM plain_log), {_REPLAY}"""
+
+_RELOADED = f"""{_USERS.replace("users AS", "plain_users AS", 1)}, {_LOG.replace("log AS", "plain_log AS", 1)},
+users AS (SELECT * REPLACE (CAST(NULL AS DATE) AS last_login) FROM plain_users),
+log AS (SELECT * FROM plain_log WHERE delivery >= '20240116'), {_REPLAY}"""
+
 _DIM = """
 dim AS (
   SELECT n_name AS city, r_name AS state
@@ -96,42 +106,43 @@ _ALL_CHANGES = f"WITH {_LOG} SELECT action, user_id, name, city, last_login FROM
 
 _ORDERS = """
 WITH log AS (
-  SELECT l_orderkey AS k, (l_shipdate, l_linenumber, l_partkey) AS seq, l_linestatus AS s, l_extendedprice AS p,
-         l_shipdate AS d,
+  SELECT l_orderkey AS k, l_shipdate AS d1, l_linenumber AS d2, l_partkey AS d3, l_linestatus AS s,
+         l_extendedprice AS p, l_shipdate AS d,
          CASE WHEN l_returnflag = 'R' AND l_quantity >= 40 THEN 'D'
               WHEN l_quantity <= 10 THEN 'I' ELSE 'U' END AS action
   FROM lineitem
 ),
-timeline AS (
-  SELECT o_orderkey AS k, NULL AS seq, 'B' AS action, o_orderstatus AS s, o_totalprice AS p, o_orderdate AS d
-  FROM orders
-  UNION ALL
-  SELECT k, seq, action, s, p, d FROM log
-),
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq NULLS FIRST) AS pos FROM timeline
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY d1, d2, d3) AS pos FROM log
+),
+net AS (
+  SELECT k, max(pos) FILTER (action = 'D') AS gone, max(pos) FILTER (action = 'U') AS upd,
+         arg_max(s, pos) FILTER (action = 'U') AS s, arg_max(p, pos) FILTER (action = 'U') AS p,
+         arg_max(d, pos) FILTER (action = 'U') AS d
+  FROM numbered GROUP BY k
 ),
-ahead AS (
-  SELECT *, max(CASE WHEN action = 'D' THEN pos END) OVER (PARTITION BY k) AS gone,
-         max(CASE WHEN action = 'U' THEN pos END) OVER (PARTITION BY k) AS upd
-  FROM numbered
+alive AS (
+  SELECT o_orderkey AS k, 0 AS pos, o_orderstatus AS s, o_totalprice AS p, o_orderdate AS d FROM orders
+  UNION ALL
+  SELECT k, pos, s, p, d FROM numbered WHERE action = 'I'
 )
 SELECT a.k AS o_orderkey,
-       CASE WHEN a.upd > a.pos THEN u.s ELSE a.s END AS o_orderstatus,
-       CASE WHEN a.upd > a.pos THEN u.p ELSE a.p END AS o_totalprice,
-       CASE WHEN a.upd > a.pos THEN u.d ELSE a.d END AS o_orderdate
-FROM ahead a LEFT JOIN ahead u ON u.k = a.k AND u.pos = a.upd
-WHERE a.action IN ('B', 'I') AND (a.gone IS NULL OR a.gone < a.pos)"""
+       CASE WHEN n.upd > a.pos THEN n.s ELSE a.s END AS o_orderstatus,
+       CASE WHEN n.upd > a.pos THEN n.p ELSE a.p END AS o_totalprice,
+       CASE WHEN n.upd > a.pos THEN n.d ELSE a.d END AS o_orderdate
+FROM alive a LEFT JOIN net n ON n.k = a.k
+WHERE n.gone IS NULL OR n.gone < a.pos"""
 
 ORACLES: dict[str, str] = {
     "scan_snapshot": _ALL_USERS,
     "scan_log": f"WITH {_LOG} SELECT action, user_id, name, city, last_login, delivery FROM log",
     "route_files": f"""WITH {_LOG}
-SELECT 'LOAD9' AS name, TRUE AS is_snapshot, CAST(9 AS BIGINT) AS version UNION ALL
-SELECT 'LOAD10', TRUE, 10 UNION ALL
-SELECT DISTINCT delivery, FALSE, CAST(NULL AS BIGINT) FROM log""",
+SELECT 'LOAD9' AS name, TRUE AS is_snapshot, '9' AS version UNION ALL
+SELECT 'LOAD10', TRUE, '10' UNION ALL
+SELECT DISTINCT delivery, FALSE, CAST(NULL AS VARCHAR) FROM log""",
     "latest_snapshot": _ALL_USERS,
     "union_logs": _ALL_CHANGES,
+    "union_logs_same_names": f"WITH {_REORDERED} SELECT * FROM replayed",
     "cdc_update": f"""WITH {_USERS}, {_LOG},
 last AS (SELECT user_id AS k, arg_max(seq, seq) AS at FROM log WHERE action = 'U' AND user_id IS NOT NULL GROUP BY 1)
 SELECT users.user_id,
@@ -179,4 +190,8 @@ ORDER BY city NULLS FIRST, last_login_rank_by_city DESC, user_id, name LIMIT 10"
     "stream_late_files": f"""WITH {_LOG}
 SELECT action, user_id, name, city, last_login FROM log WHERE delivery LIKE '20240110%'""",
     "stream_late_repair": _STATE,
+    "stream_late_after_repair": f"""WITH {_LOG}
+SELECT action, user_id, name, city, last_login FROM log WHERE starts_with(delivery, '20240112')""",
+    "stream_reload": f"WITH {_RELOADED} SELECT * FROM replayed",
 }
+ORACLES["stream_rejects"] = ORACLES["cdc_rejects"]

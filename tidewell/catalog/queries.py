@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidewell.catalog import inputs
 from tidewell.catalog.inputs import ALIASES, AS_OF, USERS_DDL
-from tidewell.functions import drop_name
 from tidewell.operators import changes, windows
 from tidewell.operators.joins import denormalize
 from tidewell.plans import features
@@ -41,7 +40,7 @@ def scan_snapshot(spark, sf_dir):
 @query
 def scan_log(spark, sf_dir):
     log = files.read_changes(spark, inputs.landing_folder(spark, sf_dir), ddl=USERS_DDL)
-    return log.withColumn("delivery", drop_name(F.col("seq.file"))).drop("seq")
+    return log.withColumn("delivery", F.col("seq.file")).drop("seq")
 
 
 @query
@@ -66,6 +65,17 @@ def union_logs(spark, sf_dir):
     return files.read_changes(spark, [first, second], ddl=USERS_DDL).drop("seq")
 
 
+@query
+def union_logs_same_names(spark, sf_dir):
+    """Two folders with files of the same names; all their changes, replayed."""
+    log, landing = inputs.delivered_log(spark, sf_dir), workspace(spark, "landing")
+    log = log.withColumn("delivery", F.lit("changes"))
+    inputs.deliver(log.filter(F.col("seq") % 2 == 0), f"{landing}/first", "seq")
+    inputs.deliver(log.filter(F.col("seq") % 2 != 0), f"{landing}/second", "seq")
+    changed = files.settle_changes(files.read_changes(spark, landing, ddl=USERS_DDL))
+    return changes.replay(inputs.users(spark, sf_dir), changed)
+
+
 # Change replay
 
 
@@ -291,3 +301,43 @@ def stream_late_repair(spark, sf_dir):
     )
     table.rebuild(landing)
     return table.state()
+
+
+@query
+def stream_late_after_repair(spark, sf_dir):
+    """A late day is repaired; the deliveries of another late day come after that."""
+    table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
+    repaired, after = (F.col("delivery").startswith(day) for day in ("20240110", "20240112"))
+    landing, checkpoint = workspace(spark, "landing"), workspace(spark, "checkpoint")
+    inputs.deliver(inputs.snapshots(spark, sf_dir), landing, "user_id")
+    for part in (log.filter(~repaired & ~after), log.filter(repaired), log.filter(after)):
+        if table.history().count() > 1 and table.late().count():
+            table.rebuild(landing)
+        inputs.deliver(part, landing, "seq")
+        sync_stream(table, landing, checkpoint, after_batch=SyncedTable.compact).awaitTermination()
+    return table.late().drop("seq", "version")
+
+
+@query
+def stream_reload(spark, sf_dir):
+    """A newer snapshot file replaces the state; the changes that come with it or later apply to it."""
+    table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
+    landing, checkpoint = workspace(spark, "landing"), workspace(spark, "checkpoint")
+    early, late = log.filter(F.col("delivery") < "20240116"), log.filter(F.col("delivery") >= "20240116")
+    for number, part in ((None, early), (20, late), (19, None)):
+        if number is not None:
+            users = inputs.users(spark, sf_dir).withColumn("last_login", F.lit(None).cast("date"))
+            inputs.deliver(users.withColumn("delivery", F.lit(f"LOAD{number}")), landing, "user_id")
+        if part is not None:
+            inputs.deliver(part, landing, "seq")
+        sync_stream(table, landing, checkpoint).awaitTermination()
+    return table.state()
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """The rejects of a synced table, across a compaction."""
+    table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
+    early, late = log.filter(F.col("delivery") < "20240116"), log.filter(F.col("delivery") >= "20240116")
+    _stream_in_two_runs(spark, table, early, late, after_batch=SyncedTable.compact)
+    return table.rejects().groupBy("action", "reason").agg(F.count("*").alias("n"))

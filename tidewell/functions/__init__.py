@@ -25,16 +25,28 @@ def is_recent(day: Column, as_of: dt.date, days: int = 90) -> Column:
 DELIVERY = "delivery"
 
 
+def plain_path(path: Column) -> Column:
+    """The path of a file as it is written, from the form with ``%`` signs that file metadata has."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), decoded).otherwise(path)
+
+
+def folder_of(path: Column) -> Column:
+    return F.substring(path, F.lit(1), F.length(path) - F.length(F.substring_index(path, "/", -1)))
+
+
 def _in_delivery(path: Column) -> Column:
     return F.substring_index(path, "/", -2).startswith(f"{DELIVERY}=")
 
 
-def file_key(path: Column) -> Column:
-    """What files are ordered by: the file name, within its delivery folder if it has one.
+def part_number(path: Column) -> Column:
+    """Number of a part file in a delivery folder, so that part 100000 comes after part 99999; else 0.
 
     Evaluated for every row, hence no regular expressions.
     """
-    return F.when(_in_delivery(path), F.substring_index(path, "/", -2)).otherwise(F.substring_index(path, "/", -1))
+    digits = F.substring_index(F.substring_index(F.substring_index(path, "/", -1), "part-", -1), "-", 1)
+    number = F.substring_index(digits, ".", 1).try_cast("decimal(38,0)")
+    return F.when(_in_delivery(path), F.coalesce(number, F.lit(0))).otherwise(F.lit(0)).cast("decimal(38,0)")
 
 
 def drop_name(path: Column) -> Column:
@@ -48,5 +60,6 @@ def is_snapshot_name(name: Column, marker: str = "LOAD") -> Column:
 
 
 def first_number(text: Column) -> Column:
-    """First run of digits as a whole number, NULL if there is none."""
-    return F.regexp_extract(text, r"(\d+)", 1).try_cast("bigint")
+    """First run of digits without leading zeros, as text of any length; NULL if there is none."""
+    digits = F.regexp_extract(text, r"(\d+)", 1)
+    return F.when(digits != "", F.regexp_replace(digits, r"^0+(?=\d)", ""))

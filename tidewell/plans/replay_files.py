@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.operators.changes import replay
+from tidewell.operators.changes import rejects, replay, valid_changes
 from tidewell.schemas import USERS_DDL
 from tidewell.sources.files import read_changes, read_latest_snapshot, settle_changes
 
@@ -16,5 +16,13 @@ def replay_files(
 ) -> DataFrame:
     """State after all changes; without change files, the snapshot as it is."""
     base = read_latest_snapshot(spark, landing, ddl=ddl)
-    log = settle_changes(read_changes(spark, landing, ddl=ddl))
+    # Rejects are left out once the order is fixed, so they are not written.
+    log = settle_changes(valid_changes(read_changes(spark, landing, ddl=ddl), key=key))
     return replay(base, log, key=key)
+
+
+def rejected_changes(
+    spark: SparkSession, landing: str, *, ddl: str = USERS_DDL, key: str | Sequence[str] = "user_id"
+) -> DataFrame:
+    """The changes of the landing folder that ``replay_files`` ignores, with the reason."""
+    return rejects(read_changes(spark, landing, ddl=ddl), key=key)

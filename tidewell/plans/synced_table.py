@@ -2,41 +2,51 @@
 
 Folder layout under ``root``::
 
-    snapshots/<version>/      full state, Parquet
-    log/version=<version>/    changes that came with this version, Parquet, with ``seq``
-    late/version=<version>/   changes that came too late to be put in order
-    features/<version>/       published features, with the table of city statistics
-    manifest/version=<v>/     one row per committed version
-
-A new change file costs its own size: its rows are added to the log, and readers replay the log since
-the last snapshot, which is one aggregation of the log and one join. ``compact`` writes the state as a
-new snapshot when the log has grown. No path that is being read is ever overwritten, and only what the
-manifest names is read, so a failed run leaves nothing visible and can be repeated. There must be one
-writer at a time.
+    snapshots/<version>/         full state, Parquet
+    log/version=<version>/       changes that came with this version, Parquet, with ``seq``
+    files/version=<version>/     one row per change file that came with this version
+    late/version=<version>/      changes that came too late to be put in order
+    features/<version>-<id>/     published features, with the table of city statistics
+    manifest/version=<v>/        one row per committed version
+
+A new change file costs its own size and one row in the list of files: its rows are added to the log, and
+readers replay the log since the last snapshot, which is one aggregation of the log and one join.
+``compact`` writes the state as a new snapshot when the log has grown. No path that is being read is ever
+overwritten, and only what the manifest names is read, so a failed run leaves nothing visible and can be
+repeated. There must be one writer at a time.
 
 Changes are ordered by file name, whatever the order of arrival. Once compacted, the order is settled:
 a file whose name sorts at or before the newest compacted file is kept apart as late, and a full replay
-of the landing folder (``rebuild``) puts it right.
+of the landing folder (``rebuild``) puts it right. A file that came once, in time or late, is not taken
+again, also after a compaction.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators import changes as ops
 from tidewell.operators.changes import replay
-from tidewell.operators.joins import join_unique
 from tidewell.plans.features import city_features, city_stats, normalize_city, sort_features
-from tidewell.schemas import SEQ_DDL, USERS_DDL, changes_ddl
+from tidewell.schemas import FILE_ID, SEQ_DDL, USERS_DDL, changes_ddl
+from tidewell.session import estimated_bytes, settle
 from tidewell.sources.files import read_changes, read_latest_snapshot, settle_changes
 
 # snapshot: version of the snapshot to start from; its log is that of later versions.
 # mark: newest file whose changes are part of the snapshot.
-MANIFEST_DDL = "kind STRING, snapshot BIGINT, mark STRING, stream STRING, batch_id BIGINT, version BIGINT"
+# loaded: version that replaced the table; files and late changes of versions before it do not count.
+# number: of the snapshot file that was loaded, as text; path: of published features.
+MANIFEST_DDL = (
+    "kind STRING, snapshot BIGINT, mark STRING, loaded BIGINT, number STRING, path STRING,"
+    " stream STRING, batch_id BIGINT, version BIGINT"
+)
+KEPT = ("snapshot", "mark", "loaded", "number")
 
 
 class SyncedTable:
@@ -70,122 +80,195 @@ class SyncedTable:
             raise ValueError(f"nothing loaded into {self.root} yet")
         return current
 
-    def _commit(self, version: int, **fields) -> None:
-        types = {"kind": "string", "snapshot": "bigint", "mark": "string", "stream": "string", "batch_id": "bigint"}
+    def _commit(self, version: int, current: Row | None = None, **fields) -> int:
+        """Make a version visible; what ``fields`` does not name stays as in ``current``."""
+        fields = {**({name: current[name] for name in KEPT} if current else {}), **fields}
+        kinds = [part.split() for part in MANIFEST_DDL.split(", ")]
         row = self.spark.range(1, numPartitions=1).select(
-            *(F.lit(fields.get(name)).cast(kind).alias(name) for name, kind in types.items())
+            *(F.lit(fields.get(name)).cast(kind).alias(name) for name, kind in kinds if name != "version")
         )
         row.write.mode("errorifexists").json(f"{self.root}/manifest/version={version}")
+        return version
 
-    def _committed(self, stream: str, batch_id: int) -> int | None:
+    def committed(self, stream: str, batch_id: int) -> int | None:
         """Version that has the stream's batch."""
         same = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
         return self.history().filter(same).agg(F.max("version")).first()[0]
 
     # Changes of the table
 
-    def load(self, state: DataFrame, *, mark: str | None = None) -> int:
-        """Replace the table. ``mark`` names the newest change file that ``state`` contains."""
+    def load(
+        self,
+        state: DataFrame,
+        *,
+        mark: str | None = None,
+        number: str | None = None,
+        files: DataFrame | None = None,
+        stream: str | None = None,
+        batch_id: int | None = None,
+    ) -> int:
+        """Replace the table. ``mark`` names the newest change file that ``state`` contains, ``number`` the
+        snapshot file it is, and ``files`` the change files it contains (columns ``FILE_ID``)."""
         current = self.current()
         version = 0 if current is None else current.version + 1
         state.write.mode("overwrite").parquet(self._snapshot(version))
-        self._commit(version, kind="load", snapshot=version, mark=mark)
-        return version
+        if files is not None:
+            files.select(*FILE_ID).write.mode("overwrite").parquet(f"{self.root}/files/version={version}")
+        fields = {"snapshot": version, "mark": mark, "loaded": version, "number": number}
+        return self._commit(version, kind="load", stream=stream, batch_id=batch_id, **fields)
 
     def rebuild(self, landing: str) -> int:
         """Replace the table by the newest snapshot of ``landing`` with all its change files replayed."""
         log = settle_changes(read_changes(self.spark, landing, ddl=self.ddl))
         newest = log.agg(F.max("seq.file")).first()[0]
         base = read_latest_snapshot(self.spark, landing, ddl=self.ddl)
-        return self.load(replay(base, log, key=self.key), mark=newest)
+        current = self.current()
+        number = None if current is None else current.number
+        return self.load(replay(base, log, key=self.key), mark=newest, number=number, files=_files(log))
 
     def append(self, changes: DataFrame, *, stream: str | None = None, batch_id: int | None = None) -> int:
         """Add changes, as given by ``read_changes``.
 
-        A stream's batch that is there already has no effect, nor have files that are in the log already.
+        A stream's batch that is there already has no effect, nor have files that came before.
         """
         if stream is not None:
-            committed = self._committed(stream, batch_id)
-            if committed is not None:
-                return committed
-        current = self._require_current()
+            done = self.committed(stream, batch_id)
+            if done is not None:
+                return done
+        history = self.history().collect()  # one small row per version
+        current = self._newest(history)
         version = current.version + 1
-        if current.snapshot < current.version:
-            taken = self._log(current).groupBy(F.col("seq.file").alias("_file")).agg(F.lit(True).alias("_taken"))
-            changes = join_unique(changes.withColumn("_file", F.col("seq.file")), taken, ["_file"])
-            changes = changes.filter(F.col("_taken").isNull()).drop("_file", "_taken")
+        taken = self._read("files", self._versions(history, ("load", "append"), current.loaded), _FILES_DDL)
+        files = settle(_files(changes).join(taken.select(*FILE_ID).distinct(), FILE_ID, "left_anti"), "new-files")
+        new = [F.col("seq")[name] == F.col(f"_new_{name}") for name in FILE_ID]
+        renamed = files.select(*(F.col(name).alias(f"_new_{name}") for name in FILE_ID))
+        changes = changes.join(renamed, new, "left_semi")
         if current.mark is not None:
             is_late = F.col("seq.file") <= current.mark
             changes.filter(is_late).write.mode("overwrite").parquet(f"{self.root}/late/version={version}")
             changes = changes.filter(~is_late)
         changes.write.mode("overwrite").parquet(f"{self.root}/log/version={version}")
-        self._commit(
-            version, kind="append", snapshot=current.snapshot, mark=current.mark, stream=stream, batch_id=batch_id
-        )
-        return version
-
-    def compact(self) -> int:
-        """Write the state as a snapshot, so that readers need no replay."""
-        current = self._require_current()
-        if current.snapshot == current.version:
+        files.write.mode("overwrite").parquet(f"{self.root}/files/version={version}")
+        return self._commit(version, current, kind="append", stream=stream, batch_id=batch_id)
+
+    def compact(self, ratio: float = 0.0) -> int:
+        """Write the state as a snapshot, so that readers need no replay, if the files of the log are larger
+        than ``ratio`` times those of the snapshot."""
+        history = self.history().collect()
+        current = self._newest(history)
+        if not self._versions(history, ("append",), current.snapshot + 1):
+            return current.version
+        log = self._log(history, current)
+        if ratio and estimated_bytes(log) <= ratio * estimated_bytes(self._base(current)):
             return current.version
         version = current.version + 1
-        newest = self._log(current).agg(F.max("seq.file")).first()[0]
+        newest = log.agg(F.max("seq.file")).first()[0]
         mark = max((name for name in (newest, current.mark) if name is not None), default=None)
-        self._state(current).write.mode("overwrite").parquet(self._snapshot(version))
-        self._commit(version, kind="compact", snapshot=version, mark=mark)
-        return version
+        self._state(history, current).write.mode("overwrite").parquet(self._snapshot(version))
+        return self._commit(version, current, kind="compact", snapshot=version, mark=mark)
 
     # Reading
 
     def state(self, version: int | None = None) -> DataFrame:
         """The table as of ``version``, by default the newest."""
+        history = self.history().collect()
         if version is None:
-            return self._state(self._require_current())
-        row = self.history().filter(F.col("version") == version).first()
+            return self._state(history, self._newest(history))
+        row = next((row for row in history if row.version == version), None)
         if row is None:
             raise ValueError(f"{self.root} has no version {version}")
-        return self._state(row)
+        return self._state(history, row)
 
     def late(self) -> DataFrame:
-        """Changes that were kept apart, with the version they came with."""
-        appended = self.history().filter(F.col("kind") == "append").select("version")
-        return self._changes("late").join(appended, "version", "left_semi")
+        """Changes that were kept apart and are not in the state, with the version they came with."""
+        return self._kept_apart("late")
+
+    def rejects(self) -> DataFrame:
+        """Changes since the table was loaded that replay ignores, with the reason and their version."""
+        return ops.rejects(self._kept_apart("log"), key=self.key)
+
+    def published(self) -> list[str]:
+        """Paths of published features, oldest first."""
+        rows = self.history().filter("kind = 'publish'").orderBy("version").collect()
+        return [row.path for row in rows]
+
+    def _kept_apart(self, folder: str) -> DataFrame:
+        history = self.history().collect()
+        current = self._newest(history)
+        versions = self._versions(history, ("append",), current.loaded)
+        return self._read(folder, versions, f"{changes_ddl(self.ddl)}, seq {SEQ_DDL}")
+
+    def _newest(self, history: list[Row]) -> Row:
+        if not history:
+            raise ValueError(f"nothing loaded into {self.root} yet")
+        return max(history, key=lambda row: row.version)
+
+    @staticmethod
+    def _versions(history: list[Row], kinds: tuple[str, ...], first: int, last: int | None = None) -> list[int]:
+        last = max(row.version for row in history) if last is None else last
+        return sorted(row.version for row in history if row.kind in kinds and first <= row.version <= last)
 
     def _snapshot(self, version: int) -> str:
         return f"{self.root}/snapshots/{version}"
 
-    def _changes(self, folder: str) -> DataFrame:
-        ddl = f"{changes_ddl(self.ddl)}, seq {SEQ_DDL}, version BIGINT"
+    def _base(self, row: Row) -> DataFrame:
+        return self.spark.read.schema(self.ddl).parquet(self._snapshot(row.snapshot))
+
+    def _read(self, folder: str, versions: list[int], ddl: str) -> DataFrame:
+        """The folders of these versions and no others; a version may have none."""
+        frames = self.spark.createDataFrame([], f"{ddl}, version BIGINT")
+        if not versions:
+            return frames
+        paths = [f"{self.root}/{folder}/version={version}" for version in versions]
+        reader = self.spark.read.schema(f"{ddl}, version BIGINT").option("basePath", f"{self.root}/{folder}")
         try:
-            committed = self.spark.read.schema(ddl).parquet(f"{self.root}/{folder}")
+            return reader.parquet(*paths)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], ddl)
-        return committed.filter(F.col("version") <= self._require_current().version)
-
-    def _log(self, row: Row) -> DataFrame:
-        wanted = F.col("version").between(row.snapshot + 1, row.version)
-        return self._changes("log").filter(wanted).drop("version")
-
-    def _state(self, row: Row) -> DataFrame:
-        base = self.spark.read.schema(self.ddl).parquet(self._snapshot(row.snapshot))
-        return base if row.snapshot == row.version else replay(base, self._log(row), key=self.key)
+        for path in paths:  # late changes and lists of files are not written by every version
+            try:
+                frames = frames.unionByName(reader.parquet(path))
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        return frames
+
+    def _log(self, history: list[Row], row: Row) -> DataFrame:
+        versions = self._versions(history, ("append",), row.snapshot + 1, row.version)
+        return self._read("log", versions, f"{changes_ddl(self.ddl)}, seq {SEQ_DDL}").drop("version")
+
+    def _state(self, history: list[Row], row: Row) -> DataFrame:
+        base = self._base(row)
+        if not self._versions(history, ("append",), row.snapshot + 1, row.version):
+            return base
+        return replay(base, self._log(history, row), key=self.key)
 
     # Features
 
     def publish_features(self, dimension: DataFrame, as_of: dt.date, *, days: int = 90) -> str:
-        """Write the sorted features of the newest state; returns their path.
+        """Write the sorted features of the newest state to a path of their own; returns it.
 
-        The state is compacted first, and the city statistics are written before they are joined: the
-        state is read several times, and the join needs to know the size of the statistics.
+        The table itself stays as it is: nothing is compacted, and the mark does not move. State and city
+        statistics are written before they are joined: the state is read several times, and the join needs
+        to know the size of the statistics.
         """
-        version = self.compact()
-        path = f"{self.root}/features/{version}/as_of={as_of.isoformat()}"
-        state = self.state(version)
-        city_stats(normalize_city(state), dimension, as_of, days=days).write.mode("overwrite").parquet(f"{path}/stats")
+        current = self._require_current()
+        version = current.version + 1
+        path = f"{self.root}/features/{version}-{uuid.uuid4().hex}"
+        state = self.state()
+        if current.version != current.snapshot:
+            state = settle(state, "state")
+        city_stats(normalize_city(state), dimension, as_of, days=days).write.parquet(f"{path}/stats")
         stats = self.spark.read.parquet(f"{path}/stats")
         features = city_features(state, dimension, as_of, days=days, stats=stats)
-        sort_features(features).write.mode("overwrite").parquet(f"{path}/rows")
+        sort_features(features).write.parquet(f"{path}/rows")
+        self._commit(version, current, kind="publish", path=f"{path}/rows")
         return f"{path}/rows"
+
+
+_FILES_DDL = ", ".join(f"{name} STRING" for name in FILE_ID)
+
+
+def _files(changes: DataFrame) -> DataFrame:
+    return changes.select(*(F.col("seq")[name].alias(name) for name in FILE_ID)).distinct()

@@ -1,16 +1,20 @@
 """Landing folder: snapshot files (``LOAD<number>``) and change files (named by their time).
 
 Files are headerless CSV, read with a fixed layout; an unreadable number or date becomes NULL. A file
-may lie in the folder itself or, as one of many parts, in a folder ``delivery=<name>`` as Spark writes
-it; the part files are then taken in the order of their names.
+may lie in the folder itself, in any folder below it, or, as one of many parts, in a folder
+``delivery=<name>`` as Spark writes it. A file is known by its whole path. Changes are ordered by the name
+their file was delivered under, whatever form it has, then by folder, by the number of the part, and by
+position.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions import drop_name, file_key, first_number, is_snapshot_name
+from tidewell.functions import drop_name, first_number, folder_of, is_snapshot_name, part_number, plain_path
 from tidewell.schemas import USERS_DDL, changes_ddl
 from tidewell.session import settle
 
@@ -18,8 +22,14 @@ _PATH = "_metadata.file_path"
 
 
 def list_files(spark: SparkSession, landing: str) -> DataFrame:
-    """One row per file: path, delivery name, whether it is a snapshot, and its version number."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing).select("path")
+    """One row per file: path, delivery name, whether it is a snapshot, and its number (as text).
+
+    The paths are those of Spark's own file index, which the driver holds for any scan; no file is read,
+    and the number of tasks follows the number of names, not the size of the files.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    paths = [(unquote(path),) for path in reader.load(landing).inputFiles()]
+    files = spark.createDataFrame(paths, "path STRING")
     name = drop_name(F.col("path"))
     return files.select(
         "path",
@@ -29,53 +39,74 @@ def list_files(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
+def snapshot_order(version: str | Column = "version", name: str | Column = "name") -> Column:
+    """Snapshots by their number, however long it is; equal numbers by name."""
+    version = F.col(version) if isinstance(version, str) else version
+    name = F.col(name) if isinstance(name, str) else name
+    return F.struct(F.length(version).alias("digits"), version.alias("version"), name.alias("name"))
+
+
 def latest_snapshot_name(spark: SparkSession, landing: str) -> str:
-    """Name of the snapshot with the highest number; equal numbers are decided by name."""
-    newest = (
+    """Name of the snapshot with the highest number; a snapshot file without a number is an error."""
+    found = (
         list_files(spark, landing)
-        .filter(F.col("is_snapshot") & F.col("version").isNotNull())
-        .agg(F.max(F.struct("version", "name")).alias("newest"))
+        .filter("is_snapshot")
+        .agg(
+            F.max(F.when(F.col("version").isNotNull(), snapshot_order())).alias("newest"),
+            F.min(F.when(F.col("version").isNull(), F.col("path"))).alias("unnumbered"),
+        )
         .first()
-        .newest
     )
-    if newest is None:
+    if found.unnumbered is not None:
+        raise ValueError(f"snapshot file without a number: {found.unnumbered}")
+    if found.newest is None:
         raise ValueError(f"no snapshot file in {landing}")
-    return newest.name
+    return found.newest["name"]
 
 
-def read_snapshot(spark: SparkSession, path: str, *, ddl: str = USERS_DDL) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str | list[str], *, ddl: str = USERS_DDL) -> DataFrame:
     return spark.read.schema(ddl).option("recursiveFileLookup", "true").csv(path)
 
 
 def read_latest_snapshot(spark: SparkSession, landing: str, *, ddl: str = USERS_DDL) -> DataFrame:
     name = latest_snapshot_name(spark, landing)
     # A filter on file metadata is applied to the file listing: other files are not opened.
-    return read_snapshot(spark, landing, ddl=ddl).filter(drop_name(F.col(_PATH)) == name)
+    return read_snapshot(spark, landing, ddl=ddl).filter(drop_name(plain_path(F.col(_PATH))) == name)
 
 
 def with_order(changes: DataFrame) -> DataFrame:
-    """Put ``seq`` in place of the columns ``_file`` and ``_block``.
+    """Put ``seq`` in place of the columns ``_path`` and ``_block``.
 
     Rows of a block are read in order by one task, so their ids grow; ids of different blocks are not
     comparable, as tasks take blocks by size, which is why file and block come first.
     """
+    path = F.col("_path")
     seq = F.struct(
-        F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row")
+        drop_name(path).alias("file"),
+        folder_of(path).alias("folder"),
+        part_number(path).alias("part"),
+        F.substring_index(path, "/", -1).alias("base"),
+        F.col("_block").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    return changes.withColumn("seq", seq).drop("_file", "_block")
+    return changes.withColumn("seq", seq).drop("_path", "_block")
 
 
-def with_position(changes: DataFrame) -> DataFrame:
-    """Only the change files, each row with its file and block."""
-    return changes.filter(~is_snapshot_name(drop_name(F.col(_PATH)))).select(
-        "*", file_key(F.col(_PATH)).alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+def with_position(rows: DataFrame) -> DataFrame:
+    """Each row with the path of its file and its block."""
+    return rows.select(
+        "*", plain_path(F.col(_PATH)).alias("_path"), F.col("_metadata.file_block_start").alias("_block")
     )
 
 
+def is_snapshot_row() -> Column:
+    return is_snapshot_name(drop_name(F.col("_path")))
+
+
 def read_changes(spark: SparkSession, landing: str | list[str], *, ddl: str = USERS_DDL) -> DataFrame:
-    """All change files as one log, with ``seq``: by file name, then by position."""
+    """All change files as one log, with ``seq``: by delivered name, file, and position."""
     raw = spark.read.schema(changes_ddl(ddl)).option("recursiveFileLookup", "true").csv(landing)
-    return with_order(with_position(raw))
+    return with_order(with_position(raw).filter(~is_snapshot_row()))
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:

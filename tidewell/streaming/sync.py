@@ -1,15 +1,34 @@
-"""Each new change file of a landing folder is added once to a synced table."""
+"""Each new file of a landing folder is added once to a synced table.
+
+A snapshot file (``LOAD<number>``) that is newer than the one loaded replaces the table. The change files
+of the same batch and of later ones apply to it, whatever their names; those of earlier batches are gone
+with the state that they changed. ``SyncedTable.rebuild`` replays all change files on it instead.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewell.functions import drop_name, first_number
 from tidewell.plans.synced_table import SyncedTable
 from tidewell.schemas import changes_ddl
-from tidewell.sources.files import with_order, with_position
+from tidewell.sources.files import is_snapshot_row, read_snapshot, snapshot_order, with_order, with_position
+
+
+def newer_snapshot(batch: DataFrame, loaded: str | None) -> tuple[list[str], str] | None:
+    """Files and number of the newest snapshot of a batch, if its number is above ``loaded``."""
+    name = drop_name(F.col("_path"))
+    found = batch.filter(is_snapshot_row()).select("_path", name.alias("name"), first_number(name).alias("version"))
+    found = found.distinct()
+    newest = found.agg(F.max(F.when(F.col("version").isNotNull(), snapshot_order())).alias("newest")).first().newest
+    if newest is None or (loaded is not None and (newest.digits, newest.version) <= (len(loaded), loaded)):
+        return None
+    # The part files of one delivery.
+    return [row[0] for row in found.filter(F.col("name") == newest["name"]).collect()], newest.version
 
 
 def sync_stream(
@@ -18,6 +37,7 @@ def sync_stream(
     checkpoint: str,
     *,
     max_files: int | None = None,
+    max_age: str = "36500d",
     after_batch: Callable[[SyncedTable], None] | None = None,
     **trigger,
 ) -> StreamingQuery:
@@ -25,17 +45,32 @@ def sync_stream(
 
     The checkpoint keeps which files were taken, the table's manifest which batches of which checkpoint
     were committed, so a batch that is repeated after a failure has no effect. ``after_batch`` can
-    publish features.
+    publish features or compact.
+
+    ``max_age``: files whose time stamp is older than the newest one's by more than this are never seen;
+    the default lets none out, also copies that keep their time stamps. The stream then remembers all
+    files it has seen; lower it only if files never come with old time stamps.
     """
     raw = table.spark.readStream.schema(changes_ddl(table.ddl)).option("recursiveFileLookup", "true")
+    raw = raw.option("maxFileAge", max_age)
     if max_files is not None:
         raw = raw.option("maxFilesPerTrigger", max_files)
 
     def add(batch: DataFrame, batch_id: int) -> None:
         # The id of the query, which stays with its checkpoint and begins anew with a new one.
         stream = table.spark.read.text(f"{checkpoint}/metadata").first()[0]
-        table.append(with_order(batch), stream=stream, batch_id=batch_id)
-        if after_batch is not None:
+        if table.committed(stream, batch_id) is None:
+            current = table.current()
+            reload = newer_snapshot(batch, None if current is None else current.number)
+            if reload is not None:
+                paths, number = reload
+                # The load itself is not the batch's commit: if the changes fail, both are repeated.
+                table.load(read_snapshot(table.spark, paths, ddl=table.ddl), number=number)
+            # Changes of a table that nothing has started yet wait for a rebuild.
+            if reload is not None or current is not None:
+                changes = with_order(batch.filter(~is_snapshot_row()))
+                table.append(changes, stream=stream, batch_id=batch_id)
+        if after_batch is not None and table.current() is not None:
             after_batch(table)
 
     return (
