@@ -49,9 +49,32 @@ def laid_out(texts: list[np.ndarray], count: int, start: int):
     return before, item, goes_on, text_of
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _in_range(x: np.ndarray) -> None:
+    """Move the rows, in place, if ``exp`` can't take them as they are."""
+    if x.size and (x.max() > 60 or x.min() < -60):
+        x -= x.max(axis=1, keepdims=True)
+
+
+def _exp(x: np.ndarray) -> np.ndarray:
+    """``exp`` in place, but for a factor of each row."""
+    _in_range(x)
+    return np.exp(x, out=x)
+
+
+def _log_share(x: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at one place; ``x`` is used up."""
+    _in_range(x)
+    picked = x[np.arange(len(x)), place]
+    return picked - np.log(np.exp(x, out=x).sum(axis=1))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Model:
@@ -94,8 +117,7 @@ class Model:
             add = self.inputs[before[step, :n]]
             from_state = old @ self.loop
             gates = add[:, : 2 * HIDDEN] + from_state[:, : 2 * HIDDEN]
-            np.clip(gates, -30, 30, out=gates)
-            gates = 1 / (1 + np.exp(-gates))
+            _sigmoid(gates)
             reset, stay = gates[:, :HIDDEN], gates[:, HIDDEN:]
             fresh = np.tanh(add[:, 2 * HIDDEN :] + reset * from_state[:, 2 * HIDDEN :])
             state = fresh + stay * (old - fresh)
@@ -113,16 +135,20 @@ class Model:
 
     def log_chances(self, states: np.ndarray, item: np.ndarray) -> np.ndarray:
         """Natural log of each item's chance after its state."""
-        every = np.arange(len(item))
-        result = _log_softmax(states @ self.class_weights.T + self.class_bias)[every, item // self.size]
+        logits = states @ self.class_weights.T
+        logits += self.class_bias
+        result = _log_share(logits, item // self.size)
         order, present, starts = self._by_class(item)
+        sorted_states, place = states[order], (item % self.size)[order]
+        inner = np.empty(len(item), result.dtype)
         for kind, low, high in zip(present, starts[:-1], starts[1:]):
-            part = order[low:high]
-            inner = _log_softmax(states[part] @ self.item_weights[kind].T + self.item_bias[kind])
-            result[part] += inner[np.arange(len(part)), item[part] % self.size]
+            logits = sorted_states[low:high] @ self.item_weights[kind].T
+            logits += self.item_bias[kind]
+            inner[low:high] = _log_share(logits, place[low:high])
+        result[order] += inner
         return result
 
-    def score(self, texts: list[np.ndarray], start: int, count: int = 256, window: int = 48) -> np.ndarray:
+    def score(self, texts: list[np.ndarray], start: int, count: int = 256, window: int = 96) -> np.ndarray:
         """Natural log-likelihood of each whole text."""
         total = np.zeros(len(texts))
         if not texts:
@@ -138,7 +164,7 @@ class Model:
             total += np.bincount(text_of[rows, :n][there], logs, len(texts))
         return total
 
-    def train(self, texts: list[np.ndarray], start: int, count: int = 64, window: int = 24) -> None:
+    def train(self, texts: list[np.ndarray], start: int, count: int = 96, window: int = 24) -> None:
         """One pass over the texts by Adagrad."""
         if not texts:
             return
@@ -159,7 +185,8 @@ class Model:
         flat = states[there]
         every = np.arange(len(item))
         kind = item // self.size
-        error = np.exp(_log_softmax(flat @ self.class_weights.T + self.class_bias))
+        error = _exp(flat @ self.class_weights.T + self.class_bias)
+        error /= error.sum(axis=1, keepdims=True)
         error[every, kind] -= 1
         error *= scale
         back = error @ self.class_weights
@@ -167,14 +194,19 @@ class Model:
         self._step("class_bias", error.sum(axis=0))
         order, present, starts = self._by_class(item)
         weights, bias = np.zeros_like(self.item_weights[present]), np.zeros_like(self.item_bias[present])
+        sorted_states, place = flat[order], (item % self.size)[order]
+        inner_back = np.empty_like(sorted_states)
         for number, (this, low, high) in enumerate(zip(present, starts[:-1], starts[1:])):
-            part = order[low:high]
-            inner = np.exp(_log_softmax(flat[part] @ self.item_weights[this].T + self.item_bias[this]))
-            inner[np.arange(len(part)), item[part] % self.size] -= 1
-            inner *= scale
-            back[part] += inner @ self.item_weights[this]
-            weights[number] = inner.T @ flat[part]
+            part = sorted_states[low:high]
+            inner = part @ self.item_weights[this].T
+            inner += self.item_bias[this]
+            _exp(inner)
+            inner *= scale / inner.sum(axis=1, keepdims=True)
+            inner[np.arange(high - low), place[low:high]] -= scale
+            np.matmul(inner, self.item_weights[this], out=inner_back[low:high])
+            weights[number] = inner.T @ part
             bias[number] = inner.sum(axis=0)
+        back[order] += inner_back
         self._step("item_weights", weights, present)
         self._step("item_bias", bias, present)
 

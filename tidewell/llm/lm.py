@@ -26,6 +26,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,8 @@ ROUND_SHARE = 8  # one document in so many
 SMOOTH = 0.1
 #: Words a task counts before it gives its counts out.
 FLUSH = 400_000
+#: Tokens that a task trains on at least, if there are so many: models of fewer are not worth sending.
+TRAINER_TOKENS = 1_000_000
 #: Characters that are trained on or scored at a time.
 RUN_CHARS = 1 << 23
 PIECES = 8
@@ -110,51 +113,37 @@ class Vocabulary:
         self.table = table
         self.base_rest = math.log10(total + SMOOTH * (distinct + 1)) if total else math.log10(SMOOTH)
         self.bucket_rest = np.log10(mass + SMOOTH * (kinds + 1))
-        #: Per word: item, log10 of its smoothed count, and log10 of its share of its group.
-        self.words = {}
-        for word, n in common:
-            log = math.log10(n + SMOOTH)
-            item = self.items.get(word)
-            share = 0.0
-            if item is None:
-                item = bucket_of(word)
-                share = log - self.bucket_rest[item]
-            self.words[word] = (item, log, share)
+        #: Number of each common word; by number: item, log10 of the smoothed count, and log10 of the share
+        #: of its group. The last row stands for words that are not common.
+        self.number = {word: i for i, (word, _) in enumerate(common)}
+        self.item = np.array([self.items.get(word, bucket_of(word)) for word, _ in common] + [0], np.int32)
+        self.log = np.log10(np.array([n + SMOOTH for _, n in common] + [1.0]))
+        alone = np.array([word in self.items for word, _ in common] + [True])
+        self.share = np.where(alone, 0.0, self.log - self.bucket_rest[np.minimum(self.item, BUCKETS - 1)])
+
+    def _numbers(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.get, tokens, repeat(-1)), np.int64, len(tokens))
 
     def items_of(self, text: str) -> np.ndarray:
-        words, get = self.words, self.words.get
-        found = [get(word) for word in lower_words(text)]
-        items = [x[0] if x is not None else -1 for x in found]
-        if -1 in items:
-            for place, word in enumerate(lower_words(text)):
-                if items[place] < 0:
-                    items[place] = bucket_of(word)
-        items.append(self.items[END])
-        return np.array(items, np.int32)
+        return self.read(text)[0]
 
     def read(self, text: str):
         """Items of a text, what is known of its base score and of its words' shares of their groups, its
         known tokens, and the words whose counts are still to be looked up."""
         tokens = lower_words(text)
-        tokens.append(END)
-        found = list(map(self.words.get, tokens))
+        numbers = self._numbers(tokens)
+        items = np.append(self.item[numbers], np.int32(self.items[END]))
+        base = float(self.log[numbers].sum()) + math.log10(self.counts.get(END, 0) + SMOOTH)
+        share = float(self.share[numbers].sum())
         rare: Counter[bytes] = Counter()
-        items, base, share = [], 0.0, 0.0
-        for token, known in zip(tokens, found):
-            if known is not None:
-                items.append(known[0])
-                base += known[1]
-                share += known[2]
-            elif token:
-                rare[token] += 1
-                items.append(bucket_of(token))
-            else:
-                items.append(self.items[END])
-                base += math.log10(SMOOTH)
-        for word, n in rare.items():
-            share -= n * self.bucket_rest[bucket_of(word)]
-        n_known = len(tokens) - sum(rare.values()) - (0 if END in self.counts else 1)
-        return np.array(items, np.int32), base - len(tokens) * self.base_rest, share, n_known, rare
+        for place in np.nonzero(numbers < 0)[0].tolist():
+            word = tokens[place]
+            bucket = bucket_of(word)
+            items[place] = bucket
+            share -= self.bucket_rest[bucket]
+            rare[word] += 1
+        n_known = len(tokens) - sum(rare.values()) + (END in self.counts)
+        return items, base - len(items) * self.base_rest, share, n_known, rare
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
@@ -214,7 +203,7 @@ def trained(texts: DataFrame, model: Model, shared) -> Model:
             items = [known.items_of(text) for text in block]
             own.train(items, BUCKETS)
             tokens += sum(map(len, items))
-        pieces = np.array_split(own.vector().astype(np.float64) * tokens, PIECES)
+        pieces = np.array_split(own.vector() * np.float32(tokens), PIECES)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(PIECES), pa.int32()),
@@ -226,7 +215,7 @@ def trained(texts: DataFrame, model: Model, shared) -> Model:
         )
 
     def summed(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(sums) for sums in group["sums"])
+        total = sum(np.frombuffer(sums, np.float32) for sums in group["sums"])
         return pd.DataFrame(
             {"piece": [group["piece"].iloc[0]], "lane": [0], "tokens": [group["tokens"].sum()], "sums": [total.tobytes()]}
         )
@@ -236,7 +225,7 @@ def trained(texts: DataFrame, model: Model, shared) -> Model:
     rows = sorted(lanes.groupBy("piece").applyInPandas(summed, schema).collect(), key=lambda row: row["piece"])
     start.destroy()
     if rows:
-        model.load(np.concatenate([np.frombuffer(row["sums"]) / row["tokens"] for row in rows]))
+        model.load(np.concatenate([np.frombuffer(row["sums"], np.float32) / row["tokens"] for row in rows]))
     return model
 
 
@@ -248,8 +237,10 @@ def learnt(docs: DataFrame, key: str = "doc_id", text: str = "text"):
     shared = docs.sparkSession.sparkContext.broadcast(known)
     model = Model(known.table)
     lot = F.pmod(F.xxhash64(F.col(key)), F.lit(ROUND_SHARE))
+    trainers = max(1, known.total // (ROUND_SHARE * TRAINER_TOKENS))
     for number in range(ROUNDS):
-        model = trained(training.filter(lot == number).select(text), model, shared)
+        texts = training.filter(lot == number).select(text)
+        model = trained(texts.coalesce(trainers), model, shared)
     return counts, cut, shared, model
 
 
