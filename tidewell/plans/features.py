@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import is_recent, rewrite
 from tidewell.operators.joins import HotKeys, denormalize, join_unique, lookup_table
 from tidewell.operators.windows import RANK, RATE, USERS, distinct_users, recency_rank
-from tidewell.session import is_large, settle
+from tidewell.session import settle
 
 # City names that are written in more than one way in the source.
 CITY_ALIASES = {"Nashville-Davidson": "Nashville"}
@@ -99,8 +99,7 @@ def first_features(
     first = rows.orderBy(
         F.asc_nulls_first("city"), F.asc_nulls_first("last_login"), F.asc("user_id"), F.asc("name")
     ).limit(n)
-    if is_large(rows):
-        first = settle(first, "first")
+    first = settle(first, "first")  # n rows, which are read twice
     cities = first.select(F.col("city").alias("_city")).distinct()
     if n <= BROADCAST_ROWS:
         cities = F.broadcast(cities)
