@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.session import (
@@ -53,23 +53,18 @@ def sized_lookup(lookup: DataFrame, *rows: DataFrame) -> tuple[DataFrame, bool]:
 
 def hot_keys(rows: DataFrame, on: Sequence[str]) -> HotKeys:
     """The heaviest keys in a sample of ``rows``, at most HOT_LIMIT of them."""
-    size = max(input_bytes(rows), 1)
-    fraction = min(1.0, max(SAMPLE_BYTES / size, 1e-7))
-    share = min(1.0, HOT_BYTES / size)
-    counted = Observation()
+    fraction = min(1.0, max(SAMPLE_BYTES / max(input_bytes(rows), 1), 1e-7))
+    floor = max(HOT_FLOOR, HOT_BYTES * fraction / rows._jdf.schema().defaultSize())
     heavy = (
         rows.select(*on)
         .sample(fraction=fraction, seed=7)
-        .observe(counted, F.count(F.lit(1)).alias("n"))
         .groupBy(*on)
         .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") >= HOT_FLOOR)
+        .filter(F.col("_n") >= floor)
         .orderBy(F.desc("_n"), *on)
         .limit(HOT_LIMIT)
-        .collect()
     )
-    floor = share * counted.get["n"]
-    return [tuple(row[name] for name in on) for row in heavy if row["_n"] >= floor]
+    return [tuple(row[name] for name in on) for row in heavy.collect()]
 
 
 def _join(rows: DataFrame, other: DataFrame, on: Sequence[str], null_safe: bool, how: str) -> DataFrame:
