@@ -47,7 +47,7 @@ SEQUENCE_COST = 8.0
 GRID = 64
 STREAM_CHARS = 1 << 23
 #: Words whose ids a task remembers, twice. A matter of speed only.
-MEMORY = 400_000
+MEMORY = 200_000
 
 #: A single space between two characters that are not white space: a new piece begins there in any case.
 SEAM = re.compile(r"(?<=\S) (?=\S)")
@@ -87,14 +87,18 @@ class WordTokens:
     def __init__(self, path: str, ranks: str | None = None):
         self.tokenizer = Tokenizer.from_file(path)
         self.faster = None if ranks is None else rank_encoder(ranks)
-        self.now: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.long: list[str] = []
+        self.forget()
         names = [self.tokenizer.decode([token]) for token in range(self.tokenizer.get_vocab_size())]
         #: Tokens that may end a sentence, and those that begin with white space.
         self.stops = np.array([name.endswith(STOPS) for name in names])
         self.blanks = np.array([name[:1].isspace() for name in names])
 
+    def forget(self) -> None:
+        """Drop the words; a worker process outlives its task."""
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.long: list[str] = []
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         for begin in range(0, len(texts), 256):
@@ -280,5 +284,6 @@ def pack(
                 columns += [pa.array(sequence + number), pa.array(offset)]
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(doc)), *columns], names=schema.names)
                 number += int(sequence[-1]) + 1
+        encoder.forget()
 
     return docs.select(key, text).mapInArrow(mapped, schema)
