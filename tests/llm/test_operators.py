@@ -277,6 +277,23 @@ def test_rare_words_are_looked_up_in_the_table(spark, monkeypatch):
         assert abs(row.base_score - base) < 1e-6 * abs(base) and row.n_known == known
 
 
+def test_the_end_is_known_where_many_words_are_as_frequent(spark, monkeypatch):
+    """A few long documents: all words are as frequent as the end or more so."""
+    monkeypatch.setattr(lm, "COMMON", 10)
+    line = " ".join(f"word{i}" for i in range(50))
+    texts = {i: " ".join([line] * (1 + i % 2)) for i in range(12)}
+    train = [key for key in texts if zlib.crc32(str(key).encode()) % 10]
+    count = Counter(word for key in train for word in [*texts[key].encode().split(), b""])
+    total, distinct = sum(count.values()), len(count)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id LONG, text STRING")
+    known, _ = lm.vocabulary(settle(lm.word_counts(rows.select("text")), "counts"))
+    assert known.counts[b""] == 12 and known.table.flat[lm.BUCKETS] == 12
+    for row in lm.scored(rows).collect():
+        tokens = [*texts[row.doc_id].encode().split(), b""]
+        base = sum(math.log10((count[t] + 0.1) / (total + 0.1 * (distinct + 1))) for t in tokens)
+        assert row.n_known == len(tokens) and abs(row.base_score - base) < 1e-6 * abs(base)
+
+
 def test_nearest_vectors(spark):
     rng = np.random.default_rng(0)
     vectors = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 16)))]

@@ -150,7 +150,7 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
     """The vocabulary, and the count below which words stay in the table.
 
     Counts are sorted into bins of a sixteenth octave; the common words are those of the highest bins that
-    hold at most ``COMMON`` words together.
+    hold at most ``COMMON`` words together, and the end of a text.
     """
     fine = F.floor(F.log2("n") * 16)
     bins = counts.groupBy(fine.alias("bin")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.min("n").alias("least"))
@@ -164,11 +164,13 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
             cut = row["least"]
         else:
             taken = None
-    common = [(bytes(row["word"]), row["n"]) for row in counts.filter(F.col("n") >= cut).collect()]
+    # The end of a text is an item of its own and always known with its count, however rare.
+    ending = F.octet_length("word") == 0
+    common = [(bytes(row["word"]), row["n"]) for row in counts.filter((F.col("n") >= cut) | ending).collect()]
     common.sort(key=lambda x: (-x[1], x[0]))
-    ending = F.substring("word", F.greatest(F.octet_length("word") - 2, F.lit(1)), F.lit(3))
-    grouped = counts.filter((F.col("n") < cut) & (F.octet_length("word") > 0)).groupBy(
-        F.pmod(F.crc32(ending), F.lit(BUCKETS)).alias("bucket")
+    last = F.substring("word", F.greatest(F.octet_length("word") - 2, F.lit(1)), F.lit(3))
+    grouped = counts.filter((F.col("n") < cut) & ~ending).groupBy(
+        F.pmod(F.crc32(last), F.lit(BUCKETS)).alias("bucket")
     )
     rest = grouped.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
     return Vocabulary(common, total, distinct, {int(r["bucket"]): (r["n"], r["words"]) for r in rest}), cut
