@@ -294,6 +294,20 @@ def test_the_end_is_known_where_many_words_are_as_frequent(spark, monkeypatch):
         assert row.n_known == len(tokens) and abs(row.base_score - base) < 1e-6 * abs(base)
 
 
+def test_every_training_document_trains_once(spark, docs, monkeypatch):
+    seen = Counter()
+
+    def trained(texts, model, shared):
+        seen.update(row.text for row in texts.collect())
+        return model
+
+    monkeypatch.setattr(lm, "trained", trained)
+    for rows in (whole(spark), docs):
+        seen.clear()
+        lm.learnt(rows)
+        assert seen == Counter(row.text for row in rows.collect() if row.doc_id is None or zlib.crc32(str(row.doc_id).encode()) % 10)
+
+
 def test_nearest_vectors(spark):
     rng = np.random.default_rng(0)
     vectors = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 16)))]

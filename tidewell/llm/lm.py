@@ -10,9 +10,8 @@ of the group's count, with the same share for one word never seen, so every text
 
 Training is local and then averaged: in each round, every task starts from the model of the round before,
 passes over its own documents and returns its model, weighted by its tokens; models are summed in two
-steps in pieces, and only one model reaches the driver. The rounds take ``ROUND_SHARE`` of the training
-documents each, other ones every time, chosen by hash of the id, so training grows with the corpus, as
-the counts do, which cover all of it.
+steps in pieces, and only one model reaches the driver. The training documents are dealt to the rounds by
+hash of the id, so every one of them trains the model once, and the counts cover all of them too.
 
 Defined results: a null text is empty and has its end only; a null id is a training document; repeated
 rows are scored each and count each; words are those of the lower-cased (A-Z) text between white space
@@ -44,7 +43,6 @@ COMMON = 200_000
 CLASSES = 64
 BUCKETS = 64
 ROUNDS = 3
-ROUND_SHARE = 8  # one document in so many
 SMOOTH = 0.1
 #: Words a task counts before it gives its counts out.
 FLUSH = 400_000
@@ -238,8 +236,8 @@ def learnt(docs: DataFrame, key: str = "doc_id", text: str = "text"):
     known, cut = vocabulary(counts)
     shared = docs.sparkSession.sparkContext.broadcast(known)
     model = Model(known.table)
-    lot = F.pmod(F.xxhash64(F.col(key)), F.lit(ROUND_SHARE))
-    trainers = max(1, known.total // (ROUND_SHARE * TRAINER_TOKENS))
+    lot = F.pmod(F.xxhash64(F.col(key)), F.lit(ROUNDS))
+    trainers = max(1, known.total // (ROUNDS * TRAINER_TOKENS))
     for number in range(ROUNDS):
         texts = training.filter(lot == number).select(text)
         model = trained(texts.coalesce(trainers), model, shared)
