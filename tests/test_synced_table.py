@@ -234,6 +234,30 @@ def test_a_newer_snapshot_file_replaces_the_state(table, landing, sync):
     assert table.current().version == version + 1
 
 
+def test_all_parts_of_a_snapshot_are_loaded(table, landing, sync):
+    first, second, third = FILES
+    lines = ("1,a,X,2021-01-01", "2,b,Y,2021-01-01", "3,c,X,")
+    for part in (0, 1):
+        put(landing / "delivery=LOAD5", f"part-0000{part}-x.csv", lines[part])
+    sync(max_files=1)
+    assert in_order(table.state()) == fold(BASE[:2], [])
+    deliver(landing, first)
+    sync(max_files=1)
+    put(landing / "delivery=LOAD5", "part-00002-x.csv", lines[2])
+    put(landing / "copy" / "delivery=LOAD5", "part-00000-x.csv", lines[0])
+    deliver(landing, second)
+    sync(max_files=1)
+    assert in_order(table.state()) == after(first, second)
+    assert table.rejects().filter("seq.file = ''").count() == 0
+    table.compact()
+    put(landing / "delivery=LOAD5", "part-00003-x.csv", "9,i,X,2021-01-01")
+    sync(max_files=1)
+    assert [row.user_id for row in table.late().collect()] == [9]
+    (landing / "copy" / "delivery=LOAD5" / "part-00000-x.csv").write_text("")
+    table.rebuild(str(landing))
+    assert in_order(table.state()) == fold([*BASE, (9, "i", "X", D1)], [x for name in (first, second) for x in FILES[name]])
+
+
 def test_publishing_leaves_the_table_and_earlier_features_alone(spark, table, landing, sync):
     dimension = spark.createDataFrame([("X", "Xland")], "city STRING, state STRING")
     first, second, third = FILES

@@ -36,7 +36,14 @@ from tidewell.operators.changes import replay
 from tidewell.plans.features import city_features, city_stats, normalize_city, sort_features
 from tidewell.schemas import FILE_ID, SEQ_DDL, USERS_DDL, changes_ddl
 from tidewell.session import estimated_bytes, settle
-from tidewell.sources.files import read_changes, read_latest_snapshot, settle_changes
+from tidewell.sources.files import (
+    delivered_files,
+    file_ids,
+    latest_snapshot_name,
+    read_changes,
+    read_latest_snapshot,
+    settle_changes,
+)
 
 # snapshot: version of the snapshot to start from; its log is that of later versions.
 # mark: newest file whose changes are part of the snapshot.
@@ -108,7 +115,7 @@ class SyncedTable:
         batch_id: int | None = None,
     ) -> int:
         """Replace the table. ``mark`` names the newest change file that ``state`` contains, ``number`` the
-        snapshot file it is, and ``files`` the change files it contains (columns ``FILE_ID``)."""
+        snapshot file it is, and ``files`` the files it contains (columns ``FILE_ID``)."""
         current = self.current()
         version = 0 if current is None else current.version + 1
         state.write.mode("overwrite").parquet(self._snapshot(version))
@@ -122,9 +129,11 @@ class SyncedTable:
         log = settle_changes(read_changes(self.spark, landing, ddl=self.ddl))
         newest = log.agg(F.max("seq.file")).first()[0]
         base = read_latest_snapshot(self.spark, landing, ddl=self.ddl)
+        parts = delivered_files(self.spark, landing, latest_snapshot_name(self.spark, landing))
+        files = _files(log).union(file_ids(parts))
         current = self.current()
         number = None if current is None else current.number
-        return self.load(replay(base, log, key=self.key), mark=newest, number=number, files=_files(log))
+        return self.load(replay(base, log, key=self.key), mark=newest, number=number, files=files)
 
     def append(self, changes: DataFrame, *, stream: str | None = None, batch_id: int | None = None) -> int:
         """Add changes, as given by ``read_changes``.
@@ -187,6 +196,12 @@ class SyncedTable:
         """Changes since the table was loaded that replay ignores, with the reason and their version."""
         return ops.rejects(self._kept_apart("log"), key=self.key)
 
+    def taken(self) -> DataFrame:
+        """The files (``FILE_ID``) that are part of the table since it was loaded."""
+        history = self.history().collect()
+        loaded = self._newest(history).loaded
+        return self._read("files", self._versions(history, ("load", "append"), loaded), _FILES_DDL).select(*FILE_ID)
+
     def published(self) -> list[str]:
         """Paths of published features, oldest first."""
         rows = self.history().filter("kind = 'publish'").orderBy("version").collect()

@@ -64,6 +64,18 @@ def latest_snapshot_name(spark: SparkSession, landing: str) -> str:
     return found.newest["name"]
 
 
+def delivered_files(spark: SparkSession, landing: str, name: str) -> DataFrame:
+    """``_path`` of each file that was delivered under ``name``; none is opened."""
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+    return every.select(plain_path(F.col(_PATH)).alias("_path")).filter(drop_name(F.col("_path")) == name)
+
+
+def file_ids(files: DataFrame) -> DataFrame:
+    """``FILE_ID`` of files given by ``_path``."""
+    path = F.col("_path")
+    return files.select(folder_of(path).alias("folder"), F.substring_index(path, "/", -1).alias("base"))
+
+
 def read_snapshot(spark: SparkSession, path: str | list[str], *, ddl: str = USERS_DDL) -> DataFrame:
     return spark.read.schema(ddl).option("recursiveFileLookup", "true").csv(path)
 

@@ -3,6 +3,11 @@
 A snapshot file (``LOAD<number>``) that is newer than the one loaded replaces the table. The change files
 of the same batch and of later ones apply to it, whatever their names; those of earlier batches are gone
 with the state that they changed. ``SyncedTable.rebuild`` replays all change files on it instead.
+
+A snapshot may be delivered in many files. A load takes all of them that lie in the landing folder, whether or not
+they are in the batch. Files that come into its folder after that are added as inserts that come before all
+changes; once changes were compacted they are late, as changes would be, until a ``rebuild``. Rows without
+a key in such files are rejects, as inserts without a key are.
 """
 
 from __future__ import annotations
@@ -13,22 +18,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell.functions import drop_name, first_number
+from tidewell.functions import drop_name, first_number, folder_of
 from tidewell.plans.synced_table import SyncedTable
 from tidewell.schemas import changes_ddl
-from tidewell.sources.files import is_snapshot_row, read_snapshot, snapshot_order, with_order, with_position
+from tidewell.sources.files import (
+    delivered_files,
+    file_ids,
+    is_snapshot_row,
+    read_snapshot,
+    snapshot_order,
+    with_order,
+    with_position,
+)
 
 
-def newer_snapshot(batch: DataFrame, loaded: str | None) -> tuple[list[str], str] | None:
-    """Files and number of the newest snapshot of a batch, if its number is above ``loaded``."""
+def snapshot_files(batch: DataFrame) -> DataFrame:
+    """Path, delivery name and number of the snapshot files of a batch."""
     name = drop_name(F.col("_path"))
     found = batch.filter(is_snapshot_row()).select("_path", name.alias("name"), first_number(name).alias("version"))
-    found = found.distinct()
+    return found.distinct()
+
+
+def newer_snapshot(batch: DataFrame, loaded: str | None, landing: str) -> tuple[list[str], str] | None:
+    """Files and number of the newest snapshot of a batch, if its number is above ``loaded``."""
+    found = snapshot_files(batch)
     newest = found.agg(F.max(F.when(F.col("version").isNotNull(), snapshot_order())).alias("newest")).first().newest
     if newest is None or (loaded is not None and (newest.digits, newest.version) <= (len(loaded), loaded)):
         return None
-    # The part files of one delivery.
-    return [row[0] for row in found.filter(F.col("name") == newest["name"]).collect()], newest.version
+    # The part files of one delivery, also those that come with later batches.
+    parts = delivered_files(batch.sparkSession, landing, newest["name"])
+    named = found.filter(F.col("name") == newest["name"]).select("_path")
+    return [row[0] for row in parts.union(named).distinct().collect()], newest.version
+
+
+def later_parts(table: SyncedTable, batch: DataFrame, number: str | None) -> DataFrame | None:
+    """Rows of the batch's files of the loaded snapshot, as inserts before all changes; None if it has none."""
+    if number is None:
+        return None
+    found = snapshot_files(batch).filter((F.col("version") == number) & (F.substring_index("_path", "/", -1) != F.col("name")))
+    # A copy of the delivery in another folder is no part of it.
+    known = table.taken().select(F.col("folder").alias("known")).distinct()
+    found = found.join(known, folder_of(F.col("_path")) == F.col("known"), "left_semi")
+    paths = [row[0] for row in found.select("_path").collect()]
+    if not paths:
+        return None
+    rows = with_position(read_snapshot(table.spark, paths, ddl=table.ddl))
+    rows = with_order(rows.select(F.lit("I").alias("action"), "*"))
+    return rows.withColumn("seq", F.col("seq").withField("file", F.lit("")))
 
 
 def sync_stream(
@@ -61,14 +97,19 @@ def sync_stream(
         stream = table.spark.read.text(f"{checkpoint}/metadata").first()[0]
         if table.committed(stream, batch_id) is None:
             current = table.current()
-            reload = newer_snapshot(batch, None if current is None else current.number)
+            reload = newer_snapshot(batch, None if current is None else current.number, landing)
             if reload is not None:
                 paths, number = reload
                 # The load itself is not the batch's commit: if the changes fail, both are repeated.
-                table.load(read_snapshot(table.spark, paths, ddl=table.ddl), number=number)
+                files = file_ids(table.spark.createDataFrame([(path,) for path in paths], "_path STRING"))
+                table.load(read_snapshot(table.spark, paths, ddl=table.ddl), number=number, files=files)
             # Changes of a table that nothing has started yet wait for a rebuild.
             if reload is not None or current is not None:
                 changes = with_order(batch.filter(~is_snapshot_row()))
+                # Files that a load has taken are known to the table and have no effect.
+                parts = None if reload is not None else later_parts(table, batch, current.number)
+                if parts is not None:
+                    changes = changes.unionByName(parts)
                 table.append(changes, stream=stream, batch_id=batch_id)
         if after_batch is not None and table.current() is not None:
             after_batch(table)
