@@ -203,6 +203,14 @@ def test_personal_data(spark, docs, empty):
     assert clean.filter("text IS NULL").count() == 1
 
 
+def test_addresses_at_a_domain_that_begins_with_a_hyphen(spark):
+    texts = ["ann@-mail.example.com", "x %@-a.b y", "ann@-", "no sign"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    got = {row.doc_id: [(x.kind, x.start, x.end) for x in row.base] for row in pii.find(rows).collect()}
+    assert got == {i: [(0, m.start(), m.end()) for m in re.finditer(BASE[0], text)] for i, text in enumerate(texts)}
+    assert pii.redacted(rows).filter("doc_id = 0").first().text == "[EMAIL]"
+
+
 def F_same(a, b):
     from pyspark.sql import functions as F
 

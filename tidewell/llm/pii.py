@@ -39,7 +39,7 @@ PATTERNS = [
     r"\+[0-9][\x20().0-9-]+[0-9]",
 ]
 #: Without one of these, a text has no match: tested first, as most texts have none.
-SIGNS = [r"[A-Za-z0-9]@[A-Za-z0-9]|[._%+-]@", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"[0-9]", r"\+[0-9]"]
+SIGNS = [r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"[0-9]", r"\+[0-9]"]
 
 #: What generators propose, per kind.
 PROPOSED = [
