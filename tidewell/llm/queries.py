@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, lm, lsh, main_text, packing, pii, quality, sharding, simhash, url_lists
+from tidewell.llm import (
+    bpe,
+    burst_trie,
+    filter_audit,
+    lm,
+    lsh,
+    main_text,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+    url_lists,
+)
 from tidewell.llm.common import table
 
 
@@ -115,6 +129,19 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, digest, pii.listed("spans").alias("spans"))
 
 
+def op11_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return burst_trie.nodes(burst_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op12_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_filter_potential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.marked(documents, labels))
+
+
 QUERIES = {
     "op1_temporal_lists": op1_temporal_lists,
     "op2_recurrent_lm": op2_recurrent_lm,
@@ -126,4 +153,7 @@ QUERIES = {
     "op8_backtracking_bpe": op8_backtracking_bpe,
     "op9_simhash_vantage": op9_simhash_vantage,
     "op10_boosted_pii": op10_boosted_pii,
+    "op11_burst_trie": op11_burst_trie,
+    "op12_kneser_ney_toxicity": op12_kneser_ney_toxicity,
+    "op13_filter_potential": op13_filter_potential,
 }
