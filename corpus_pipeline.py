@@ -1,14 +1,15 @@
 """From raw documents to packed training sequences.
 
 Four stages, each over all documents that the stage before kept: quality rules drop documents, one document
-of each group of near copies stays, personal data is replaced in the texts, and what is left is packed.
+of each group of near copies stays (fingerprints of four-word shingles at most four bits apart), personal
+data is replaced in the texts, and what is left is packed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import jaccard, pii, quality
+from tidewell.llm import pii, quality, simhash
 from tidewell.llm.common import table
 from tidewell.llm.queries import packed_pieces
 from tidewell.session import settle
@@ -19,7 +20,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
