@@ -15,7 +15,7 @@ import pytest
 import regex
 
 import corpus_pipeline
-from tidewell.llm import bpe, jaccard, lm, lsh, main_text, packing, pii, quality, queries, sharding, simhash, url_lists
+from tidewell.llm import bpe, lm, lsh, main_text, packing, pii, quality, queries, sharding, simhash, url_lists
 from tidewell.llm.common import table
 from tidewell.llm.oracles import ORACLES
 from tidewell.session import settle, workspace
@@ -90,47 +90,17 @@ def test_one_of_each_group_stays(spark, docs, empty):
     assert simhash.keep_one(alone.union(alone)).count() == 2
 
 
-def shingle_sets(texts):
-    split = [text.encode().lower().split() for text in texts]
-    return [{tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4))} for x in split]
-
-
-def brute_groups(texts):
-    """Number of the first text of the group of each, by comparing all pairs."""
-    sets, label = shingle_sets(texts), list(range(len(texts)))
-    for i in range(len(sets)):
-        for j in range(i):
-            if label[i] != label[j] and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
-    return label
-
-
-@pytest.mark.parametrize("small", [8, 2])
-def test_near_copies_of_the_pipeline(spark, docs, empty, monkeypatch, small):
-    """Words changed here and there (similarity 0.6 to 1), chains, one large group, short texts."""
-    monkeypatch.setattr(jaccard, "SMALL", small)
-    draw, texts = random.Random(5), []
-    for group in range(12):
-        line = [f"w{draw.randrange(5000)}" for _ in range(200)]
-        texts.append(" ".join(line))
-        for copy in range(40 if group == 0 else 5):
-            if group % 3 == 1:
-                line = list(line)  # a chain: each copy changes the one before
-            changed = list(line)
-            for place in draw.sample(range(200), draw.randrange(1, 12)):
-                changed[place] = f"x{draw.randrange(5000)}"
-            if group % 3 == 1:
-                line = changed
-            texts.append(" ".join(changed))
-    texts += ["", "  ", "one two", "One  two", "one two three", "a b c d e", "a b c d e f"]
-    label = brute_groups(texts)
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
-    assert sorted(row.doc_id for row in corpus_pipeline.keep_one_of_each(spark, rows, SF).collect()) == sorted(set(label))
-    kept = corpus_pipeline.keep_one_of_each(spark, docs, SF)
-    assert kept.columns == docs.columns
-    assert sorted((row.doc_id for row in kept.collect()), key=repr) == sorted([1, 4, 6, 7, 8, None, 9, 10], key=repr)
-    assert corpus_pipeline.keep_one_of_each(spark, empty, SF).count() == 0
+def test_the_stage_keeps_the_smallest_id_of_each_group(spark, docs):
+    """Against all pairs of fingerprints, with columns of the names used inside."""
+    rows = [(row.doc_id, row.text) for row in whole(spark).collect()]
+    _, label = near_copies(rows)
+    least = {}
+    for (key, _), group in zip(rows, label, strict=True):
+        least[group] = min(key, least.get(group, key))
+    clashing = whole(spark).selectExpr("*", "1 AS digest", "2 AS digest_0", "3 AS key", "'x' AS first", "4L AS root")
+    kept = corpus_pipeline.keep_one_of_each(spark, clashing, SF)
+    assert kept.columns == clashing.columns
+    assert sorted(row.doc_id for row in kept.collect()) == sorted(least.values())
 
 
 def test_small_leaves_and_blocks_give_the_same_groups(spark, monkeypatch):

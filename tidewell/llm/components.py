@@ -1,8 +1,8 @@
 """Connected components of an edge table, by alternating large and small stars.
 
 Every round is two aggregations and two joins over the edges, written to the shared folder; a node with
-very many edges is aggregated before the shuffle and its edges can be split by skew joins. The number of
-rounds is logarithmic in the longest chain for all practical graphs.
+very many edges is aggregated before the shuffle, and its edges are kept out of the shuffle of the join. The
+number of rounds is logarithmic in the longest chain for all practical graphs.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.joins import join_unique
 from tidewell.session import settle
 
 
@@ -21,14 +22,15 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Hang the larger neighbours of each node below the smallest of the node and its neighbours."""
     near = _both_ways(edges)
     least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return near.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    hung = join_unique(near.filter("b > a"), least, ["a"])
+    return hung.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang each node and its smaller neighbours below the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = join_unique(down, least, ["a"]).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 

@@ -23,12 +23,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import lower_words, texts_of
 from tidewell.llm.components import components
 from tidewell.llm.vantage import Search, Tree
+from tidewell.operators.joins import join_unique
 from tidewell.session import settle
 
 SHINGLE = 4
@@ -62,18 +63,23 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(starts), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``fingerprint`` (its 64 bits as a signed number) of every row."""
-    schema = docs.select(key).schema.add("fingerprint", "long")
+def _printed(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with ``fingerprint`` (its 64 bits as a signed number) in place of ``text``."""
+    place = rows.columns.index(text)
+    schema = rows.drop(text).schema.add("fingerprint", "long")
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(x) for x in texts_of(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], names=[key, "fingerprint"]
-            )
+            prints = np.array([fingerprint(x) for x in texts_of(batch.column(place))], np.uint64)
+            others = [column for i, column in enumerate(batch.columns) if i != place]
+            yield pa.RecordBatch.from_arrays([*others, pa.array(prints.view(np.int64))], names=schema.names)
 
-    return docs.select(key, text).mapInArrow(mapped, schema)
+    return rows.mapInArrow(mapped, schema)
+
+
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key`` and ``fingerprint`` of every row."""
+    return _printed(docs.select(key, text), text)
 
 
 def near_edges(prints: DataFrame, reach: int = REACH) -> DataFrame:
@@ -138,48 +144,43 @@ def near_edges(prints: DataFrame, reach: int = REACH) -> DataFrame:
     )
 
 
-def rooted(prints: DataFrame, key: str, reach: int) -> DataFrame:
-    """``fingerprint``, ``least`` (its smallest key) and ``root`` of every distinct fingerprint."""
-    distinct = settle(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct-fingerprints")
-    linked = components(near_edges(distinct, reach))
-    roots = distinct.join(linked, distinct.fingerprint == linked.node, "left")
-    return settle(roots.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")), "rooted")
+def rooted(prints: DataFrame, least: Column, reach: int) -> DataFrame:
+    """``fingerprint``, ``least`` (an aggregate of its rows) and ``root`` of every distinct fingerprint."""
+    distinct = settle(prints.groupBy("fingerprint").agg(least.alias("least")), "distinct-fingerprints")
+    linked = components(near_edges(distinct, reach)).withColumnRenamed("node", "fingerprint")
+    roots = join_unique(distinct, linked, ["fingerprint"])
+    return settle(roots.withColumn("root", F.coalesce("root", "fingerprint")), "rooted")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
     """``key``, ``fingerprint`` and ``component_id`` (smallest key reachable) of every row."""
     prints = settle(fingerprints(docs, key, text), "fingerprints")
-    roots = rooted(prints, key, reach)
+    roots = rooted(prints, F.min(key), reach)
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(least, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+    named = join_unique(roots, least, ["root"]).select("fingerprint", "component_id")
+    return join_unique(prints, named, ["fingerprint"]).select(key, "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
     """One row of each component, with all columns of ``docs``: the one with the smallest key (a null key
-    comes last), and of rows that share it, the one with the smallest fingerprint."""
-    columns = docs.columns
-    place = columns.index(text)
-    schema = docs.select("*").schema.add("__print", "long")
+    comes last), and of rows that share it, the one with the smallest fingerprint and digest of the text.
 
-    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = np.array([fingerprint(x) for x in texts_of(batch.column(place))], np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], names=schema.names)
-
-    prints = settle(fingerprints(docs, key, text), "fingerprints")
-    roots = rooted(prints, key, reach).select("fingerprint", "root")
-    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("fingerprint").alias("print"))
-    first = prints.join(roots, "fingerprint").groupBy("root").agg(F.min(order).alias("first"))
-    first = first.select(F.col("first.key").alias("__key"), F.col("first.print").alias("__first"))
-    marked = docs.mapInArrow(mapped, schema)
-    same = (F.col("__print") == F.col("__first")) & F.col(key).eqNullSafe(F.col("__key"))
-    kept = marked.join(first, same, "left_semi")
+    Rows are known by their key and a digest (SHA-256) of their text, so that texts are fingerprinted once.
+    """
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    read = docs.select(F.col(key).alias("key"), digest.alias("digest"), F.col(text).alias("text"))
+    prints = settle(_printed(read, "text"), "fingerprints")
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "fingerprint", "digest")
+    first = rooted(prints, F.min(order), reach).groupBy("root").agg(F.min("least").alias("first"))
+    # The names of the other side are no names of ``docs``, whatever those are.
+    own = next(name for i in range(len(docs.columns) + 1) if (name := f"digest_{i}") not in docs.columns)
+    first = first.select(F.col("first.key").alias(f"{own}_key"), F.col("first.digest").alias(f"{own}_of"))
+    same = F.col(own).eqNullSafe(F.col(f"{own}_of")) & F.col(f"`{key}`").eqNullSafe(F.col(f"{own}_key"))
+    kept = docs.withColumn(own, digest).join(first, same, "left_semi")
     # Rows that are equal in key and text can't be told apart by the join.
-    repeated = prints.groupBy(key, "fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    if not repeated.isEmpty():
-        kept = kept.dropDuplicates([key, "__print"])
-    return kept.select(*columns)
+    if not prints.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        kept = kept.dropDuplicates([key, own])
+    return kept.drop(own)
 
 
 def hex_digits(bits: str = "fingerprint"):
