@@ -44,7 +44,7 @@ FOLDS = 5
 #: Labelled rows of each class, about, and the share of them that fits the logistic function (one of so many).
 LABEL_ROWS = 20_000
 FITTING = 4
-MODEL_WORDS = 400_000
+MODEL_WORDS = 120_000
 #: Characters of context.
 CONTEXT = 10
 #: The discount in a class: what it has once is said by the backoff alone.
