@@ -91,7 +91,7 @@ def test_changes_are_ordered_by_name_until_compacted(spark, table, landing):
 def test_an_uncommitted_write_is_not_seen(spark, table, landing):
     first, second, _ = FILES
     deliver(landing, *FILES)
-    read_changes(spark, str(landing / first)).write.parquet(f"{table.root}/log/version=1")
+    read_changes(spark, str(landing / first)).write.parquet(f"{table.root}/log/_snapshot=0/_append=1")
     assert in_order(table.state()) == after()
     table.append(read_changes(spark, str(landing / second)))
     assert in_order(table.state()) == after(second)
@@ -239,6 +239,7 @@ def test_all_parts_of_a_snapshot_are_loaded(table, landing, sync):
     lines = ("1,a,X,2021-01-01", "2,b,Y,2021-01-01", "3,c,X,")
     for part in (0, 1):
         put(landing / "delivery=LOAD5", f"part-0000{part}-x.csv", lines[part])
+    put(landing / "delivery=LOAD5", "_SUCCESS")
     sync(max_files=1)
     assert in_order(table.state()) == fold(BASE[:2], [])
     deliver(landing, first)
@@ -287,3 +288,77 @@ def test_rejects_of_the_table(table, landing, sync):
     deliver(landing, *FILES)
     sync(after_batch=SyncedTable.compact)
     assert [(row.action, row.reason) for row in table.rejects().collect()] == [("Q", "unknown action")]
+
+
+def test_half_a_delivery_leaves_the_old_state(table, landing, sync):
+    """Changes that come while a snapshot is awaited apply to the old state, and then to the new one."""
+    first, second, third = FILES
+    folder = landing / "delivery=LOAD5"
+    deliver(landing, first)
+    sync(max_files=1)
+    put(folder, "part-00000-x.csv", "1,new,X,2021-01-01")
+    sync(max_files=1)
+    assert in_order(table.state()) == after(first) and table.current().awaited == "LOAD5"
+    deliver(landing, second)
+    sync(max_files=1)
+    assert in_order(table.state()) == after(first, second)
+    table.compact()
+    put(folder, "part-00001-x.csv", "4,new,Y,2021-01-01")
+    sync(max_files=1)
+    assert in_order(table.state()) == after(first, second)
+    put(landing, "LOAD4.csv", "9,older,X,2021-01-01")  # complete, but not the newest
+    deliver(landing, third)
+    sync(max_files=1)
+    assert in_order(table.state()) == after(*FILES) and table.current().awaited == "LOAD5"
+    put(folder, "_SUCCESS")
+    sync(max_files=1)
+    new = [(1, "new", "X", D1), (4, "new", "Y", D1)]
+    assert in_order(table.state()) == fold(new, FILES[second] + FILES[third])
+    assert table.current().number == "5" and table.current().awaited is None
+    assert [(row.action, row.reason) for row in table.rejects().collect()] == [("Q", "unknown action")]
+    table.append(read_changes(table.spark, str(landing / second)))
+    assert in_order(table.state()) == fold(new, FILES[second] + FILES[third])
+
+
+def test_a_first_snapshot_that_comes_bit_by_bit(spark, landing, tmp_path):
+    first, second, _ = FILES
+    table = SyncedTable(spark, str(tmp_path / "new table"))
+    run = lambda: sync_stream(table, str(landing), str(tmp_path / "checkpoint"), max_files=1).awaitTermination()
+    put(landing / "delivery=LOAD1", "part-00000-x.csv", "1,a,X,2021-01-01", "2,b,Y,2021-01-01")
+    run()
+    assert not table.is_loaded()
+    with pytest.raises(ValueError, match="nothing loaded"):
+        table.state()
+    deliver(landing, first)
+    run()
+    assert not table.is_loaded() and table.compact() == table.current().version
+    put(landing / "delivery=LOAD1", "part-00001-x.csv", "3,c,X,")
+    put(landing / "delivery=LOAD1", "_SUCCESS")
+    deliver(landing, second)
+    run()
+    assert in_order(table.state()) == after(first, second)
+
+
+def nodes(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+
+def test_plans_do_not_grow_with_the_number_of_appends(spark, table, landing, monkeypatch):
+    """Files are folded into ledgers on the way, and one that came long ago is still known."""
+    monkeypatch.setattr("tidewell.plans.synced_table.FOLD", 5)
+    changes, sizes = [], {}
+    for i in range(1, 13):
+        name = f"2021{i:04d}-000000000.csv"
+        put(landing, name, f"U,1,a{i},X,2021-01-01", f"I,{i + 10},n,Y,")
+        changes += [("U", 1, f"a{i}", "X", D1), ("I", i + 10, "n", "Y", None)]
+        table.append(read_changes(spark, str(landing / name)))
+        if i == 6:
+            table.publish_features(spark.createDataFrame([("X", "s")], "city STRING, state STRING"), dt.date(2021, 2, 1))
+        if i in (3, 12):
+            sizes[i] = [nodes(frame) for frame in (table.state(), table.taken(), table.late(), table.rejects())]
+    assert sizes[3] == sizes[12]
+    assert in_order(table.state()) == fold(BASE, changes)
+    assert table.current().folded == 10 and table.taken().count() == 12
+    table.append(read_changes(spark, str(landing)))
+    assert in_order(table.state()) == fold(BASE, changes) and table.taken().count() == 12
+    assert in_order(table.state(3)) == fold(BASE, changes[:6])

@@ -44,7 +44,7 @@ def sync(arguments: list[str]) -> None:
     spark = build_session("tidewell-sync")
     table = SyncedTable(spark, options.table, ddl=USERS_DDL.replace("INT", options.key_type, 1))
     sync_stream(table, options.landing, options.checkpoint).awaitTermination()
-    if table.current() is None:
+    if not table.is_loaded():
         raise SystemExit("no snapshot file has come yet")
     if options.compact is not None:
         table.compact(options.compact)

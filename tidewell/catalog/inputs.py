@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from tidewell.functions import DELIVERY
 from tidewell.session import workspace
+from tidewell.sources.files import mark_complete
 
 AS_OF = dt.date(2001, 8, 1)
 USERS_DDL = "user_id BIGINT, name STRING, city STRING, last_login DATE"
@@ -125,10 +126,17 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.withColumn("delivery", F.lit("LOAD9")).unionByName(now.withColumn("delivery", F.lit("LOAD10")))
 
 
+def deliver_snapshots(rows: DataFrame, landing: str) -> None:
+    """Deliver ``snapshots`` whole."""
+    deliver(rows, landing, "user_id")
+    for name in ("LOAD9", "LOAD10"):
+        mark_complete(rows.sparkSession, landing, name)
+
+
 def landing_folder(spark: SparkSession, sf_dir: str) -> str:
     """A landing folder with two snapshots and the change files of every day."""
     landing = workspace(spark, "landing")
-    deliver(snapshots(spark, sf_dir), landing, "user_id")
+    deliver_snapshots(snapshots(spark, sf_dir), landing)
     deliver(delivered_log(spark, sf_dir), landing, "seq")
     return landing
 

@@ -52,7 +52,7 @@ def route_files(spark, sf_dir):
 @query
 def latest_snapshot(spark, sf_dir):
     landing = workspace(spark, "landing")
-    inputs.deliver(inputs.snapshots(spark, sf_dir), landing, "user_id")
+    inputs.deliver_snapshots(inputs.snapshots(spark, sf_dir), landing)
     return files.read_latest_snapshot(spark, landing, ddl=USERS_DDL)
 
 
@@ -134,7 +134,7 @@ def cdc_incremental(spark, sf_dir):
 @query
 def cdc_initial_load(spark, sf_dir):
     landing = workspace(spark, "landing")
-    inputs.deliver(inputs.snapshots(spark, sf_dir), landing, "user_id")
+    inputs.deliver_snapshots(inputs.snapshots(spark, sf_dir), landing)
     table = SyncedTable(spark, workspace(spark, "table"), ddl=USERS_DDL)
     table.load(files.read_latest_snapshot(spark, landing, ddl=USERS_DDL))
     return table.state()
@@ -251,7 +251,7 @@ def _stream_in_two_runs(spark, table, early, late, snapshots=None, **options):
     """Deliver and take up ``early``, then ``late``, as two runs of one stream."""
     landing, checkpoint = workspace(spark, "landing"), workspace(spark, "checkpoint")
     if snapshots is not None:
-        inputs.deliver(snapshots, landing, "user_id")
+        inputs.deliver_snapshots(snapshots, landing)
     for log in (early, late):
         inputs.deliver(log, landing, "seq")
         sync_stream(table, landing, checkpoint, **options).awaitTermination()
@@ -283,7 +283,7 @@ def stream_late_files(spark, sf_dir):
     table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
     one_day = F.col("delivery").startswith("20240110")
     _stream_in_two_runs(spark, table, log.filter(~one_day), log.filter(one_day), after_batch=SyncedTable.compact)
-    return table.late().drop("seq", "version")
+    return table.late().drop("seq", "_append")
 
 
 @query
@@ -309,13 +309,13 @@ def stream_late_after_repair(spark, sf_dir):
     table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
     repaired, after = (F.col("delivery").startswith(day) for day in ("20240110", "20240112"))
     landing, checkpoint = workspace(spark, "landing"), workspace(spark, "checkpoint")
-    inputs.deliver(inputs.snapshots(spark, sf_dir), landing, "user_id")
+    inputs.deliver_snapshots(inputs.snapshots(spark, sf_dir), landing)
     for part in (log.filter(~repaired & ~after), log.filter(repaired), log.filter(after)):
         if table.history().count() > 1 and table.late().count():
             table.rebuild(landing)
         inputs.deliver(part, landing, "seq")
         sync_stream(table, landing, checkpoint, after_batch=SyncedTable.compact).awaitTermination()
-    return table.late().drop("seq", "version")
+    return table.late().drop("seq", "_append")
 
 
 @query
@@ -328,6 +328,7 @@ def stream_reload(spark, sf_dir):
         if number is not None:
             users = inputs.users(spark, sf_dir).withColumn("last_login", F.lit(None).cast("date"))
             inputs.deliver(users.withColumn("delivery", F.lit(f"LOAD{number}")), landing, "user_id")
+            files.mark_complete(spark, landing, f"LOAD{number}")
         if part is not None:
             inputs.deliver(part, landing, "seq")
         sync_stream(table, landing, checkpoint).awaitTermination()

@@ -2,12 +2,18 @@
 
 Folder layout under ``root``::
 
-    snapshots/<version>/         full state, Parquet
-    log/version=<version>/       changes that came with this version, Parquet, with ``seq``
-    files/version=<version>/     one row per change file that came with this version
-    late/version=<version>/      changes that came too late to be put in order
-    features/<version>-<id>/     published features, with the table of city statistics
-    manifest/version=<v>/        one row per committed version
+    snapshots/<version>/                  full state, Parquet
+    log/_snapshot=<version>/_append=<n>/  changes of the n-th append, with ``seq``, since that snapshot
+    late/_snapshot=<version>/_append=<n>/ those of them that came too late to be put in order
+    files/_ledger=<version>/_append=<n>/  one row per change file of an append, since that ledger
+    ledgers/<version>/                    all files up to then, sorted by name
+    features/<version>-<id>/              published features, with the table of city statistics
+    manifest/<epoch>/<version>.json       one line per committed version
+
+Appends are numbered without gaps, so that a line of the manifest needs only the first and the last number
+to say what belongs to the table: the log is read as one folder with a range of its partitions, and neither
+plans nor the lines that are read grow with the number of versions. Every FOLD appends the lists of files are
+folded into one ledger, of which a later append reads the names between those of its own files.
 
 A new change file costs its own size and one row in the list of files: its rows are added to the log, and
 readers replay the log since the last snapshot, which is one aggregation of the log and one join.
@@ -24,13 +30,14 @@ again, also after a compaction.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.functions import first_number
 from tidewell.operators import changes as ops
 from tidewell.operators.changes import replay
 from tidewell.plans.features import city_features, city_stats, normalize_city, sort_features
@@ -41,19 +48,29 @@ from tidewell.sources.files import (
     file_ids,
     latest_snapshot_name,
     read_changes,
-    read_latest_snapshot,
+    read_delivery,
     settle_changes,
 )
+from tidewell.storage import make_folder, names, read_text, write_once
 
-# snapshot: version of the snapshot to start from; its log is that of later versions.
+# snapshot: version of the snapshot to start from; its log is that of the appends after ``first``.
 # mark: newest file whose changes are part of the snapshot.
-# loaded: version that replaced the table; files and late changes of versions before it do not count.
+# loaded: version that replaced the table; its files and late changes are those of appends after ``since``.
+# last: number of the newest append. ledger: version of the newest ledger; folded: the last append in it.
 # number: of the snapshot file that was loaded, as text; path: of published features.
+# awaited: delivery of a newer snapshot that is not complete; awaited_from: the last append before it.
+# streams: newest batch of every stream, with the version that has it.
 MANIFEST_DDL = (
-    "kind STRING, snapshot BIGINT, mark STRING, loaded BIGINT, number STRING, path STRING,"
-    " stream STRING, batch_id BIGINT, version BIGINT"
+    "version BIGINT, kind STRING, snapshot BIGINT, first BIGINT, last BIGINT, mark STRING, loaded BIGINT,"
+    " since BIGINT, ledger BIGINT, folded BIGINT, number STRING, awaited STRING, awaited_from BIGINT, path STRING,"
+    " stream STRING, batch_id BIGINT, streams MAP<STRING, ARRAY<BIGINT>>"
 )
-KEPT = ("snapshot", "mark", "loaded", "number")
+_FIELDS = [part.split()[0] for part in MANIFEST_DDL.replace("MAP<STRING, ARRAY<BIGINT>>", "MAP").split(", ")]
+# What one version alone says.
+_OWN = ("path", "stream", "batch_id")
+
+FOLD = 16
+EPOCH = 1000
 
 
 class SyncedTable:
@@ -70,16 +87,26 @@ class SyncedTable:
     # Manifest
 
     def history(self) -> DataFrame:
-        path = f"{self.root}/manifest"
-        try:
-            return self.spark.read.schema(MANIFEST_DDL).json(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """One row per version."""
+        if not names(self.spark, f"{self.root}/manifest"):
             return self.spark.createDataFrame([], MANIFEST_DDL)
+        reader = self.spark.read.schema(MANIFEST_DDL).option("recursiveFileLookup", "true")
+        return reader.json(f"{self.root}/manifest")
 
     def current(self) -> Row | None:
-        return self.history().orderBy(F.desc("version")).limit(1).first()
+        """The newest version: one listing, and one line read."""
+        epochs = names(self.spark, f"{self.root}/manifest")
+        if not epochs:
+            return None
+        newest = max(names(self.spark, f"{self.root}/manifest/{max(epochs)}"))
+        return self._version(int(newest.split(".")[0]))
+
+    def _line(self, version: int) -> str:
+        return f"{self.root}/manifest/{version // EPOCH:09d}/{version:012d}.json"
+
+    def _version(self, version: int) -> Row:
+        known = json.loads(read_text(self.spark, self._line(version)))
+        return Row(**{name: known.get(name) for name in _FIELDS})
 
     def _require_current(self) -> Row:
         current = self.current()
@@ -89,18 +116,21 @@ class SyncedTable:
 
     def _commit(self, version: int, current: Row | None = None, **fields) -> int:
         """Make a version visible; what ``fields`` does not name stays as in ``current``."""
-        fields = {**({name: current[name] for name in KEPT} if current else {}), **fields}
-        kinds = [part.split() for part in MANIFEST_DDL.split(", ")]
-        row = self.spark.range(1, numPartitions=1).select(
-            *(F.lit(fields.get(name)).cast(kind).alias(name) for name, kind in kinds if name != "version")
-        )
-        row.write.mode("errorifexists").json(f"{self.root}/manifest/version={version}")
+        kept = {} if current is None else {k: v for k, v in current.asDict().items() if k not in _OWN}
+        fields = {**kept, **fields, "version": version}
+        if fields.get("stream") is not None:
+            fields["streams"] = {**(fields.get("streams") or {}), fields["stream"]: [fields["batch_id"], version]}
+        write_once(self.spark, self._line(version), json.dumps(fields))
         return version
 
     def committed(self, stream: str, batch_id: int) -> int | None:
-        """Version that has the stream's batch."""
-        same = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
-        return self.history().filter(same).agg(F.max("version")).first()[0]
+        """Version that has the stream's batch, or a later batch of it."""
+        return self._committed(self.current(), stream, batch_id)
+
+    @staticmethod
+    def _committed(current: Row | None, stream: str | None, batch_id: int | None) -> int | None:
+        known = ((current and current.streams) or {}).get(stream)
+        return known[1] if known and batch_id <= known[0] else None
 
     # Changes of the table
 
@@ -111,28 +141,68 @@ class SyncedTable:
         mark: str | None = None,
         number: str | None = None,
         files: DataFrame | None = None,
+        changes_after: int | None = None,
         stream: str | None = None,
         batch_id: int | None = None,
     ) -> int:
         """Replace the table. ``mark`` names the newest change file that ``state`` contains, ``number`` the
-        snapshot file it is, and ``files`` the files it contains (columns ``FILE_ID``)."""
+        snapshot file it is, and ``files`` the files it contains (columns ``FILE_ID``). Appends with numbers
+        above ``changes_after`` are changes of ``state``; by default there are none."""
         current = self.current()
         version = 0 if current is None else current.version + 1
+        last = 0 if current is None else current.last
+        first = last if changes_after is None else changes_after
         state.write.mode("overwrite").parquet(self._snapshot(version))
-        if files is not None:
-            files.select(*FILE_ID).write.mode("overwrite").parquet(f"{self.root}/files/version={version}")
-        fields = {"snapshot": version, "mark": mark, "loaded": version, "number": number}
-        return self._commit(version, kind="load", stream=stream, batch_id=batch_id, **fields)
+        self._start(version)
+        known = self._no_files() if files is None else files.select(*FILE_ID)
+        if first < last:
+            log = self._kept_apart("log", first).unionByName(self._kept_apart("late", first))
+            path = f"{self.root}/log/_snapshot={version}"
+            log.write.mode("overwrite").partitionBy("_append").parquet(path)
+            known = known.union(log.select(*(F.col("seq")[name].alias(name) for name in FILE_ID)))
+        self._write_ledger(version, known)
+        return self._commit(
+            version,
+            current,
+            kind="load",
+            snapshot=version,
+            first=first,
+            last=last,
+            mark=mark,
+            loaded=version,
+            since=first,
+            ledger=version,
+            folded=last,
+            number=number,
+            awaited=None,
+            awaited_from=None,
+            stream=stream,
+            batch_id=batch_id,
+        )
+
+    def wait_for(self, name: str) -> int:
+        """Note that a newer snapshot has begun to come; the changes from now on are also changes of it.
+
+        In a table that nothing was loaded into, changes are kept for it; there is no state until it is loaded.
+        """
+        current = self.current()
+        if current is not None:
+            fields = {"awaited": name, "awaited_from": current.last}
+            return self._commit(current.version + 1, current, kind="wait", **fields)
+        self._start(0)
+        self._write_ledger(0, self._no_files())
+        zero = dict.fromkeys(("snapshot", "first", "last", "since", "ledger", "folded", "awaited_from"), 0)
+        return self._commit(0, kind="wait", awaited=name, **zero)
 
     def rebuild(self, landing: str) -> int:
-        """Replace the table by the newest snapshot of ``landing`` with all its change files replayed."""
+        """Replace the table by the newest complete snapshot of ``landing`` with all change files replayed."""
+        current = self.current()
+        name = latest_snapshot_name(self.spark, landing, without=current and current.awaited)
         log = settle_changes(read_changes(self.spark, landing, ddl=self.ddl))
         newest = log.agg(F.max("seq.file")).first()[0]
-        base = read_latest_snapshot(self.spark, landing, ddl=self.ddl)
-        parts = delivered_files(self.spark, landing, latest_snapshot_name(self.spark, landing))
-        files = _files(log).union(file_ids(parts))
-        current = self.current()
-        number = None if current is None else current.number
+        base = read_delivery(self.spark, landing, name, ddl=self.ddl)
+        files = _files(log).union(file_ids(delivered_files(self.spark, landing, name)))
+        number = self.spark.range(1).select(first_number(F.lit(name))).first()[0]
         return self.load(replay(base, log, key=self.key), mark=newest, number=number, files=files)
 
     def append(self, changes: DataFrame, *, stream: str | None = None, batch_id: int | None = None) -> int:
@@ -140,124 +210,146 @@ class SyncedTable:
 
         A stream's batch that is there already has no effect, nor have files that came before.
         """
-        if stream is not None:
-            done = self.committed(stream, batch_id)
-            if done is not None:
-                return done
-        history = self.history().collect()  # one small row per version
-        current = self._newest(history)
-        version = current.version + 1
-        taken = self._read("files", self._versions(history, ("load", "append"), current.loaded), _FILES_DDL)
-        files = settle(_files(changes).join(taken.select(*FILE_ID).distinct(), FILE_ID, "left_anti"), "new-files")
-        new = [F.col("seq")[name] == F.col(f"_new_{name}") for name in FILE_ID]
-        renamed = files.select(*(F.col(name).alias(f"_new_{name}") for name in FILE_ID))
-        changes = changes.join(renamed, new, "left_semi")
+        current = self._require_current()
+        if stream is not None and (done := self._committed(current, stream, batch_id)) is not None:
+            return done
+        version, number = current.version + 1, current.last + 1
+        path = f"{self.root}/files/_ledger={current.ledger}/_append={number}"
+        _files(changes).write.mode("overwrite").parquet(path)
+        files = self.spark.read.schema(_FILES_DDL).parquet(path)
+        repeated = self._repeated(current, files)
+        if not repeated.isEmpty():
+            files = settle(files.join(repeated, FILE_ID, "left_anti"), "new-files")
+            files.write.mode("overwrite").parquet(path)
+            new = [F.col("seq")[name] == F.col(f"_new_{name}") for name in FILE_ID]
+            renamed = files.select(*(F.col(name).alias(f"_new_{name}") for name in FILE_ID))
+            changes = changes.join(renamed, new, "left_semi")
+        place = f"_snapshot={current.snapshot}/_append={number}"
         if current.mark is not None:
             is_late = F.col("seq.file") <= current.mark
-            changes.filter(is_late).write.mode("overwrite").parquet(f"{self.root}/late/version={version}")
+            changes.filter(is_late).write.mode("overwrite").parquet(f"{self.root}/late/{place}")
             changes = changes.filter(~is_late)
-        changes.write.mode("overwrite").parquet(f"{self.root}/log/version={version}")
-        files.write.mode("overwrite").parquet(f"{self.root}/files/version={version}")
-        return self._commit(version, current, kind="append", stream=stream, batch_id=batch_id)
+        changes.write.mode("overwrite").parquet(f"{self.root}/log/{place}")
+        ledger = {}
+        if number - current.folded >= FOLD:
+            known = self._since_ledger(current, number).select(*FILE_ID).union(self._ledger(current))
+            self._write_ledger(version, known)
+            ledger = {"ledger": version, "folded": number}
+        return self._commit(
+            version, current, kind="append", last=number, stream=stream, batch_id=batch_id, **ledger
+        )
 
     def compact(self, ratio: float = 0.0) -> int:
         """Write the state as a snapshot, so that readers need no replay, if the files of the log are larger
         than ``ratio`` times those of the snapshot."""
-        history = self.history().collect()
-        current = self._newest(history)
-        if not self._versions(history, ("append",), current.snapshot + 1):
+        current = self._require_current()
+        if current.first == current.last or current.loaded is None:
             return current.version
-        log = self._log(history, current)
+        log = self._log(current)
         if ratio and estimated_bytes(log) <= ratio * estimated_bytes(self._base(current)):
             return current.version
         version = current.version + 1
         newest = log.agg(F.max("seq.file")).first()[0]
         mark = max((name for name in (newest, current.mark) if name is not None), default=None)
-        self._state(history, current).write.mode("overwrite").parquet(self._snapshot(version))
-        return self._commit(version, current, kind="compact", snapshot=version, mark=mark)
+        self._state(current).write.mode("overwrite").parquet(self._snapshot(version))
+        self._start(version)
+        return self._commit(version, current, kind="compact", snapshot=version, first=current.last, mark=mark)
 
     # Reading
 
+    def is_loaded(self) -> bool:
+        """Whether there is a state."""
+        current = self.current()
+        return current is not None and current.loaded is not None
+
     def state(self, version: int | None = None) -> DataFrame:
         """The table as of ``version``, by default the newest."""
-        history = self.history().collect()
-        if version is None:
-            return self._state(history, self._newest(history))
-        row = next((row for row in history if row.version == version), None)
-        if row is None:
-            raise ValueError(f"{self.root} has no version {version}")
-        return self._state(history, row)
+        row = self._require_current()
+        if version is not None:
+            if not 0 <= version <= row.version:
+                raise ValueError(f"{self.root} has no version {version}")
+            row = self._version(version)
+        return self._state(row)
 
     def late(self) -> DataFrame:
-        """Changes that were kept apart and are not in the state, with the version they came with."""
+        """Changes that were kept apart and are not in the state, with the append they came with."""
         return self._kept_apart("late")
 
     def rejects(self) -> DataFrame:
-        """Changes since the table was loaded that replay ignores, with the reason and their version."""
+        """Changes since the table was loaded that replay ignores, with the reason and their append."""
         return ops.rejects(self._kept_apart("log"), key=self.key)
 
     def taken(self) -> DataFrame:
         """The files (``FILE_ID``) that are part of the table since it was loaded."""
-        history = self.history().collect()
-        loaded = self._newest(history).loaded
-        return self._read("files", self._versions(history, ("load", "append"), loaded), _FILES_DDL).select(*FILE_ID)
+        current = self._require_current()
+        return self._since_ledger(current).select(*FILE_ID).union(self._ledger(current))
 
     def published(self) -> list[str]:
         """Paths of published features, oldest first."""
         rows = self.history().filter("kind = 'publish'").orderBy("version").collect()
         return [row.path for row in rows]
 
-    def _kept_apart(self, folder: str) -> DataFrame:
-        history = self.history().collect()
-        current = self._newest(history)
-        versions = self._versions(history, ("append",), current.loaded)
-        return self._read(folder, versions, f"{changes_ddl(self.ddl)}, seq {SEQ_DDL}")
-
-    def _newest(self, history: list[Row]) -> Row:
-        if not history:
-            raise ValueError(f"nothing loaded into {self.root} yet")
-        return max(history, key=lambda row: row.version)
-
-    @staticmethod
-    def _versions(history: list[Row], kinds: tuple[str, ...], first: int, last: int | None = None) -> list[int]:
-        last = max(row.version for row in history) if last is None else last
-        return sorted(row.version for row in history if row.kind in kinds and first <= row.version <= last)
+    def _kept_apart(self, folder: str, first: int | None = None) -> DataFrame:
+        """Rows of all appends since the table was loaded, or after ``first``, over its compactions."""
+        current = self._require_current()
+        rows = self._log_folder(folder, None, current.since if first is None else first, current.last)
+        return rows.filter(F.col("_snapshot") >= (current.loaded or 0)).drop("_snapshot")
 
     def _snapshot(self, version: int) -> str:
         return f"{self.root}/snapshots/{version}"
 
+    def _start(self, version: int) -> None:
+        """Folders for what comes after a snapshot, so that reading them before anything has come is no error."""
+        for folder in ("log", "late"):
+            make_folder(self.spark, f"{self.root}/{folder}/_snapshot={version}")
+
     def _base(self, row: Row) -> DataFrame:
         return self.spark.read.schema(self.ddl).parquet(self._snapshot(row.snapshot))
 
-    def _read(self, folder: str, versions: list[int], ddl: str) -> DataFrame:
-        """The folders of these versions and no others; a version may have none."""
-        frames = self.spark.createDataFrame([], f"{ddl}, version BIGINT")
-        if not versions:
-            return frames
-        paths = [f"{self.root}/{folder}/version={version}" for version in versions]
-        reader = self.spark.read.schema(f"{ddl}, version BIGINT").option("basePath", f"{self.root}/{folder}")
-        try:
-            return reader.parquet(*paths)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-        for path in paths:  # late changes and lists of files are not written by every version
-            try:
-                frames = frames.unionByName(reader.parquet(path))
-            except AnalysisException as missing:
-                if missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        return frames
-
-    def _log(self, history: list[Row], row: Row) -> DataFrame:
-        versions = self._versions(history, ("append",), row.snapshot + 1, row.version)
-        return self._read("log", versions, f"{changes_ddl(self.ddl)}, seq {SEQ_DDL}").drop("version")
-
-    def _state(self, history: list[Row], row: Row) -> DataFrame:
+    def _partitions(self, folder: str, below: str, ddl: str, kept: Column) -> DataFrame:
+        reader = self.spark.read.schema(ddl).option("basePath", f"{self.root}/{folder}")
+        return reader.parquet(f"{self.root}/{folder}{below}").filter(kept)
+
+    def _log_folder(self, folder: str, snapshot: int | None, first: int, last: int) -> DataFrame:
+        ddl = f"{changes_ddl(self.ddl)}, seq {SEQ_DDL}, _snapshot BIGINT, _append BIGINT"
+        below = "" if snapshot is None else f"/_snapshot={snapshot}"
+        return self._partitions(folder, below, ddl, (F.col("_append") > first) & (F.col("_append") <= last))
+
+    def _log(self, row: Row) -> DataFrame:
+        return self._log_folder("log", row.snapshot, row.first, row.last).drop("_snapshot", "_append")
+
+    def _state(self, row: Row) -> DataFrame:
+        if row.loaded is None:
+            raise ValueError(f"nothing loaded into {self.root} yet")
         base = self._base(row)
-        if not self._versions(history, ("append",), row.snapshot + 1, row.version):
-            return base
-        return replay(base, self._log(history, row), key=self.key)
+        return base if row.first == row.last else replay(base, self._log(row), key=self.key)
+
+    # Files
+
+    def _no_files(self) -> DataFrame:
+        return self.spark.createDataFrame([], _FILES_DDL)
+
+    def _write_ledger(self, version: int, files: DataFrame) -> None:
+        sorted_files = files.distinct().sort("base", "folder")
+        sorted_files.write.mode("overwrite").parquet(f"{self.root}/ledgers/{version}")
+        make_folder(self.spark, f"{self.root}/files/_ledger={version}")
+
+    def _ledger(self, row: Row) -> DataFrame:
+        return self.spark.read.schema(_FILES_DDL).parquet(f"{self.root}/ledgers/{row.ledger}")
+
+    def _since_ledger(self, row: Row, last: int | None = None) -> DataFrame:
+        kept = F.col("_append") <= (row.last if last is None else last)
+        ddl = f"{_FILES_DDL}, _ledger BIGINT, _append BIGINT"
+        return self._partitions("files", f"/_ledger={row.ledger}", ddl, kept)
+
+    def _repeated(self, row: Row, files: DataFrame) -> DataFrame:
+        """Those of ``files`` that came before. Of the ledger, only names between theirs are read."""
+        known = self._ledger(row)
+        if row.folded > row.since:
+            low, high = files.agg(F.min("base"), F.max("base")).first()
+            known = known.filter(F.col("base").between(low, high))
+        known = known.union(self._since_ledger(row).select(*FILE_ID))
+        return files.join(known, FILE_ID, "left_semi")
 
     # Features
 
@@ -272,7 +364,7 @@ class SyncedTable:
         version = current.version + 1
         path = f"{self.root}/features/{version}-{uuid.uuid4().hex}"
         state = self.state()
-        if current.version != current.snapshot:
+        if current.first != current.last:
             state = settle(state, "state")
         city_stats(normalize_city(state), dimension, as_of, days=days).write.parquet(f"{path}/stats")
         stats = self.spark.read.parquet(f"{path}/stats")

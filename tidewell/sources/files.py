@@ -9,27 +9,37 @@ position.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions import drop_name, first_number, folder_of, is_snapshot_name, part_number, plain_path
+from tidewell.functions import DELIVERY, drop_name, first_number, folder_of, is_snapshot_name, part_number, plain_path
 from tidewell.schemas import USERS_DDL, changes_ddl
 from tidewell.session import settle
+from tidewell.storage import exists, write_once
 
 _PATH = "_metadata.file_path"
+#: Beside the parts of a delivery: all of them are there.
+MARK = "_SUCCESS"
 
 
-def list_files(spark: SparkSession, landing: str) -> DataFrame:
-    """One row per file: path, delivery name, whether it is a snapshot, and its number (as text).
+@contextmanager
+def _few_tasks(spark: SparkSession):
+    """Scans that open no file: as many tasks as cores at most, however large the files are."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(1 << 50))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
-    The paths are those of Spark's own file index, which the driver holds for any scan; no file is read,
-    and the number of tasks follows the number of names, not the size of the files.
-    """
+
+def _listing(spark: SparkSession, landing: str) -> DataFrame:
+    """One row per file: path, delivery name, whether it is a snapshot, its number (as text). No file is opened."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    paths = [(unquote(path),) for path in reader.load(landing).inputFiles()]
-    files = spark.createDataFrame(paths, "path STRING")
+    files = reader.load(landing).select(plain_path(F.col(_PATH)).alias("path"))
     name = drop_name(F.col("path"))
     return files.select(
         "path",
@@ -39,6 +49,16 @@ def list_files(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
+def list_files(spark: SparkSession, landing: str) -> DataFrame:
+    """One row per file: path, delivery name, whether it is a snapshot, and its number (as text).
+
+    Names are taken from file metadata by a scan that opens no file, and written to the shared folder; none
+    comes to Python.
+    """
+    with _few_tasks(spark):
+        return settle(_listing(spark, landing), "listing")
+
+
 def snapshot_order(version: str | Column = "version", name: str | Column = "name") -> Column:
     """Snapshots by their number, however long it is; equal numbers by name."""
     version = F.col(version) if isinstance(version, str) else version
@@ -46,17 +66,18 @@ def snapshot_order(version: str | Column = "version", name: str | Column = "name
     return F.struct(F.length(version).alias("digits"), version.alias("version"), name.alias("name"))
 
 
-def latest_snapshot_name(spark: SparkSession, landing: str) -> str:
-    """Name of the snapshot with the highest number; a snapshot file without a number is an error."""
-    found = (
-        list_files(spark, landing)
-        .filter("is_snapshot")
-        .agg(
-            F.max(F.when(F.col("version").isNotNull(), snapshot_order())).alias("newest"),
-            F.min(F.when(F.col("version").isNull(), F.col("path"))).alias("unnumbered"),
-        )
-        .first()
-    )
+def latest_snapshot_name(spark: SparkSession, landing: str, *, without: str | None = None) -> str:
+    """Name of the snapshot with the highest number; a snapshot file without a number is an error.
+
+    ``without`` names a delivery that does not count, as it is not complete.
+    """
+    found = _listing(spark, landing).filter("is_snapshot")
+    if without is not None:
+        found = found.filter(F.col("name") != without)
+    newest = F.max(F.when(F.col("version").isNotNull(), snapshot_order())).alias("newest")
+    unnumbered = F.min(F.when(F.col("version").isNull(), F.col("path"))).alias("unnumbered")
+    with _few_tasks(spark):
+        found = found.agg(newest, unnumbered).first()
     if found.unnumbered is not None:
         raise ValueError(f"snapshot file without a number: {found.unnumbered}")
     if found.newest is None:
@@ -66,8 +87,24 @@ def latest_snapshot_name(spark: SparkSession, landing: str) -> str:
 
 def delivered_files(spark: SparkSession, landing: str, name: str) -> DataFrame:
     """``_path`` of each file that was delivered under ``name``; none is opened."""
-    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
-    return every.select(plain_path(F.col(_PATH)).alias("_path")).filter(drop_name(F.col("_path")) == name)
+    return _listing(spark, landing).filter(F.col("name") == name).select(F.col("path").alias("_path"))
+
+
+def is_complete(spark: SparkSession, landing: str, name: str) -> bool:
+    """Whether all of a delivery lies in the landing folder.
+
+    A file that is delivered under its own name is complete by itself. One of many parts, in a folder
+    ``delivery=<name>``, needs the mark that its writer puts beside the parts when all are there.
+    """
+    folder = F.when(F.substring_index("_path", "/", -1) != name, folder_of(F.col("_path")))
+    with _few_tasks(spark):
+        folders = delivered_files(spark, landing, name).select(folder.alias("folder")).distinct().collect()
+    return bool(folders) and all(row.folder is None or exists(spark, row.folder + MARK) for row in folders)
+
+
+def mark_complete(spark: SparkSession, landing: str, name: str) -> None:
+    """Put the mark beside the parts of a delivery that has been written into ``landing``."""
+    write_once(spark, f"{landing}/{DELIVERY}={name}/{MARK}", "")
 
 
 def file_ids(files: DataFrame) -> DataFrame:
@@ -80,12 +117,16 @@ def read_snapshot(spark: SparkSession, path: str | list[str], *, ddl: str = USER
     return spark.read.schema(ddl).option("recursiveFileLookup", "true").csv(path)
 
 
-def read_latest_snapshot(spark: SparkSession, landing: str, *, ddl: str = USERS_DDL) -> DataFrame:
-    name = latest_snapshot_name(spark, landing)
+def read_delivery(spark: SparkSession, landing: str, name: str, *, ddl: str = USERS_DDL) -> DataFrame:
+    """The rows of all files that were delivered under ``name``."""
     # A filter on file metadata is applied to the file listing: other files are not opened.
     return read_snapshot(spark, landing, ddl=ddl).filter(drop_name(plain_path(F.col(_PATH))) == name)
 
 
+def read_latest_snapshot(spark: SparkSession, landing: str, *, ddl: str = USERS_DDL) -> DataFrame:
+    return read_delivery(spark, landing, latest_snapshot_name(spark, landing), ddl=ddl)
+
+
 def with_order(changes: DataFrame) -> DataFrame:
     """Put ``seq`` in place of the columns ``_path`` and ``_block``.
 
