@@ -194,4 +194,6 @@ SELECT action, user_id, name, city, last_login FROM log WHERE delivery LIKE '202
 SELECT action, user_id, name, city, last_login FROM log WHERE starts_with(delivery, '20240112')""",
     "stream_reload": f"WITH {_RELOADED} SELECT * FROM replayed",
 }
+ORACLES["stream_city_stats"] = f"""SELECT DISTINCT city, last_login, state, last_login_rank_by_city,
+  login_rate_last_3_months_by_city, users_by_city FROM ({_FEATURES})"""
 ORACLES["stream_rejects"] = ORACLES["cdc_rejects"]

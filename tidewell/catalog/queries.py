@@ -13,6 +13,7 @@ from tidewell.operators import changes, windows
 from tidewell.operators.joins import denormalize
 from tidewell.plans import features
 from tidewell.plans import replay_files as batch
+from tidewell.plans.city_counts import CityCounts
 from tidewell.plans.synced_table import SyncedTable
 from tidewell.session import settle, workspace
 from tidewell.sources import files, sinks
@@ -277,6 +278,17 @@ def stream_features(spark, sf_dir):
     return spark.read.parquet(published[-1])
 
 
+@query
+def stream_city_stats(spark, sf_dir):
+    """City statistics that follow the changes of each batch, after deletes and moves from city to city."""
+    table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
+    early, late = log.filter(F.col("delivery") < "20240116"), log.filter(F.col("delivery") >= "20240116")
+    counts = CityCounts(table)
+    counts.refresh()
+    _stream_in_two_runs(spark, table, early, late, after_batch=lambda _: counts.refresh())
+    return counts.stats(inputs.dimension(spark, sf_dir), AS_OF)
+
+
 @query
 def stream_late_files(spark, sf_dir):
     """Deliveries of one day arrive after the later days were compacted: they are kept apart."""

@@ -32,6 +32,13 @@ def normalize_city(rows: DataFrame, aliases: dict[str, str] | None = None) -> Da
 def city_stats(rows: DataFrame, dimension: DataFrame, as_of: dt.date, *, days: int = 90) -> DataFrame:
     """All features, one row per (city, last_login) of ``rows`` with normalized cities."""
     pairs = rows.groupBy("city", "last_login").agg(F.count("*").alias("_n"))
+    return stats_of_counts(pairs, distinct_users(rows, "city", "user_id"), dimension, as_of, days=days)
+
+
+def stats_of_counts(
+    pairs: DataFrame, users: DataFrame, dimension: DataFrame, as_of: dt.date, *, days: int = 90
+) -> DataFrame:
+    """``city_stats`` from ``pairs``, the number of rows ``_n`` of each (city, last_login), and the users per city."""
     whole_city = Window.partitionBy("city")
     recent = F.when(is_recent(F.col("last_login"), as_of, days), F.col("_n")).otherwise(0)
     ranked = pairs.select(
@@ -41,8 +48,7 @@ def city_stats(rows: DataFrame, dimension: DataFrame, as_of: dt.date, *, days: i
         (F.sum(recent).over(whole_city) / F.sum("_n").over(whole_city)).alias(RATE),
     )
     # A left join whose other side has one row per city: the few rows need no care for hot cities.
-    per_city = distinct_users(rows, "city", "user_id").join(lookup_table(dimension, "city"), "city", "left")
-    per_city = per_city.withColumnRenamed("city", "_city")
+    per_city = users.join(lookup_table(dimension, "city"), "city", "left").withColumnRenamed("city", "_city")
     return ranked.join(per_city, F.col("city").eqNullSafe(F.col("_city")), "left").select(
         "city", "last_login", *FEATURES
     )

@@ -99,12 +99,13 @@ class SyncedTable:
         if not epochs:
             return None
         newest = max(names(self.spark, f"{self.root}/manifest/{max(epochs)}"))
-        return self._version(int(newest.split(".")[0]))
+        return self.version(int(newest.split(".")[0]))
 
     def _line(self, version: int) -> str:
         return f"{self.root}/manifest/{version // EPOCH:09d}/{version:012d}.json"
 
-    def _version(self, version: int) -> Row:
+    def version(self, version: int) -> Row:
+        """The line of a version."""
         known = json.loads(read_text(self.spark, self._line(version)))
         return Row(**{name: known.get(name) for name in _FIELDS})
 
@@ -268,7 +269,7 @@ class SyncedTable:
         if version is not None:
             if not 0 <= version <= row.version:
                 raise ValueError(f"{self.root} has no version {version}")
-            row = self._version(version)
+            row = self.version(version)
         return self._state(row)
 
     def late(self) -> DataFrame:
@@ -284,6 +285,11 @@ class SyncedTable:
         current = self._require_current()
         return self._since_ledger(current).select(*FILE_ID).union(self._ledger(current))
 
+    def changed_keys(self, since: Row) -> DataFrame:
+        """Keys of the changes that were added after ``since``, a version of the table as it is loaded now."""
+        keys = [self.key] if isinstance(self.key, str) else list(self.key)
+        return ops.valid_changes(self._kept_apart("log", since.last), key=keys).select(*keys).distinct()
+
     def published(self) -> list[str]:
         """Paths of published features, oldest first."""
         rows = self.history().filter("kind = 'publish'").orderBy("version").collect()
@@ -353,12 +359,14 @@ class SyncedTable:
 
     # Features
 
-    def publish_features(self, dimension: DataFrame, as_of: dt.date, *, days: int = 90) -> str:
+    def publish_features(
+        self, dimension: DataFrame, as_of: dt.date, *, days: int = 90, stats: DataFrame | None = None
+    ) -> str:
         """Write the sorted features of the newest state to a path of their own; returns it.
 
         The table itself stays as it is: nothing is compacted, and the mark does not move. State and city
         statistics are written before they are joined: the state is read several times, and the join needs
-        to know the size of the statistics.
+        to know the size of the statistics. ``stats`` may be those of ``CityCounts`` at the newest state.
         """
         current = self._require_current()
         version = current.version + 1
@@ -366,7 +374,9 @@ class SyncedTable:
         state = self.state()
         if current.first != current.last:
             state = settle(state, "state")
-        city_stats(normalize_city(state), dimension, as_of, days=days).write.parquet(f"{path}/stats")
+        if stats is None:
+            stats = city_stats(normalize_city(state), dimension, as_of, days=days)
+        stats.write.parquet(f"{path}/stats")
         stats = self.spark.read.parquet(f"{path}/stats")
         features = city_features(state, dimension, as_of, days=days, stats=stats)
         sort_features(features).write.parquet(f"{path}/rows")
