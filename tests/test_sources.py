@@ -3,7 +3,7 @@ import random
 import pytest
 
 from tests.rows import base_frame, day, fold, in_order
-from tidewell.plans.replay_files import replay_files
+from tidewell.plans.replay_files import replay_files, unreadable_lines
 from tidewell.sources import files, sinks
 
 D1 = day("2021-01-01")
@@ -147,3 +147,33 @@ def test_line_breaks_are_refused(spark, tmp_path):
     rows = base_frame(spark, [(1, "a\nb", "X", D1)])
     with pytest.raises(Exception, match="line break in column name"):
         sinks.write_state_csv(rows, str(tmp_path / "state"))
+
+
+def test_lines_that_do_not_fit_are_counted_with_a_reason(spark, tmp_path):
+    put(tmp_path, "LOAD1.csv", "9,old,X,2021-99-99")
+    put(tmp_path, "LOAD2.csv", "1,a,X,2021-01-01", "x,b,Y,2021-99-01", "3,c", '4,"d, e",,', "", "5,f,X,soon")
+    put(tmp_path, "20211017-000000000.csv", "U,1,a,X,2021-01-01", "U,99999999999,a,X,2021-01-01", "I,6,g,X,2021-01-01,more", "D")
+    found = unreadable_lines(spark, str(tmp_path)).collect()
+    assert sorted((row.name, row.line, row.reason) for row in found) == [
+        ("20211017-000000000.csv", "D", "number of columns"),
+        ("20211017-000000000.csv", "I,6,g,X,2021-01-01,more", "number of columns"),
+        ("20211017-000000000.csv", "U,99999999999,a,X,2021-01-01", "unreadable user_id"),
+        ("LOAD2.csv", "3,c", "number of columns"),
+        ("LOAD2.csv", "5,f,X,soon", "unreadable last_login"),
+        ("LOAD2.csv", "x,b,Y,2021-99-01", "unreadable user_id"),
+    ]
+    # They are applied all the same.
+    assert (6, "g", "X", D1) in in_order(replay_files(spark, str(tmp_path)))
+
+
+def test_a_delivery_is_complete_with_its_mark(spark, tmp_path):
+    put(tmp_path, "LOAD1.csv", "1,a,X,2021-01-01")
+    put(tmp_path / "delivery=LOAD2", "part-00000.csv", "1,a,X,2021-01-01")
+    landing = str(tmp_path)
+    assert files.is_complete(spark, landing, "LOAD1.csv")
+    assert not files.is_complete(spark, landing, "LOAD2") and not files.is_complete(spark, landing, "LOAD3")
+    files.mark_complete(spark, landing, "LOAD2")
+    assert files.is_complete(spark, landing, "LOAD2")
+    with pytest.raises(FileExistsError):
+        files.mark_complete(spark, landing, "LOAD2")
+    assert files.latest_snapshot_name(spark, landing, without="LOAD2") == "LOAD1.csv"

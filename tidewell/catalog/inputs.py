@@ -18,6 +18,7 @@ from tidewell.session import workspace
 from tidewell.sources.files import mark_complete
 
 AS_OF = dt.date(2001, 8, 1)
+FIRST_HALF, LATER = dt.date(2024, 1, 15), dt.date(2024, 4, 20)
 USERS_DDL = "user_id BIGINT, name STRING, city STRING, last_login DATE"
 
 _layouts: dict[str, StructType] = {}
@@ -141,6 +142,22 @@ def landing_folder(spark: SparkSession, sf_dir: str) -> str:
     return landing
 
 
+def broken_landing(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder of text lines, some of them with a bad number or date, a column too few or too many."""
+    landing = workspace(spark, "landing")
+    log, base = delivered_log(spark, sf_dir), users(spark, sf_dir).withColumn("delivery", F.lit("LOAD1"))
+    for rows, number, lead in ((base, "user_id", []), (log, "seq", [F.col("action")])):
+        kind = F.col(number) % 29
+        user = F.when(kind == 3, F.concat(F.lit("x"), F.col("user_id").cast("string"))).otherwise(F.col("user_id").cast("string"))
+        login = F.when(kind == 5, "2024-99-01").when(kind == 7, "soon").otherwise(F.col("last_login").cast("string"))
+        text = [F.coalesce(part, F.lit("")) for part in (*lead, user, F.col("name"), F.col("city"), login)]
+        line = F.when(kind == 11, F.concat_ws(",", *text[:-1])).when(kind == 13, F.concat_ws(",", *text, F.lit("more")))
+        lines = rows.select(F.coalesce(line, F.concat_ws(",", *text)).alias("value"), "delivery", number)
+        lines = lines.repartitionByRange("delivery", number).sortWithinPartitions("delivery", number)
+        lines.select("value", "delivery").write.mode("append").partitionBy(DELIVERY).text(landing)
+    return landing
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second base table, for replay with other columns."""
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")

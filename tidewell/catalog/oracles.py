@@ -194,6 +194,69 @@ SELECT action, user_id, name, city, last_login FROM log WHERE delivery LIKE '202
 SELECT action, user_id, name, city, last_login FROM log WHERE starts_with(delivery, '20240112')""",
     "stream_reload": f"WITH {_RELOADED} SELECT * FROM replayed",
 }
+_BROKEN = """
+broken_users AS (
+  SELECT CASE WHEN user_id % 29 = 3 THEN NULL ELSE user_id END AS user_id, name, city,
+         CASE WHEN user_id % 29 IN (5, 7, 11) THEN NULL ELSE last_login END AS last_login
+  FROM plain_users
+), users AS (SELECT * FROM broken_users),
+log AS (
+  SELECT * REPLACE (CASE WHEN seq % 29 = 3 THEN NULL ELSE user_id END AS user_id,
+                    CASE WHEN seq % 29 IN (5, 7, 11) THEN NULL ELSE last_login END AS last_login)
+  FROM plain_log
+)"""
+_PLAIN = f"""{_USERS.replace("users AS", "plain_users AS", 1)}, {_LOG.replace("log AS", "plain_log AS", 1)}"""
+ORACLES["replay_broken_files"] = f"WITH {_PLAIN}, {_BROKEN}, {_REPLAY} SELECT * FROM replayed"
+ORACLES["unreadable_lines"] = f"""WITH {_PLAIN}, lines AS (
+  SELECT 'LOAD1' AS name, user_id % 29 AS kind, user_id FROM plain_users
+  UNION ALL SELECT delivery, seq % 29, user_id FROM plain_log
+), reasons AS (
+  SELECT name, CASE WHEN kind = 3 THEN 'unreadable user_id' WHEN kind IN (5, 7) THEN 'unreadable last_login'
+                    WHEN kind IN (11, 13) THEN 'number of columns' END AS reason
+  FROM lines WHERE kind <> 3 OR user_id IS NOT NULL
+)
+SELECT name, reason, count(*) AS n FROM reasons WHERE reason IS NOT NULL GROUP BY name, reason"""
+ORACLES["rank_by_city_seconds"] = """SELECT event_id, event_type, ts,
+  CAST(dense_rank() OVER (PARTITION BY event_type ORDER BY ts DESC NULLS LAST) AS INTEGER) AS last_login_rank_by_city
+FROM events"""
+ORACLES["features_positions"] = f"""SELECT *, row_number() OVER (
+  ORDER BY city NULLS FIRST, last_login_rank_by_city DESC, user_id, name) AS position FROM ({_FEATURES_GAPS})"""
+
+
+def _version(name: str, log: str) -> str:
+    """The replayed table as ``name``, after the changes that ``log`` selects."""
+    replay = _REPLAY.replace("births", f"{name}_births").replace("alive", f"{name}_alive")
+    return replay.replace("replayed AS", f"{name} AS").replace("FROM log", f"FROM {log}").replace("JOIN log", f"JOIN {log}")
+
+
+def _churn(region: str, state: bool) -> str:
+    place = "(SELECT state FROM dim WHERE dim.city = r.city)" if state else "r.city"
+    seen = f"SELECT user_id AS u, {place} AS place, bool_or(coalesce(last_login >= DATE '{{day}}' - 90, FALSE)) AS recent FROM {{rows}} r WHERE user_id IS NOT NULL GROUP BY 1, 2"
+    return f"""WITH {_USERS}, {_LOG}, {_DIM},
+first_log AS (SELECT * FROM log WHERE delivery < '20240116'),
+{_version('early', 'first_log')}, {_version('late', 'log')},
+b AS ({seen.format(day='2024-01-15', rows='early')}),
+a AS ({seen.format(day='2024-04-20', rows='late')}),
+places AS (SELECT place FROM b UNION SELECT place FROM a),
+counted AS (SELECT p.place AS {region},
+  (SELECT count(*) FROM b WHERE b.place IS NOT DISTINCT FROM p.place) AS users_before,
+  (SELECT count(*) FROM a WHERE a.place IS NOT DISTINCT FROM p.place) AS users_after,
+  (SELECT count(*) FROM a WHERE a.place IS NOT DISTINCT FROM p.place AND u NOT IN (SELECT u FROM b)) AS gained,
+  (SELECT count(*) FROM a WHERE a.place IS NOT DISTINCT FROM p.place AND u IN (SELECT u FROM b)
+     AND NOT EXISTS (SELECT 1 FROM b x WHERE x.u = a.u AND x.place IS NOT DISTINCT FROM p.place)) AS moved_in,
+  (SELECT count(*) FROM b WHERE b.place IS NOT DISTINCT FROM p.place AND u NOT IN (SELECT u FROM a)) AS lost,
+  (SELECT count(*) FROM b WHERE b.place IS NOT DISTINCT FROM p.place AND u IN (SELECT u FROM a)
+     AND NOT EXISTS (SELECT 1 FROM a x WHERE x.u = b.u AND x.place IS NOT DISTINCT FROM p.place)) AS moved_out,
+  (SELECT count(*) FROM b JOIN a ON a.u = b.u AND a.place IS NOT DISTINCT FROM b.place
+     WHERE b.place IS NOT DISTINCT FROM p.place AND b.recent AND NOT a.recent) AS lapsed,
+  (SELECT count(*) FROM b JOIN a ON a.u = b.u AND a.place IS NOT DISTINCT FROM b.place
+     WHERE b.place IS NOT DISTINCT FROM p.place AND a.recent AND NOT b.recent) AS returned
+FROM places p)
+SELECT *, CASE WHEN users_before > 0 THEN CAST(lost + moved_out AS DOUBLE) / users_before END AS churn_rate FROM counted"""
+
+
+ORACLES["churn_by_city"] = _churn("city", False)
+ORACLES["churn_by_state"] = _churn("state", True)
 ORACLES["stream_city_stats"] = f"""SELECT DISTINCT city, last_login, state, last_login_rank_by_city,
   login_rate_last_3_months_by_city, users_by_city FROM ({_FEATURES})"""
 ORACLES["stream_rejects"] = ORACLES["cdc_rejects"]

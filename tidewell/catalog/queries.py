@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewell.catalog import inputs
 from tidewell.catalog.inputs import ALIASES, AS_OF, USERS_DDL
-from tidewell.operators import changes, windows
+from tidewell.operators import changes, ranking, windows
 from tidewell.operators.joins import denormalize
-from tidewell.plans import features
+from tidewell.plans import churn, features
 from tidewell.plans import replay_files as batch
 from tidewell.plans.city_counts import CityCounts
 from tidewell.plans.synced_table import SyncedTable
@@ -57,6 +57,19 @@ def latest_snapshot(spark, sf_dir):
     return files.read_latest_snapshot(spark, landing, ddl=USERS_DDL)
 
 
+@query
+def unreadable_lines(spark, sf_dir):
+    """Lines of a landing folder that do not fit their layout, by reason; the others are none."""
+    found = batch.unreadable_lines(spark, inputs.broken_landing(spark, sf_dir), ddl=USERS_DDL)
+    return found.groupBy("name", "reason").agg(F.count("*").alias("n"))
+
+
+@query
+def replay_broken_files(spark, sf_dir):
+    """What can be read of broken lines is applied, with NULL for the rest."""
+    return batch.replay_files(spark, inputs.broken_landing(spark, sf_dir), ddl=USERS_DDL)
+
+
 @query
 def union_logs(spark, sf_dir):
     log = inputs.delivered_log(spark, sf_dir)
@@ -208,6 +221,34 @@ def summary_by_state(spark, sf_dir):
     return features.summary_by_state(_replayed(spark, sf_dir), inputs.dimension(spark, sf_dir), AS_OF)
 
 
+@query
+def rank_by_city_seconds(spark, sf_dir):
+    """Events of a kind by their time: nearly as many times as rows, ranked in parts."""
+    events = inputs.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    return windows.rank_by_group(events, group="event_type", day="ts")
+
+
+def _two_versions(spark, sf_dir):
+    """The table before and after the changes of the second half of the month."""
+    table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
+    early, late = log.filter(F.col("delivery") < "20240116"), log.filter(F.col("delivery") >= "20240116")
+    versions = []
+    _stream_in_two_runs(spark, table, early, late, after_batch=lambda t: versions.append(t.current().version))
+    return table.state(versions[0]), table.state(versions[-1])
+
+
+@query
+def churn_by_city(spark, sf_dir):
+    before, after = _two_versions(spark, sf_dir)
+    return churn.churn_by_city(before, after, inputs.FIRST_HALF, inputs.LATER)
+
+
+@query
+def churn_by_state(spark, sf_dir):
+    before, after = _two_versions(spark, sf_dir)
+    return churn.churn_by_state(before, after, inputs.dimension(spark, sf_dir), inputs.FIRST_HALF, inputs.LATER)
+
+
 # Sort, limit, sinks
 
 
@@ -217,6 +258,14 @@ def features_sorted(spark, sf_dir):
     return features.sort_features(features.city_features(rows, dimension, AS_OF, aliases=ALIASES))
 
 
+@query
+def features_positions(spark, sf_dir):
+    """The sorted features with the place at which each row lies in the sorted output."""
+    rows, dimension = inputs.users_with_gaps(spark, sf_dir), inputs.dimension(spark, sf_dir)
+    sorted_rows = features.sort_features(features.city_features(rows, dimension, AS_OF, aliases=ALIASES))
+    return ranking.positions(sorted_rows)
+
+
 @query
 def features_top10(spark, sf_dir):
     return features.first_features(_saved_state(spark, sf_dir), inputs.dimension(spark, sf_dir), AS_OF)

@@ -11,9 +11,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tidewell.functions import is_recent
 from tidewell.operators.joins import HotKeys, join_unique
+from tidewell.operators.ranking import dense_rank_by_group
 
 RANK = "last_login_rank_by_city"
 RATE = "login_rate_last_3_months_by_city"
@@ -33,8 +35,16 @@ def distinct_users(rows: DataFrame, group: str, user: str) -> DataFrame:
 def rank_by_group(
     rows: DataFrame, *, group: str = "city", day: str = "last_login", hot: HotKeys | None = None
 ) -> DataFrame:
+    """``rows`` with the dense rank of ``day`` in its group, newest first.
+
+    A group has no more dates than there are days, so its distinct ones are ranked by one task; of any other
+    type a group may have as many values as rows, and is ranked in parts.
+    """
     pairs = rows.select(group, day).distinct()
-    ranks = pairs.select(group, day, recency_rank(group, day).alias(RANK))
+    if isinstance(rows.schema[day].dataType, DateType):
+        ranks = pairs.select(group, day, recency_rank(group, day).alias(RANK))
+    else:
+        ranks = dense_rank_by_group(pairs, group, day, RANK)
     return join_unique(rows, ranks, [group, day], null_safe=True, hot=hot)
 
 

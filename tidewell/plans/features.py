@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import is_recent, rewrite
@@ -87,6 +87,11 @@ def sort_features(features: DataFrame) -> DataFrame:
     )
 
 
+def sort_key() -> Column:
+    """The order of ``sort_features`` as one value."""
+    return F.struct("city", -F.col(RANK), "user_id", "name")
+
+
 def first_features(
     rows: DataFrame,
     dimension: DataFrame,

@@ -5,10 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewell.operators.changes import rejects, replay, valid_changes
-from tidewell.schemas import USERS_DDL
-from tidewell.sources.files import read_changes, read_latest_snapshot, settle_changes
+from tidewell.schemas import USERS_DDL, changes_ddl
+from tidewell.sources.files import (
+    is_snapshot_name,
+    latest_snapshot_name,
+    read_changes,
+    read_latest_snapshot,
+    settle_changes,
+    unreadable_rows,
+)
 
 
 def replay_files(
@@ -26,3 +34,14 @@ def rejected_changes(
 ) -> DataFrame:
     """The changes of the landing folder that ``replay_files`` ignores, with the reason."""
     return rejects(read_changes(spark, landing, ddl=ddl), key=key)
+
+
+def unreadable_lines(spark: SparkSession, landing: str, *, ddl: str = USERS_DDL) -> DataFrame:
+    """Lines of the newest snapshot and of all change files that do not fit their layout, with the reason.
+
+    ``replay_files`` takes what can be read of them, and NULL for the rest.
+    """
+    newest = latest_snapshot_name(spark, landing)
+    base = unreadable_rows(spark, landing, ddl=ddl).filter(F.col("name") == newest)
+    log = unreadable_rows(spark, landing, ddl=changes_ddl(ddl)).filter(~is_snapshot_name(F.col("name")))
+    return base.unionByName(log)

@@ -13,6 +13,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewell.functions import DELIVERY, drop_name, first_number, folder_of, is_snapshot_name, part_number, plain_path
 from tidewell.schemas import USERS_DDL, changes_ddl
@@ -162,6 +163,31 @@ def read_changes(spark: SparkSession, landing: str | list[str], *, ddl: str = US
     return with_order(with_position(raw).filter(~is_snapshot_row()))
 
 
+def unreadable_rows(spark: SparkSession, path: str | list[str], *, ddl: str) -> DataFrame:
+    """Lines that do not fit the layout ``ddl``: their file, the line, and the reason.
+
+    They are read all the same, with NULL for what can't be read: a number of columns that differs (the line
+    is cut or filled up), or a value that is none of its column's type, of which the first column is named.
+    """
+    line = "_line"
+    reader = spark.read.schema(f"{ddl}, {line} STRING").option("columnNameOfCorruptRecord", line)
+    rows = with_position(reader.option("recursiveFileLookup", "true").csv(path)).filter(F.col(line).isNotNull())
+    fields = [field for field in StructType.fromDDL(ddl)]
+    texts = ", ".join(f"`{field.name}` STRING" for field in fields) + f", {line} STRING"
+    raw = F.from_csv(line, F.lit(texts), {"columnNameOfCorruptRecord": line})
+    lost = (
+        F.when(F.col(f"`{field.name}`").isNull() & F.col("_raw")[field.name].isNotNull(), F.lit(f"unreadable {field.name}"))
+        for field in fields
+    )
+    reason = F.when(F.col("_raw")[line].isNotNull(), F.lit("number of columns")).otherwise(F.coalesce(*lost))
+    return rows.withColumn("_raw", raw).select(
+        F.col("_path").alias("path"),
+        drop_name(F.col("_path")).alias("name"),
+        F.col(line).alias("line"),
+        F.coalesce(reason, F.lit("unreadable")).alias("reason"),
+    )
+
+
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     """City dimension, CSV without header: city, state."""
     return spark.read.schema("city STRING, state STRING").csv(path)
