@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import random
 import time
 
 import pytest
@@ -362,3 +363,46 @@ def test_plans_do_not_grow_with_the_number_of_appends(spark, table, landing, mon
     table.append(read_changes(spark, str(landing)))
     assert in_order(table.state()) == fold(BASE, changes) and table.taken().count() == 12
     assert in_order(table.state(3)) == fold(BASE, changes[:6])
+
+
+def test_late_files_are_repaired_by_key(spark, landing, tmp_path, monkeypatch):
+    """Random files in random order, with compactions: repaired, the table is that of a rebuild."""
+    draw = random.Random(8)
+    table = SyncedTable(spark, str(tmp_path / "table"))
+    base = [(None if i == 5 else i % 12, f"b{i}", "X", D1) for i in range(20)]
+    table.load(base_frame(spark, base))
+    assert table.repair() == 0
+    files = {}
+    for i in range(6):
+        name = f"2021100{i}-000000000.csv"
+        files[name] = [(draw.choice("IUUD"), draw.randrange(16), f"f{i}-{k}", draw.choice("XYZ"), D1) for k in range(8)]
+    come = draw.sample(sorted(files), 6)
+    for i, name in enumerate(come):
+        put(landing, name, *(",".join(str(value) for value in change) for change in files[name]))
+        table.append(read_changes(spark, str(landing / name)))
+        if i in (0, 2, 3):
+            table.compact()
+        if i in (3, 4):
+            table.repair()
+            assert table.late().count() == 0
+            done = [change for name in sorted(come[: i + 1]) for change in files[name]]
+            assert in_order(table.state()) == fold(base, done)
+    table.repair()
+    every = [change for name in sorted(files) for change in files[name]]
+    assert in_order(table.state()) == fold(base, every)
+    table.compact()
+    assert in_order(table.state()) == fold(base, every) and table.rejects().count() == 0
+    assert table.repair() == table.current().version
+
+
+def test_a_rebuilt_table_is_repaired_by_a_rebuild(spark, table, landing):
+    first, second, third = FILES
+    put(landing, "LOAD1.csv", *("1,a,X,2021-01-01", "2,b,Y,2021-01-01", "3,c,X,"))
+    deliver(landing, first, third)
+    table.rebuild(str(landing))
+    deliver(landing, second)
+    table.append(read_changes(spark, str(landing / second)))
+    with pytest.raises(ValueError, match="rebuild"):
+        table.repair()
+    table.rebuild(str(landing))
+    assert in_order(table.state()) == after(*FILES) and table.late().count() == 0

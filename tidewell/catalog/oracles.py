@@ -194,6 +194,7 @@ SELECT action, user_id, name, city, last_login FROM log WHERE delivery LIKE '202
 SELECT action, user_id, name, city, last_login FROM log WHERE starts_with(delivery, '20240112')""",
     "stream_reload": f"WITH {_RELOADED} SELECT * FROM replayed",
 }
+ORACLES["stream_late_repair_by_key"] = _STATE
 _BROKEN = """
 broken_users AS (
   SELECT CASE WHEN user_id % 29 = 3 THEN NULL ELSE user_id END AS user_id, name, city,

@@ -364,6 +364,20 @@ def stream_late_repair(spark, sf_dir):
     return table.state()
 
 
+@query
+def stream_late_repair_by_key(spark, sf_dir):
+    """Two days come late, each after a compaction, and are repaired for the keys that they address."""
+    table, log = _loaded_table(spark, sf_dir), inputs.delivered_log(spark, sf_dir)
+    one, other = (F.col("delivery").startswith(day) for day in ("20240110", "20240112"))
+    landing, checkpoint = workspace(spark, "landing"), workspace(spark, "checkpoint")
+    for part in (log.filter(~one & ~other & (F.col("delivery") < "20240120")), log.filter(one), log.filter(other), log.filter(F.col("delivery") >= "20240120")):
+        inputs.deliver(part, landing, "seq")
+        sync_stream(table, landing, checkpoint).awaitTermination()
+        table.repair()
+        table.compact()
+    return table.state()
+
+
 @query
 def stream_late_after_repair(spark, sf_dir):
     """A late day is repaired; the deliveries of another late day come after that."""

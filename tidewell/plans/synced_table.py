@@ -22,8 +22,8 @@ overwritten, and only what the manifest names is read, so a failed run leaves no
 repeated. There must be one writer at a time.
 
 Changes are ordered by file name, whatever the order of arrival. Once compacted, the order is settled:
-a file whose name sorts at or before the newest compacted file is kept apart as late, and a full replay
-of the landing folder (``rebuild``) puts it right. A file that came once, in time or late, is not taken
+a file whose name sorts at or before the newest compacted file is kept apart as late; a replay of the keys
+it addresses (``repair``), or of the whole landing folder (``rebuild``), puts it right. A file that came once, in time or late, is not taken
 again, also after a compaction.
 """
 
@@ -55,14 +55,15 @@ from tidewell.storage import make_folder, names, read_text, write_once
 
 # snapshot: version of the snapshot to start from; its log is that of the appends after ``first``.
 # mark: newest file whose changes are part of the snapshot.
-# loaded: version that replaced the table; its files and late changes are those of appends after ``since``.
+# loaded: version that replaced the table; its files are those of appends after ``since``, its late changes
+# those after ``late_since``.
 # last: number of the newest append. ledger: version of the newest ledger; folded: the last append in it.
 # number: of the snapshot file that was loaded, as text; path: of published features.
 # awaited: delivery of a newer snapshot that is not complete; awaited_from: the last append before it.
 # streams: newest batch of every stream, with the version that has it.
 MANIFEST_DDL = (
     "version BIGINT, kind STRING, snapshot BIGINT, first BIGINT, last BIGINT, mark STRING, loaded BIGINT,"
-    " since BIGINT, ledger BIGINT, folded BIGINT, number STRING, awaited STRING, awaited_from BIGINT, path STRING,"
+    " since BIGINT, late_since BIGINT, ledger BIGINT, folded BIGINT, number STRING, awaited STRING, awaited_from BIGINT, path STRING,"
     " stream STRING, batch_id BIGINT, streams MAP<STRING, ARRAY<BIGINT>>"
 )
 _FIELDS = [part.split()[0] for part in MANIFEST_DDL.replace("MAP<STRING, ARRAY<BIGINT>>", "MAP").split(", ")]
@@ -157,7 +158,8 @@ class SyncedTable:
         self._start(version)
         known = self._no_files() if files is None else files.select(*FILE_ID)
         if first < last:
-            log = self._kept_apart("log", first).unionByName(self._kept_apart("late", first))
+            log = self._kept_apart("log", first).filter(_is_delivered())
+            log = log.unionByName(self._kept_apart("late", first))
             path = f"{self.root}/log/_snapshot={version}"
             log.write.mode("overwrite").partitionBy("_append").parquet(path)
             known = known.union(log.select(*(F.col("seq")[name].alias(name) for name in FILE_ID)))
@@ -172,6 +174,7 @@ class SyncedTable:
             mark=mark,
             loaded=version,
             since=first,
+            late_since=first,
             ledger=version,
             folded=last,
             number=number,
@@ -192,7 +195,7 @@ class SyncedTable:
             return self._commit(current.version + 1, current, kind="wait", **fields)
         self._start(0)
         self._write_ledger(0, self._no_files())
-        zero = dict.fromkeys(("snapshot", "first", "last", "since", "ledger", "folded", "awaited_from"), 0)
+        zero = dict.fromkeys(("snapshot", "first", "last", "since", "late_since", "ledger", "folded", "awaited_from"), 0)
         return self._commit(0, kind="wait", awaited=name, **zero)
 
     def rebuild(self, landing: str) -> int:
@@ -256,6 +259,42 @@ class SyncedTable:
         self._start(version)
         return self._commit(version, current, kind="compact", snapshot=version, first=current.last, mark=mark)
 
+    def repair(self) -> int:
+        """Put late changes in their place, for the keys that they address and no others.
+
+        The rows of these keys are replayed from the state that was loaded and all changes up to the mark, late
+        ones among them. What comes out is added to the log as changes that come right after the mark: the
+        old rows are deleted and the new ones inserted; the changes since the mark apply to them. If the load
+        itself had a mark, as a ``rebuild`` has, its state can't be taken apart, and only a rebuild will do.
+        """
+        current = self._require_current()
+        late = ops.valid_changes(self.late(), key=self.key) if current.mark is not None else None
+        if late is None or late.isEmpty():
+            return current.version
+        if self.version(current.loaded).mark is not None:
+            raise ValueError("the table was loaded with changes in it: rebuild it")
+        names_of_key = [self.key] if isinstance(self.key, str) else list(self.key)
+        keys = settle(late.select(*names_of_key).distinct(), "late-keys")
+        past = self._kept_apart("log").unionByName(self._kept_apart("late"))
+        past = past.filter((F.col("seq.file") <= current.mark) & _is_delivered()).drop("_append")
+        loaded = self.spark.read.schema(self.ddl).parquet(self._snapshot(current.loaded))
+        rows = replay(
+            loaded.join(keys, names_of_key, "left_semi"), past.join(keys, names_of_key, "left_semi"), key=self.key
+        )
+        version, number = current.version + 1, current.last + 1
+
+        def changes(rows: DataFrame, action: str, block: int) -> DataFrame:
+            places = {"file": current.mark, "folder": _REPAIRED, "part": number, "base": "", "block": block}
+            parts = [F.lit(value).alias(name) for name, value in places.items()]
+            seq = F.struct(*parts, F.monotonically_increasing_id().alias("row")).cast(SEQ_DDL)
+            return rows.withColumns({"action": F.lit(action), "seq": seq})
+
+        gone = changes(keys, "D", 0).unionByName(changes(rows, "I", 1), allowMissingColumns=True)
+        columns = [field.name for field in self._base(current).schema]
+        path = f"{self.root}/log/_snapshot={current.snapshot}/_append={number}"
+        gone.select("action", *columns, "seq").write.mode("overwrite").parquet(path)
+        return self._commit(version, current, kind="repair", last=number, late_since=number)
+
     # Reading
 
     def is_loaded(self) -> bool:
@@ -274,7 +313,7 @@ class SyncedTable:
 
     def late(self) -> DataFrame:
         """Changes that were kept apart and are not in the state, with the append they came with."""
-        return self._kept_apart("late")
+        return self._kept_apart("late", self._require_current().late_since)
 
     def rejects(self) -> DataFrame:
         """Changes since the table was loaded that replay ignores, with the reason and their append."""
@@ -384,6 +423,14 @@ class SyncedTable:
         return f"{path}/rows"
 
 
+# In place of a folder, of changes that a repair has made.
+_REPAIRED = "repaired"
+
+
+def _is_delivered() -> Column:
+    return F.col("seq.folder") != _REPAIRED
+
+
 _FILES_DDL = ", ".join(f"{name} STRING" for name in FILE_ID)
 
 
