@@ -11,8 +11,10 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 import regex
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidewell.llm import bpe, lm, lsh, main_text, packing, pii, quality, queries, sharding, simhash, url_lists
@@ -202,6 +204,49 @@ def test_packing(spark, docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_pieces_of_the_query_are_those_of_the_tokenizer(spark):
+    """Every id of every document in one piece, in order; sequences without gaps and not too long."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = queries.op6_window_packing(spark, SF).collect()
+    of_doc, of_sequence = {}, {}
+    for row in rows:
+        of_doc.setdefault(row.doc_id, []).append(row)
+        of_sequence.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    texts = {row.doc_id: row.text or "" for row in whole(spark).collect()}
+    assert of_doc.keys() == texts.keys()
+    for key, text in texts.items():
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        at = 0
+        for row in sorted(of_doc[key], key=lambda row: row.start):
+            piece = ids[at : at + row.length]
+            assert (row.start, row.doc_tokens, row.ids_crc32) == (at, len(ids), zlib.crc32(piece.tobytes()))
+            at += row.length
+        assert at == len(ids)
+    used = padded = 0
+    for pieces in of_sequence.values():
+        ends = [0]
+        for offset, length in sorted(pieces):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 1024
+        used += ends[-1]
+        padded += 0 if ends[-1].bit_count() == 1 else 1024 - ends[-1]
+    assert padded < 0.02 * used
+
+
+@pytest.mark.parametrize("kind", ["smallint", "string", "decimal(9,2)"])
+def test_language_model_takes_keys_of_any_type(spark, docs, kind):
+    rows = docs.select(F_cast("doc_id", kind), "text").limit(5)
+    scored = lm.scored(rows)
+    assert dict(scored.dtypes)["doc_id"] == kind and scored.count() == 5
+
+
+def F_cast(name, kind):
+    from pyspark.sql import functions as F
+
+    return F.col(name).cast(kind).alias(name)
+
+
 def test_sharding(spark, docs, empty):
     path = workspace(spark, "map")
     placed = sharding.shard_records(docs, path, shards=3, slots=64).collect()

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -257,3 +258,56 @@ def test_boosted_trees():
     assert threshold([(2.0, 90, 1), (1.0, 10, 50)], 0.95, 1.0) == 2.0
     assert threshold([(1.0, 0, 50)], 0.95, 1.0) == float("inf")
     assert zlib.crc32(b"") == 0
+
+
+def test_joined_words_have_the_tokens_of_single_ones():
+    """Latin words with marks, digits, apostrophes, blanks inside and out, and of other letters."""
+    encoder = packing.word_tokens("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
+    draw = random.Random(9)
+    chars = "abcdefgé ß'’.,!\n\t\x1c\x85\xa0019日Ω<|-"
+    texts = ["".join(draw.choices(chars, k=draw.randrange(60))) for _ in range(3000)] + ["I'll  don't\n\nwe've 's", " x", "x "]
+    encoder.forget()
+    plain = encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    for text, ids, expected in zip(texts, encoder.encode(texts), plain, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == expected.ids, text
+
+
+def plain_score(model, items, start):
+    """Log-likelihood of one text, token by token."""
+    hidden, size = gru.HIDDEN, model.size
+    state, before, total = np.zeros(hidden), start, 0.0
+    for item in items:
+        add, loop = model.inputs[before].astype(float), state @ model.loop.astype(float)
+        reset, stay = (1 / (1 + np.exp(-(add + loop)[k * hidden : (k + 1) * hidden])) for k in (0, 1))
+        fresh = np.tanh(add[2 * hidden :] + reset * loop[2 * hidden :])
+        state = (1 - stay) * fresh + stay * state
+        kind = item // size
+        for logits, place in (
+            (model.class_weights @ state + model.class_bias, kind),
+            (model.item_weights[kind] @ state + model.item_bias[kind], item % size),
+        ):
+            total += logits[place] - np.log(np.exp(logits).sum())
+        before = item
+    return total
+
+
+def test_scores_are_those_of_a_forward_pass():
+    rng = np.random.default_rng(3)
+    model = gru.Model(rng.integers(0, 50, (8, 8)).astype(float))
+    texts = [rng.integers(0, 64, n).astype(np.int32) for n in (1, 700, 3, 3, 40, 250, 1, 97, 96)]
+    model.train(texts, 8)
+    expected = [plain_score(model, text.tolist(), 8) for text in texts]
+    for count, window in ((256, 96), (3, 7), (1, 50)):
+        assert model.score(texts, 8, count=count, window=window) == pytest.approx(expected, rel=1e-4)
+
+
+def test_a_long_text_beside_short_ones_takes_no_more_than_its_tokens():
+    rng = np.random.default_rng(3)
+    model = gru.Model(np.ones((64, 64)))
+    texts = [rng.integers(0, 4096, 10).astype(np.int32) for _ in range(255)] + [rng.integers(0, 4096, 1_000_000).astype(np.int32)]
+    tracemalloc.start()
+    gru.Windows(texts, 256, 64).window(0, 96)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    assert np.isfinite(model.score(texts[:255] + [texts[255][:20_000]], 64)).all()

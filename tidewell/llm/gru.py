@@ -28,25 +28,42 @@ def streams(lengths: list[int], count: int) -> list[list[int]]:
     return sorted(dealt, key=lambda texts: -sum(lengths[i] for i in texts))
 
 
-def laid_out(texts: list[np.ndarray], count: int, start: int):
-    """Steps x streams: the item before, the item itself (-1 after a stream's end), whether a text goes on,
-    and the number of the text."""
-    dealt = streams([len(text) for text in texts], count)
-    longest = sum(len(texts[i]) for i in dealt[0])
-    before = np.full((longest, len(dealt)), start, np.int32)
-    item = np.full((longest, len(dealt)), -1, np.int32)
-    goes_on = np.ones((longest, len(dealt), 1), np.float32)
-    text_of = np.zeros((longest, len(dealt)), np.int32)
-    for column, numbers in enumerate(dealt):
-        at = 0
-        for number in numbers:
-            text = texts[number]
-            item[at : at + len(text), column] = text
-            before[at + 1 : at + len(text), column] = text[:-1]
-            goes_on[at, column] = 0
-            text_of[at : at + len(text), column] = number
-            at += len(text)
-    return before, item, goes_on, text_of
+class Windows:
+    """Texts laid out in streams, window by window: what is held is a number or two for each token, however
+    much the streams differ in length."""
+
+    def __init__(self, texts: list[np.ndarray], count: int, start: int):
+        dealt = streams([len(text) for text in texts], count)
+        order = [number for numbers in dealt for number in numbers]
+        self.item = np.concatenate([texts[number] for number in order]).astype(np.int32)
+        lengths = np.array([len(texts[number]) for number in order])
+        first = np.cumsum(lengths) - lengths
+        self.before = np.append(np.int32(start), self.item[:-1])
+        self.before[first] = start
+        self.goes_on = np.ones(len(self.item), np.float32)
+        self.goes_on[first] = 0
+        #: The texts in the order of their tokens, and where each begins.
+        self.order, self.first = np.array(order), first
+        #: Of each stream its tokens and its first one; the longest stream comes first.
+        self.lengths = np.array([sum(len(texts[number]) for number in numbers) for numbers in dealt])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def __len__(self) -> int:
+        return int(self.lengths[0])
+
+    def window(self, at: int, size: int):
+        """Steps x streams that still run: the item before, whether the text goes on, the item itself (-1 after
+        a stream's end), and the number of the token."""
+        n = int((self.lengths > at).sum())
+        step = at + np.arange(min(size, len(self) - at))[:, None]
+        there = step < self.lengths[:n]
+        token = np.where(there, self.starts[:n] + step, 0)
+        item = np.where(there, self.item[token], -1)
+        return self.before[token], self.goes_on[token][..., None], item, token
+
+    def sums(self, tokens: np.ndarray, values: np.ndarray, texts: int) -> np.ndarray:
+        """Of each text the sum of ``values`` of its ``tokens``."""
+        return np.bincount(self.order[np.searchsorted(self.first, tokens, side="right") - 1], values, texts)
 
 
 def _in_range(x: np.ndarray) -> None:
@@ -153,31 +170,28 @@ class Model:
         total = np.zeros(len(texts))
         if not texts:
             return total
-        before, item, goes_on, text_of = laid_out(texts, count, start)
-        state = np.zeros((item.shape[1], HIDDEN), np.float32)
-        for at in range(0, len(item), window):
-            n = int((item[at] >= 0).sum())  # streams are sorted: the first n still run
-            rows = slice(at, at + window)
-            states, state, _ = self._run(before[rows], goes_on[rows], state[:n], False)
-            there = item[rows, :n] >= 0
-            logs = self.log_chances(states[there], item[rows, :n][there])
-            total += np.bincount(text_of[rows, :n][there], logs, len(texts))
+        laid = Windows(texts, count, start)
+        state = np.zeros((len(laid.lengths), HIDDEN), np.float32)
+        for at in range(0, len(laid), window):
+            before, goes_on, item, token = laid.window(at, window)
+            states, state, _ = self._run(before, goes_on, state[: item.shape[1]], False)
+            there = item >= 0
+            total += laid.sums(token[there], self.log_chances(states[there], item[there]), len(texts))
         return total
 
-    def train(self, texts: list[np.ndarray], start: int, count: int = 96, window: int = 24) -> None:
+    def train(self, texts: list[np.ndarray], start: int, count: int = 256, window: int = 24) -> None:
         """One pass over the texts by Adagrad."""
         if not texts:
             return
         if self.squares is None:
             self.squares = {name: np.full(getattr(self, name).shape, 1e-3, np.float32) for name in self.NAMES}
-        before, item, goes_on, _ = laid_out(texts, count, start)
-        state = np.zeros((item.shape[1], HIDDEN), np.float32)
-        for at in range(0, len(item), window):
-            n = int((item[at] >= 0).sum())
-            rows = slice(at, at + window)
-            states, new_state, kept = self._run(before[rows], goes_on[rows], state[:n], True)
-            there = item[rows, :n] >= 0
-            self._learn(before[rows, :n], goes_on[rows, :n], states, there, item[rows, :n][there], kept)
+        laid = Windows(texts, count, start)
+        state = np.zeros((len(laid.lengths), HIDDEN), np.float32)
+        for at in range(0, len(laid), window):
+            before, goes_on, item, _ = laid.window(at, window)
+            states, new_state, kept = self._run(before, goes_on, state[: item.shape[1]], True)
+            there = item >= 0
+            self._learn(before, goes_on, states, there, item[there], kept)
             state = new_state
 
     def _learn(self, before, goes_on, states, there, item, kept) -> None:

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidewell.llm.common import batches_of, crc_bucket, lower_words, texts_of
 from tidewell.llm.gru import Model
@@ -278,13 +279,7 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             yield from batches_of(rows(), arrow)
             row += len(block)
 
-    arrow = pa.schema(
-        [pa.field(key, {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[docs.select(key).dtypes[0][1]])]
-        + [pa.field(n, t) for n, t in zip(
-            ["row", "held_out", "n_tokens", "n_known", "base", "model", "word", "n"],
-            [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64()],
-            strict=True)]
-    )
+    arrow = to_arrow_schema(schema)
     parts = docs.select(key, held_out(key).alias("held_out"), text).mapInArrow(mapped, schema)
     rare = counts.filter(F.col("n") < cut).select(F.col("word").alias("rare_word"), F.col("n").alias("c"))
     joined = parts.join(rare, F.col("word") == F.col("rare_word"), "left")
