@@ -268,7 +268,9 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFra
         share = F.when(F.col("toxic") == kind, min(1.0, LABEL_ROWS / count)).otherwise(share)
     drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share * (1 << 30)
     says = says.filter(drawn).withColumn("fits", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(FITTING)) == 0)
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(says, "key").select("text", "toxic", "fits")
+    # At most about LABEL_ROWS ids of each class: small enough for every task, and texts stay where they are.
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return rows.join(F.broadcast(says), "key").select("text", "toxic", "fits")
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
