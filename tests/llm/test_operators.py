@@ -408,6 +408,50 @@ def test_temporal_lists(spark):
     assert sorted(map(tuple, rows), key=repr) == sorted(expected.fetchall(), key=repr)
 
 
+def test_hosts_and_hot_domains(spark):
+    hosts = {
+        "http://user:pw@bad.org/x": "bad.org", "HTTPS://Bad.ORG.:80": "bad.org", "http://a@b@bad.org?u=@c": "bad.org",
+        "http://[2001:DB8::1]:80/": "[2001:db8::1]", "http://user@/x": None, "http://...": None, "bad.org": None,
+        "svn+ssh://bad.org#@x": "bad.org", "http:///x": None, "http://x/@bad.org": "x", "": None, None: None,
+    }
+    urls = spark.createDataFrame([(url,) for url in hosts], "url STRING")
+    assert {row.url: row.host for row in urls.select("url", url_lists.host().alias("host")).collect()} == hosts
+    day = dt.date(2024, 1, 3)
+    changes = [("com", day, "add", 1), ("[2001:db8::1]", day, "add", 2), ("org", day, "remove", 3)]
+    valid = url_lists.intervals(spark.createDataFrame(changes, "entry STRING, day DATE, action STRING, number LONG"))
+    names = [f"h{i}.{'com' if i % 3 else 'org'}" for i in range(90)] + ["[2001:db8::1]"]
+    rows = spark.createDataFrame([(f"http://u@{x}./", day) for x in names] + [("http://com/", dt.date(2024, 1, 2))], "url STRING, fetched_on DATE")
+    hits = Counter(row.entry for row in url_lists.judged(rows, valid).collect())
+    assert hits == {"com": 60, "[2001:db8::1]": 1, None: 31}
+    assert url_lists.judged(rows.limit(0), valid).count() == 0
+
+
+def test_null_and_repeated_ids_leave_shards_equal(spark):
+    rows = [(None, f"null {i} " + "x" * (i % 50)) for i in range(1500)] + [(7, "the same row")] * 1500
+    rows += [(i, "y" * (i % 90)) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    placed = sharding.shard_records(docs, workspace(spark, "map"), shards=10).collect()
+    load = Counter()
+    for row in placed:
+        load[row.shard] += row["size"]
+    assert len(placed) == 4500 and len({(row.shard, row.place) for row in placed}) == 4500
+    assert max(load.values()) - min(load.values()) < 0.01 * sum(load.values()) / 10
+    again = sharding.shard_records(docs.filter("doc_id <> 7").repartition(5), workspace(spark, "map"), shards=10)
+    slots = {(row.doc_id, row.text_crc32): row.virtual_slot for row in placed if row.doc_id not in (None, 7)}
+    assert all(slots[row.doc_id, row.text_crc32] == row.virtual_slot for row in again.collect())
+
+
+def test_shards_of_the_query_hold_equal_bytes(spark):
+    load, places = Counter(), Counter()
+    for row in queries.op7_virtual_slots(spark, SF.replace("0.001", "0.01")).collect():
+        load[row.shard] += row["size"]
+        places[row.shard, row.slot] += 1
+    assert set(load) == set(range(40)) and max(places.values()) == 1
+    assert max(load.values()) - min(load.values()) < 0.01 * sum(load.values()) / 40
+    for shard in load:
+        assert max(slot for at, slot in places if at == shard) == sum(at == shard for at, _ in places) - 1
+
+
 def test_pipeline_stages_keep_their_columns(spark, labels, tmp_path):
     docs = whole(spark)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "personal_data", "packing"]

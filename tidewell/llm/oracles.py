@@ -3,7 +3,8 @@
 ORACLES: dict[str, str] = {
     "op1_temporal_lists": r"""
 WITH hosts AS (
-  SELECT page_id, url, nullif(regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1), '') AS host,
+  SELECT page_id, url, nullif(regexp_replace(regexp_extract(lower(url),
+           '^[a-z][a-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^:/?#\[\]@]*)', 1), '\.+$', ''), '') AS host,
          DATE '2024-01-01' + CAST(('0x' || substr(md5(url), 1, 4)) AS INTEGER) % 366 AS fetched_on
   FROM pages
 ), changes AS (

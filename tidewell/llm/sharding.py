@@ -4,8 +4,11 @@ Records are hashed into thousands of slots, once and for all. What moves is the
 shards: a small table with a version number. Balancing edits a few entries of the newest version and
 stores the result as the next one, so that only the records of those slots move.
 
-Defined results: a null key is hashed like any other value; a null text has no bytes; equal rows share
-a slot and get different places; an empty table gives an empty result (and a map all the same). Columns
+Sharding by bytes hashes the key with the size and checksum of the text, and for rows that agree in all of
+these which of them it is, so that neither null keys nor repeated rows pile up in a slot.
+
+Defined results: a null key is hashed like any other value; a null text has no bytes; equal rows are told
+apart by where they lie in the input, and get slots and places of their own; an empty table gives an empty result (and a map all the same). Columns
 that are not named in the call are not read.
 """
 
@@ -17,6 +20,7 @@ from bisect import bisect_left, insort
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.joins import join_unique
 from tidewell.session import settle, workspace
 
 SLOTS = 8192
@@ -128,6 +132,21 @@ def read_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return versions.filter(F.col("version") == version)
 
 
+#: What a record is hashed by: ``copy`` is 0 but for repeated rows.
+RECORD = ["key", "size", "text_crc32", "copy"]
+
+
+def told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``: 0 for the first of equal rows, a hash of part and number for the others. No task
+    sees more of them than one part holds."""
+    same = RECORD[:-1]
+    number = F.row_number().over(Window.partitionBy(*same, "part").orderBy(F.lit(0)))
+    first = rows.groupBy(*same).agg(F.min("part").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    each = join_unique(rows.withColumn("number", number), first, same, null_safe=True)
+    own = F.when(F.col("n").isNull() | ((F.col("part") == F.col("first")) & (F.col("number") == 1)), F.lit(0).cast("long"))
+    return each.withColumn("copy", own.otherwise(F.xxhash64("part", "number"))).drop("number", "first", "n")
+
+
 def shard_records(
     docs: DataFrame, map_path: str, key: str = "doc_id", shards: int = SHARDS, slots: int = SLOTS
 ) -> DataFrame:
@@ -139,16 +158,16 @@ def shard_records(
     """
     spark = docs.sparkSession
     text = F.col("text")
-    rows = settle(
+    read = settle(
         docs.select(
             F.col(key).alias("key"),
             record_size("text").alias("size"),
             F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-            virtual_slot(key, slots).alias("virtual_slot"),
             F.spark_partition_id().alias("part"),
         ),
-        "slots",
+        "sizes",
     )
+    rows = settle(told_apart(read).withColumn("virtual_slot", virtual_slot(RECORD, slots)), "slots")
     parts = settle(
         rows.groupBy("virtual_slot", "part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "parts"
     )
@@ -173,7 +192,7 @@ def shard_records(
     part_starts = part_starts.join(places, "virtual_slot").select(
         "virtual_slot", "part", "shard", (F.col("slot_start") + F.col("part_start")).alias("start")
     )
-    within = Window.partitionBy("virtual_slot", "part").orderBy("key", "size", "text_crc32")
+    within = Window.partitionBy("virtual_slot", "part").orderBy(*RECORD)
     return (
         rows.withColumn("number", F.row_number().over(within) - 1)
         .join(part_starts, ["virtual_slot", "part"])
