@@ -354,6 +354,45 @@ def test_nearest_vectors(spark):
     assert lsh.nearest(rows, rows.filter("vec_id = 7"), k=5).filter("score < 1 - 1e-12").count() == 0
 
 
+def test_recall_of_each_group_of_mixed_vectors(spark, monkeypatch):
+    """Clustered vectors set the usual cosine; those without close neighbours must be found all the same."""
+    monkeypatch.setattr(lsh, "BUCKET", 60)
+    monkeypatch.setattr(lsh, "BLOCK", 100)
+    monkeypatch.setattr(lsh, "QUERY_BLOCK", 20)
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((16, 32))
+    clustered = np.repeat(centres, 250, axis=0) + 0.1 * rng.standard_normal((4000, 32))
+    unit = lsh.unit_of(np.concatenate([clustered, rng.standard_normal((1000, 32))]))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    asked = rows.filter("vec_id % 50 = 0")
+    found = {}
+    for row in lsh.nearest(rows, asked.unionByName(asked)).collect():
+        found.setdefault(row.query_id, set()).add(row.vec_id)
+    hits = {True: [], False: []}
+    for query in range(0, 5000, 50):
+        near = unit @ unit[query]
+        near[query] = -2
+        assert len(found[query]) == 5
+        hits[query < 4000].append(len(found[query] & set(np.argsort(-near)[:5].tolist())) / 5)
+    assert np.mean(hits[True]) >= 0.9 and np.mean(hits[False]) >= 0.9
+
+
+def test_recall_of_the_query(spark):
+    folder = SF.replace("0.001", "0.01")
+    rows = table(spark, folder, "embeddings").filter("embedding IS NOT NULL").collect()
+    ids, unit = np.array([r.vec_id for r in rows]), lsh.unit_of(np.array([r.embedding for r in rows], float))
+    found = {}
+    for row in queries.op4_multiprobe_lsh(spark, folder).collect():
+        found.setdefault(row.query_id, set()).add(row.vec_id)
+    assert set(found) == {i for i in ids.tolist() if i % 50 == 0}
+    hits = []
+    for place in np.nonzero(ids % 50 == 0)[0]:
+        near = unit @ unit[place]
+        near[place] = -2
+        hits.append(len(found[ids[place]] & set(ids[np.argsort(-near)[:5]].tolist())))
+    assert sum(hits) >= 0.9 * 5 * len(hits)
+
+
 def test_searches_that_find_too_little_are_made_whole(spark, monkeypatch):
     monkeypatch.setattr(lsh, "TARGET", 1e-9)
     monkeypatch.setattr(lsh, "BUCKET", 1)

@@ -4,7 +4,9 @@ A table hashes unit vectors by ``m`` Gaussian projections, each cut into cells o
 probes a table's buckets in the order of their estimated chance of holding a neighbour: given the
 query's projections and a neighbour at the usual cosine, each projection of the neighbour is normal, and
 a bucket's chance is the product over its cells. Probing ends when the chances add up to the table's
-share of ``TARGET``. The candidates of all tables are compared with the query exactly, on the original
+share of ``TARGET``. That is done twice: first for the usual cosine, then, for each query whose own ``k``-th
+neighbour so far is farther off than that, for the cosine of this neighbour, which is no nearer than the true one; only
+buckets that the first round left out are then looked at. The candidates of all tables are compared with the query exactly, on the original
 vectors, where they lie: each bucket is joined with the queries that probe it in one task, which gives
 out the best ``k`` of each query only. Queries that find fewer than ``k`` candidates are compared with
 all vectors, in blocks.
@@ -12,11 +14,13 @@ all vectors, in blocks.
 The usual cosine and the number of projections come from a sample of ``SAMPLE`` expected vectors and from
 the number of vectors; every vector is indexed. Equal vectors are one entry of the index, which keeps
 the ``k + 1`` smallest ids: no search can return more of them. Buckets of more than ``BLOCK`` entries are
-cut into blocks, so neither a frequent vector nor a dense bucket lands in one task.
+cut into blocks, and so are the queries that probe a bucket, so neither a frequent vector nor a dense bucket nor
+a bucket that all queries probe lands in one task.
 
 Defined results: vectors that are null, empty, zero, or have a null or non-finite component, rows with a
 null id, and vectors of another length than most take no part; ties go to the smaller id; repeated ids
-are ranked like any other rows; an empty table gives an empty result. Only the two named columns are read.
+are ranked like any other rows; of several queries with one id, the one with the least vector (component by
+component) is asked; an empty table gives an empty result. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.joins import join_unique
 from tidewell.session import settle
 
 TABLES = 2
@@ -65,11 +70,12 @@ class Tables:
         cells = np.clip(np.floor(self.project(unit)), -FARTHEST, FARTHEST).astype(np.int8)
         return [bytes([table]) + row.tobytes() for vector in cells for table, row in enumerate(vector)]
 
-    def probes(self, unit: np.ndarray) -> Iterator[list[bytes]]:
-        """Per vector, its buckets in each table: those most likely to hold a neighbour first."""
+    def probes(self, unit: np.ndarray, near: np.ndarray) -> Iterator[list[bytes]]:
+        """Per vector, its buckets in each table: those most likely to hold a neighbour at its cosine first."""
         share = 1 - (1 - TARGET) ** (1 / len(self.axes))
-        spread = math.sqrt(1 - self.near**2) / math.sqrt(unit.shape[1]) / self.width
-        mean = (self.project(unit) - self.offsets) * self.near + self.offsets
+        near = near[:, None, None]
+        spread = np.sqrt(1 - near**2) / math.sqrt(unit.shape[1]) / self.width
+        mean = (self.project(unit) - self.offsets) * near + self.offsets
         edges = np.arange(1 - FARTHEST, FARTHEST + 1)
         below = _normal((edges[:, None, None, None] - mean) / spread)
         chance = np.diff(below, axis=0, prepend=0.0, append=1.0)  # the outer cells are open
@@ -80,6 +86,16 @@ class Tables:
                 for cells in best_first(chance[:, vector, table, :].T, share)
             ]
 
+    def first_probes(self, unit: np.ndarray) -> Iterator[list[bytes]]:
+        return self.probes(unit, np.full(len(unit), self.near))
+
+    def further_probes(self, unit: np.ndarray, cosine: np.ndarray) -> Iterator[list[bytes]]:
+        """Buckets to look at for neighbours at each query's ``cosine`` that ``first_probes`` leaves out."""
+        both = zip(self.probes(unit, np.clip(cosine, 0.0, self.near)), self.first_probes(unit), strict=True)
+        for wanted, seen in both:
+            known = set(seen)
+            yield [bucket for bucket in wanted if bucket not in known]
+
 
 def _normal(x: np.ndarray) -> np.ndarray:
     """Standard normal distribution, to about 1e-7."""
@@ -201,10 +217,8 @@ def best_of(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
         ids.append(np.full(len(take), query))
         places.append(take)
         scores.append(row[take])
-    place = np.concatenate(places)
-    return pd.DataFrame(
-        {"query_id": np.concatenate(ids), "ids": [rows["ids"].iloc[i] for i in place], "score": np.concatenate(scores)}
-    )
+    found = pd.Series([rows["ids"].iloc[i] for i in np.concatenate(places)], dtype=object)
+    return pd.DataFrame({"query_id": np.concatenate(ids), "ids": found, "score": np.concatenate(scores)})
 
 
 FOUND = "query_id LONG, ids ARRAY<LONG>, score DOUBLE"
@@ -227,7 +241,7 @@ def nearest(
     """
     rows = usable(rows, key, vector)
     entries = settle(entries_of(rows, k + 1), "vectors")
-    asked = settle(usable(queries, key, vector).dropDuplicates(["id"]), "queries")
+    asked = settle(usable(queries, key, vector).groupBy("id").agg(F.min("v").alias("v")), "queries")
     count = entries.count()
     tables = fit(entries, count, k)
 
@@ -240,36 +254,63 @@ def nearest(
                     [pa.array(bucket, pa.binary()), *each.columns], names=["bucket", "v", "ids"]
                 )
 
-    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                found = list(tables.probes(unit_of(stack(part.column(1).to_pylist()))))
-                each = part.take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))
-                bucket = [bucket for x in found for bucket in x]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket, pa.binary()), *each.columns], names=["bucket", "id", "v"]
-                )
-
     def compared(probes: pd.DataFrame, bucket: pd.DataFrame) -> pd.DataFrame:
         return best_of(probes, bucket, k)
 
     index = settle(entries.mapInArrow(hashed, "bucket BINARY, v ARRAY<DOUBLE>, ids ARRAY<LONG>"), "buckets")
-    large = index.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    large = index.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
     large = settle(large.filter("blocks > 1"), "large-buckets")
-    blocks = F.coalesce("blocks", F.lit(1))
-    index = index.join(large, "bucket", "left").withColumn("block", F.pmod(F.xxhash64(F.col("ids")[0]), blocks))
-    probes = asked.select("id", "v").mapInArrow(probed, "bucket BINARY, id LONG, v ARRAY<DOUBLE>")
-    probes = probes.join(large, "bucket", "left").withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long")))
-    )
-    found = (
-        probes.select("bucket", "block", "id", "v")
-        .groupBy("bucket", "block")
-        .cogroup(index.select("bucket", F.col("block").cast("long"), "v", "ids").groupBy("bucket", "block"))
-        .applyInPandas(compared, FOUND)
+    index = join_unique(index, large, ["bucket"]).withColumn(
+        "block", F.pmod(F.xxhash64(F.col("ids")[0]), F.coalesce("blocks", F.lit(1)))
     )
-    found = settle(ranked(found, k), "found")
+    many = asked.count() > QUERY_BLOCK
+
+    def searched(queries: DataFrame, label: str) -> DataFrame:
+        """What the buckets hold that ``queries`` (``id, v, near``, the last null in the first round) probe."""
+
+        def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    part = batch.slice(start, 256)
+                    unit = unit_of(stack(part.column(1).to_pylist()))
+                    near = part.column(2)
+                    if near.null_count:
+                        found = list(tables.first_probes(unit))
+                    else:
+                        found = list(tables.further_probes(unit, near.to_numpy()))
+                    each = part.take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))
+                    bucket = [bucket for x in found for bucket in x]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(bucket, pa.binary()), each.column(0), each.column(1)], names=["bucket", "id", "v"]
+                    )
+
+        probes = queries.select("id", "v", "near").mapInArrow(probed, "bucket BINARY, id LONG, v ARRAY<DOUBLE>")
+        # Where more than QUERY_BLOCK queries probe a bucket, they are cut into parts, and each block goes to each part.
+        crowded = probes.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("long").alias("parts"))
+        crowded = settle(crowded.filter("parts > 1") if many else crowded.limit(0), "crowded-buckets")
+        parts, blocks = F.coalesce("parts", F.lit(1)), F.coalesce("blocks", F.lit(1))
+        zero = F.lit(0).cast("long")
+        probes = join_unique(join_unique(probes, large, ["bucket"]), crowded, ["bucket"])
+        probes = probes.withColumn("part", F.pmod(F.xxhash64("id"), parts))
+        probes = probes.withColumn("block", F.explode(F.sequence(zero, blocks - 1)))
+        rows = join_unique(index, crowded, ["bucket"]).withColumn("part", F.explode(F.sequence(zero, parts - 1)))
+        found = (
+            probes.select("bucket", "block", "part", "id", "v")
+            .groupBy("bucket", "block", "part")
+            .cogroup(rows.select("bucket", "block", "part", "v", "ids").groupBy("bucket", "block", "part"))
+            .applyInPandas(compared, FOUND)
+        )
+        return settle(ranked(found, k), label)
+
+    first = searched(asked.withColumn("near", F.lit(None).cast("double")), "found")
+    # The k-th neighbour found is no nearer than the true one, so its cosine is safe to probe for.
+    last = first.filter((F.col("rank") == k) & (F.col("score") < tables.near))
+    far = asked.join(last.select(F.col("query_id").alias("id"), F.col("score").alias("near")), "id")
+    far = settle(far, "far-queries")
+    found = first
+    if not far.isEmpty():
+        both = first.unionByName(searched(far, "found-further"))
+        found = settle(ranked(both.select("query_id", F.array("id").alias("ids"), "score"), k), "found-in-all")
     return exactly_filled(found, entries, asked, k).withColumnRenamed("id", key)
 
 
