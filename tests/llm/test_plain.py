@@ -188,6 +188,34 @@ def test_main_text_of_pages():
     assert main_text.main_text(plain, main_text.START).startswith("A sentence")
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article class='post comments-open'><h1>Title</h1><p>{}</p><p>{}</p></article>",
+        "<div class='content with-sidebar'><h1>Title</h1><p>{}</p><p>{}</p></div>",
+        "<svg viewBox='0 0 1 1'/><iframe src='x>y' /><article><h1>Title</h1><p>{}</p><p>{}</p></article>",
+        "<article><h1>Title</h1><p>{}</p><form><p>Send us your name, please, and your address.</p></form><p>{}</p></article>",
+        "<article><h1>Title</h1><p>{}</p><div class=ad><p>Buy it now, it is cheap. Really.</p></div><p>{}</p></article>",
+        "<form id=f><div><article><h1>Title</h1><p>{}</p><p>{}</p></article></div><p>Not this one, sir.</p></form>",
+        "<main><h1>Title</h1><p>{}</p><p>{}</p></main><ol class='comment-list'>" + "<li><p>I read this, too. It is good.</p>" * 40 + "</ol>",
+        "<main><h1>Title</h1><p>{}</p><p>{}</p></main><article class=comment><p>I read this, too. It is good.</p></article>",
+    ],
+)
+def test_names_are_signs_and_do_not_decide_alone(page):
+    first, second = ("A sentence with many words, and some more. " * 3).strip(), "Short."
+    nav = "<nav><ul>" + "<li><a href=x>Menu</a>" * 5 + "</ul></nav>"
+    found = main_text.main_text(f"<body class=no-sidebar>{nav}{page.format(first, second)}<footer>End</footer>", main_text.START)
+    assert found == f"Title\n{first}\n{second}"
+
+
+def test_the_cut_takes_weak_blocks_along():
+    weak = "<p>{}</p><p><a href=x>see</a></p><p>{}</p>".replace("{}", "A sentence with many words, and some more. " * 3)
+    blocks = main_text.blocks_of(f"<article class='entry has-comments'>{weak}</article>")
+    logit = main_text.features(blocks[1]) @ main_text.START
+    assert max(-main_text.LIMIT, logit) + main_text.surroundings(blocks[1].element) < 0  # alone it would be left out
+    assert main_text.labelled(blocks, main_text.START) == [True] * 3
+
+
 def test_recurrent_model_gradients_and_windows():
     rng = np.random.default_rng(0)
     model = gru.Model(rng.integers(1, 50, (4, 4)))

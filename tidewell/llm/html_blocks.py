@@ -6,9 +6,10 @@ import html
 import re
 from dataclasses import dataclass, field
 
-#: Comments, declarations, elements whose content is not text, tags, and anything else.
+#: Comments, elements closed where they open, elements whose content is not text, declarations, and tags.
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg|select|object|canvas)\b[^>]*>"
+    r"<!--.*?(?:-->|\Z)|<(?:noscript|template|iframe|svg|select|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(script|style|noscript|template|textarea|title|iframe|svg|select|object|canvas)\b[^>]*>"
     r".*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.DOTALL | re.IGNORECASE,
 )
@@ -27,7 +28,7 @@ CLOSES["th"] = CLOSES["td"]
 HOLDERS = frozenset("ul ol dl table tbody thead tfoot".split())
 VOID = frozenset(["hr"])
 
-#: Elements and words in names that mark what is not the article, wherever they are.
+#: Elements and words in names that speak against the article, wherever they are.
 AROUND = frozenset("nav footer aside dialog menu button".split())
 AROUND_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies"
@@ -35,14 +36,26 @@ AROUND_WORDS = frozenset(
     " promotion recommended related reply replies respond share sharing sidebar social sponsor sponsored subscribe"
     " toolbar widget complementary contentinfo alert".split()
 )
-#: Those that hold the article, and those that do not unless they are inside of one.
+#: A name with one of these tells the state of an element: ``comments-open``, ``with-sidebar``.
+STATE_WORDS = frozenset("with without has no is open opened closed enabled disabled on off allowed".split())
+#: Those that speak for the article, and those that speak against it unless they are inside of one.
 ARTICLE = frozenset(["article", "main"])
 ARTICLE_WORDS = frozenset("article articlebody content entry post story".split())
-WEAK = frozenset(["form", "header"])
+WEAK = frozenset(["header"])
 WEAK_WORDS = frozenset(["form", "header", "search", "login", "signup"])
 ROOTS = frozenset(["html", "body"])
+#: How much a name says, next to a tag or a name that is one of the words or begins or ends with one.
+CERTAIN, LIKELY, HINT = 1.0, 0.5, 0.25
 
-INSIDE, OPEN, OUTSIDE = 1, 0, -1
+
+def against(name: str) -> float:
+    """How much a class or another name speaks against the article."""
+    words = LETTERS.findall(name)
+    if not AROUND_WORDS.intersection(words):
+        return 0.0
+    if STATE_WORDS.intersection(words):
+        return HINT
+    return CERTAIN if words[0] in AROUND_WORDS or words[-1] in AROUND_WORDS else LIKELY
 
 
 @dataclass
@@ -50,8 +63,11 @@ class Element:
     tag: str
     number: int
     depth: int
-    place: int  # INSIDE, OPEN or OUTSIDE the article
-    fixed: bool  # nothing inside can be the article
+    #: What the names of the element and those around it say for and against the article, from 0 to 1.
+    inside: float
+    outside: float
+    #: In a form, and no article between.
+    form: bool
 
 
 @dataclass
@@ -88,20 +104,22 @@ class _Page:
 
     def open(self, tag: str, attributes: str) -> None:
         around = self.stack[-1]
-        place, fixed = around.place, around.fixed
-        if not fixed and tag not in ROOTS:
-            names = set()
+        inside, outside, form = around.inside, around.outside, around.form or tag == "form"
+        if tag not in ROOTS:
+            names = []
             if "=" in attributes:
-                named = " ".join(next(filter(None, x), "") for x in NAMED.findall(attributes))
-                names = set(LETTERS.findall(named.lower()))
-            if tag in AROUND or (names & AROUND_WORDS and tag not in ("main", "p")):
-                place, fixed = OUTSIDE, True
-            elif tag in ARTICLE or names & ARTICLE_WORDS:
-                place = INSIDE
-            elif (tag in WEAK or names & WEAK_WORDS) and place != INSIDE:
-                place = OUTSIDE
+                names = " ".join(next(filter(None, x), "") for x in NAMED.findall(attributes)).lower().split()
+            words = {word for name in names for word in LETTERS.findall(name)}
+            if tag in AROUND:
+                outside = CERTAIN
+            elif tag not in ("main", "p"):
+                outside = max([outside, *map(against, names)])
+            if outside < CERTAIN and (tag in ARTICLE or words & ARTICLE_WORDS):
+                inside, form = CERTAIN, form and tag not in ARTICLE
+            elif not inside and (tag in WEAK or words & WEAK_WORDS):
+                outside = max(outside, LIKELY)
         self.count += 1
-        self.stack.append(Element(tag, self.count, len(self.stack), place, fixed))
+        self.stack.append(Element(tag, self.count, len(self.stack), inside, outside, form))
 
     def close(self, tags: set[str], stop: frozenset[str] = frozenset()) -> None:
         for place in range(len(self.stack) - 1, 0, -1):
@@ -116,7 +134,7 @@ class _Page:
 def blocks_of(page: str) -> list[Block]:
     """Blocks with visible text, in page order."""
     now = _Page()
-    now.stack.append(Element("", 0, 0, OPEN, False))
+    now.stack.append(Element("", 0, 0, 0.0, 0.0, False))
     at = 0
     for match in MARKUP.finditer(page):
         if match.start() > at:

@@ -1,12 +1,14 @@
 """Main text of web pages by minimum-cut labelling.
 
 Each text block of a page gets the costs of a classifier: what its length, links and punctuation say, and
-what the elements around it say. The costs are terminal capacities; blocks next to each other, and blocks
-of one parent element, are tied by smoothness edges, the stronger the nearer they are in the document
-tree. A minimum cut separates the article from the rest of the page.
+what the tags and names of the elements around it say, each of them bounded and on the scale of the edges. The
+costs are terminal capacities; blocks next to each other, and blocks of one parent element, are tied by
+smoothness edges, the stronger the nearer they are in the document tree. A minimum cut separates the article
+from the rest of the page, so a block whose own signs are weak or contradict each other goes with its neighbours.
+Nothing is fixed but what holds no text to read (scripts, styles and the like).
 
 The classifier is a logistic regression of text features, fitted on blocks whose surroundings name them
-(inside an article, or in navigation, footers and the like) from ``SAMPLE_PAGES`` expected pages, at most
+(inside an article and nothing else, or in navigation, footers, forms and the like) from ``SAMPLE_PAGES`` expected pages, at most
 ``PAGE_BLOCKS`` evenly spread blocks of each. Without both kinds of blocks it starts from fixed weights.
 
 Defined results: a null page is empty and has an empty text, as has a page without article; unclosed and
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import texts_of
-from tidewell.llm.html_blocks import INSIDE, OUTSIDE, Block, blocks_of
+from tidewell.llm.html_blocks import CERTAIN, HINT, Block, Element, blocks_of
 from tidewell.llm.mincut import source_side
 
 SAMPLE_PAGES = 2000
@@ -32,12 +34,12 @@ PAGE_BLOCKS = 64
 SEED = 5
 #: Before any training: long text with punctuation and no links.
 START = np.array([-2.0, 0.5, -3.0, 1.5, 0.5, 0.5])
-#: Cost of calling a block the other thing than what the elements around it say.
-SURROUNDINGS = {INSIDE: 8.0, OUTSIDE: -20.0, 0: 0.0}
-FIXED = -100.0
+#: Costs of calling a block the other thing than what the elements around it say with certainty.
+INSIDE = 2.5
+OUTSIDE = 7.0
 #: Largest cost that text features alone may give.
-LIMIT = 4.0
-NEIGHBOURS = 1.0
+LIMIT = 2.0
+NEIGHBOURS = 1.5
 SIBLINGS = 0.5
 
 
@@ -72,6 +74,20 @@ def fitted(rows: np.ndarray, content: np.ndarray) -> np.ndarray:
     return weights
 
 
+def surroundings(element: Element) -> float:
+    """What the elements around a block add to its cost; the surer the signs against it, the less count those for it."""
+    outside = CERTAIN if element.form else element.outside
+    return INSIDE * element.inside * (1 - outside) - OUTSIDE * outside
+
+
+def named(block: Block) -> bool | None:
+    """Whether the block is content as far as its surroundings are certain, else None."""
+    element = block.element
+    if element.form or element.outside >= CERTAIN:
+        return False
+    return True if element.inside >= CERTAIN and element.outside < HINT else None
+
+
 def labelled(blocks: list[Block], weights: np.ndarray) -> list[bool]:
     """Whether each block belongs to the main text."""
     if not blocks:
@@ -81,7 +97,7 @@ def labelled(blocks: list[Block], weights: np.ndarray) -> list[bool]:
     last_of: dict[int, int] = {}
     for i, (block, logit) in enumerate(zip(blocks, logits.tolist(), strict=True)):
         element = block.element
-        terminal.append(FIXED if element.fixed else logit + SURROUNDINGS[element.place])
+        terminal.append(logit + surroundings(element))
         if i:
             steps = element.depth + blocks[i - 1].element.depth - 2 * block.shared
             edges.append((i - 1, i, NEIGHBOURS / max(1, steps)))
@@ -104,10 +120,10 @@ def train(pages: DataFrame, html: str = "html") -> np.ndarray:
         for batch in batches:
             rows, content = [], []
             for page in texts_of(batch.column(0)):
-                known = [b for b in blocks_of(page) if b.element.place == INSIDE or b.element.fixed]
+                known = [b for b in blocks_of(page) if named(b) is not None]
                 for block in known[:: max(1, -(-len(known) // PAGE_BLOCKS))]:
                     rows.append(features(block))
-                    content.append(not block.element.fixed)
+                    content.append(named(block))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.list_(pa.float64())), pa.array(content, pa.bool_())], names=["x", "content"]
             )
