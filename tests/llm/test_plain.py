@@ -1,5 +1,6 @@
 """The parts of the operators that run inside tasks, against brute force."""
 
+import math
 import random
 import re
 import tracemalloc
@@ -61,6 +62,18 @@ def test_vantage_points_lose_no_pair(depth):
     assert np.array_equal(groups.roots(every), expected.roots(every))
 
 
+@pytest.mark.parametrize(("count", "bound"), [(10**5, 6), (10**6, 10), (15 * 10**6, 30)])
+def test_a_random_fingerprint_is_sent_a_bounded_number_of_times(count, bound):
+    rng = np.random.default_rng(1)
+    depth = math.ceil(math.log2(count / max(2048, int(32 * math.sqrt(count)))))
+    sample = np.sort(rng.integers(0, 2**64, simhash.TREE_SAMPLE, dtype=np.uint64))
+    tree = vantage.Tree.fit(sample, depth, 4, count / len(sample), simhash.LEAF_BLOCK)
+    points = rng.integers(0, 2**64, 20_000, dtype=np.uint64)
+    _, leaf, home = tree.route(points)
+    assert home.sum() == len(points)
+    assert tree.blocks[leaf].sum() < bound * len(points)
+
+
 def test_quality_statistics():
     for text in texts(800, 60):
         words = re.findall(r"[^\x20\x09-\x0D]+", text)

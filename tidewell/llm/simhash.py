@@ -7,7 +7,7 @@ linked, and documents are grouped by the connected components of the links.
 Copies meet as one fingerprint before any search, so a group of copies costs its number of distinct
 fingerprints. Distinct fingerprints are dealt out to the leaves of a vantage-point tree; a leaf returns
 one edge per point that has a neighbour there, never all pairs. A leaf that is large is cut into blocks
-and searched block against block.
+and searched block against block; the depth of the tree is the one that needs few visits times blocks.
 
 Defined results: a null text is empty; a text without words has fingerprint zero and is linked like any
 other; rows with a null id are grouped too, and a component with null ids only has a null id; repeated
@@ -37,8 +37,8 @@ SEED = 42
 REACH = 4
 #: Fingerprints from which the tree is fitted: this many are expected, whatever the input. All are indexed.
 TREE_SAMPLE = 1 << 15
-#: Rows of a leaf that one task compares.
-LEAF_BLOCK = 1 << 17
+#: Rows of a leaf in one block; a task compares two (some 130 MB), and a row is sent once for each block of its leaf.
+LEAF_BLOCK = 3 << 19
 SPAN = 1 << 16
 
 

@@ -17,6 +17,10 @@ import numpy as np
 
 DIRECT = 1 << 16
 CELLS = 1 << 21
+#: Groups (leaves, and pairs of blocks of a leaf) that a tree is cut back to at most, so that no core is idle.
+GROUPS = 64
+#: A deeper tree compares fewer points, so it is worth so many times the rows of the cheapest one.
+WORTH = 1.1
 
 
 def distance(points: np.ndarray, vantage) -> np.ndarray:
@@ -64,10 +68,23 @@ class Tree:
                 tree.vantages[node], tree.radii[node] = best_split(points, reach)
             inside = distance(points, tree.vantages[node]) <= tree.radii[node]
             held[2 * node + 1], held[2 * node + 2] = points[inside], points[~inside]
-        _, leaf, _ = tree.route(sample)
-        rows = np.bincount(leaf, minlength=1 << depth) * scale
-        tree.blocks = np.maximum(1, np.ceil(rows / block)).astype(np.int64)
-        return tree
+        return tree._cut(sample, scale, block)
+
+    def _cut(self, sample: np.ndarray, scale: float, block: int) -> Tree:
+        """The tree at the depth that moves few rows: a level less means fewer visits, but more blocks, and every
+        row of a leaf goes to each of its blocks."""
+        trees = []
+        for depth in range(self.depth + 1):
+            nodes = (1 << depth) - 1
+            tree = Tree(self.vantages[:nodes], self.radii[:nodes], depth, self.reach, np.ones(1 << depth, np.int64))
+            rows = np.bincount(tree.route(sample)[1], minlength=1 << depth) * scale
+            tree.blocks = np.maximum(1, np.ceil(rows / block)).astype(np.int64)
+            groups = int((tree.blocks * (tree.blocks + 1) // 2).sum())
+            trees.append((depth, float((rows * tree.blocks).sum()), groups, tree))
+        enough = min(GROUPS, trees[-1][2])
+        wide = [x for x in trees if x[2] >= enough]
+        least = min(x[1] for x in wide)
+        return max((x for x in wide if x[1] <= WORTH * least), key=lambda x: x[0])[3]
 
     def route(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the point, leaf, and whether the leaf is its home, for all leaves that it must visit."""
