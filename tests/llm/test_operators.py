@@ -183,6 +183,63 @@ def test_addresses_at_a_domain_that_begins_with_a_hyphen(spark):
     assert pii.redacted(rows).filter("doc_id = 0").first().text == "[EMAIL]"
 
 
+ADDED = {
+    "email": ["jo at mail dot com", "jo (at) mail (dot) com", "jo[at]mail.com", "jo @ mail.com"],
+    "ip": ["2001:db8::1", "fe80:0:0:0:1:2:3:4", "10[.]20[.]30[.]40"],
+    "card": ["4111.1111.1111.1111", "4111 - 1111 - 1111 - 1111", "3782 822463 10005"],
+    "phone": ["555-123-4567", "(555) 123-4567", "020 7946 0958"],
+}
+REFUSED = [
+    "look at the dot on the page", "meet at noon", "a::b and dead::beef", "12:30:45", "00:1a:2b:3c:4d:5e", "4111.1111.1111.1112",
+    "2021-10-18", "18.10.2021", "1,234,567", "100 200 3000", "version 1.2.3", "x555-123-4567", "10[.]20[.]30[.]400",
+]
+
+
+def test_the_model_adds_planted_spans_and_refuses_others(spark):
+    added = [(kind, text) for kind, texts in ADDED.items() for text in texts]
+    planted = [f"word {text}, word" for text in [text for _, text in added] + REFUSED]
+    both = [f"ann@mail.com and {added[0][1]}; {added[5][1]} \U0001f600 {added[10][1]} " * 40]
+    texts = [(-1 - i, text) for i, text in enumerate(planted + both)]
+    rows = spark.createDataFrame(texts, "doc_id LONG, text STRING").union(whole(spark).select("doc_id", "text"))
+    got = {row.doc_id: row for row in settle(pii.find(rows), "spans").collect()}
+    names = {text: [(pii.KINDS[x.kind], text[x.start : x.end]) for x in got[key].spans] for key, text in texts}
+    for kind, text in added:
+        assert names[f"word {text}, word"] == [(kind, text)]
+    assert {text: names[f"word {text}, word"] for text in REFUSED} == {text: [] for text in REFUSED}
+    # The rest of the table has no such spans, so nothing is added to it.
+    assert all(row.base == row.spans for key, row in got.items() if key >= 0)
+    assert Counter(kind for kind, _ in names[both[0]]) == {"email": 80, "ip": 40, "phone": 40}
+    whole_text = settle(pii.redacted(rows.filter(f"doc_id = {-len(texts)} OR doc_id >= 0")), "clean")
+    assert whole_text.filter("doc_id < 0").first().text == "[EMAIL] and [EMAIL]; [IP] \U0001f600 [PHONE] " * 40
+
+
+def test_spans_are_told_apart_like_one_by_one(spark):
+    rng = np.random.default_rng(5)
+    lists = [[], [(0, 1)], [(0, 5), (5, 9)]]
+    for size in (3, 20, 200, 300):
+        start = rng.integers(0, 8 * size, size)
+        lists.append([(int(a), int(a + b)) for a, b in zip(start, rng.integers(1, 9, size), strict=True)])
+    cases = [(i, base, added) for i, (base, added) in enumerate((x, y) for x in lists for y in lists if y)]
+    kind = "array<struct<kind:int,start:long,end:long>>"
+    as_spans = lambda spans: [(n % 4, *span) for n, span in enumerate(sorted(set(spans)))]
+    rows = spark.createDataFrame([(i, as_spans(b), as_spans(a)) for i, b, a in cases], f"i INT, base {kind}, added {kind}")
+    rows = rows.select("i", pii._apart(pii._in_order(rows.base, rows.added)).alias("free"))
+    got = {row.i: [tuple(x) for x in row.kept] for row in rows.select("i", pii._first_of(rows.free).alias("kept")).collect()}
+    apart = lambda x, y: x[2] <= y[1] or y[2] <= x[1]
+    for i, base, added in cases:
+        free = [x for x in as_spans(added) if all(apart(x, y) for y in as_spans(base))]
+        free.sort(key=lambda x: (x[1], x[0], x[2]))
+        assert got[i] == [x for n, x in enumerate(free) if all(apart(x, y) for y in free[:n])]
+
+
+def test_redaction_overwrites_no_column(spark):
+    names = ["doc_id", "base_0", "spans_0", "order_0", "ends_0", "blocks_0", "added_0", "free_0", "__base", "Text_2"]
+    rows = whole(spark).filter("doc_id < 50").selectExpr(*["doc_id"], *[f"doc_id AS {n}" for n in names[1:]], "text", "n_chars")
+    clean = settle(pii.redacted(rows), "clean")
+    assert clean.columns == rows.columns
+    assert all(len(set(row[: len(names)])) == 1 and row.n_chars == len(row.text) for row in clean.collect())
+
+
 def F_same(a, b):
     from pyspark.sql import functions as F
 
