@@ -1,11 +1,11 @@
 """Quality rules, and an isolation forest over their statistics.
 
 Fixed rules reject very short and very repetitive documents. For the rest, an isolation forest measures
-how easily random splits of five rule statistics separate a document from others; the threshold above
-which a document is rejected is calibrated on labelled rows. The forest is grown from a sample of
-``FOREST_ROWS`` expected rows (trees see 256 each, as isolation forests do) and the threshold comes from
-``LABEL_ROWS`` expected labelled rows, both drawn at random with a fixed seed; every document is measured
-and judged over its whole text.
+how easily random splits of five rule statistics separate a document from others. As in any isolation
+forest, the places of the splits are drawn at random, each tree's within the range of 256 documents drawn from the
+whole table; every document is then counted in every tree, and path lengths come from these counts. The threshold
+above which a document is rejected is calibrated on all labelled rows, exactly. Every document is measured
+and judged over its whole text; counts of texts are written once, so that texts are not read for each step.
 
 Defined results: a null text has no words, so the rules reject it; without labelled rows, or without both
 kinds of them, only the fixed rules decide; labels with null quality are ignored and repeated labels of
@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import texts_of, words
+from tidewell.session import settle
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -32,9 +33,10 @@ WINDOW = 8
 TREES = 128
 TREE_ROWS = 256
 DEPTH = 8
-FOREST_ROWS = 20_000
-LABEL_ROWS = 20_000
+NODES = (1 << (DEPTH + 1)) - 1
 SEED = 17
+#: Stretches of scores in which cuts are counted side by side.
+BINS = 1 << 14
 #: Share of the labelled good documents that pass the rules and that the threshold may cost.
 GOOD_LOST = 0.005
 
@@ -110,14 +112,13 @@ class Forest:
 
     def __init__(self, rows: np.ndarray, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        nodes = (1 << (DEPTH + 1)) - 1
-        self.column = np.zeros((TREES, nodes), np.int64)
-        self.split = np.full((TREES, nodes), np.nan)
-        self.path = np.zeros((TREES, nodes))
+        self.column = np.zeros((TREES, NODES), np.int64)
+        self.split = np.full((TREES, NODES), np.nan)
+        self.path = np.zeros((TREES, NODES))
         self.usual = self._rest(min(TREE_ROWS, len(rows)))
         for tree in range(TREES):
             held = {0: rows[rng.permutation(len(rows))[:TREE_ROWS]]}
-            for node in range(nodes):
+            for node in range(NODES):
                 here = held.pop(node, None)
                 if here is None:
                     continue
@@ -140,15 +141,28 @@ class Forest:
         """Mean depth of a random search tree over n rows."""
         return 0.0 if n < 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
 
-    def score(self, rows: np.ndarray) -> np.ndarray:
+    def leaves(self, rows: np.ndarray) -> Iterator[np.ndarray]:
+        """Of each tree the node in which each row ends."""
         every = np.arange(len(rows))
-        total = np.zeros(len(rows))
-        for column, split, path in zip(self.column, self.split, self.path, strict=True):
+        for column, split in zip(self.column, self.split, strict=True):
             node = np.zeros(len(rows), np.int64)
             for _ in range(DEPTH):
                 cut = split[node]
                 right = rows[every, column[node]] >= cut
                 node = np.where(np.isnan(cut), node, 2 * node + 1 + right)
+            yield node
+
+    def weigh(self, counts: np.ndarray) -> None:
+        """Path lengths from how many of all rows end in each node (trees x nodes)."""
+        share = counts / counts.sum(axis=1, keepdims=True)
+        size = min(TREE_ROWS, int(counts[0].sum()))
+        for tree, node in np.argwhere(counts > 0).tolist():
+            depth = (node + 1).bit_length() - 1
+            self.path[tree, node] = depth + self._rest(size * share[tree, node])
+
+    def score(self, rows: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(rows))
+        for node, path in zip(self.leaves(rows), self.path, strict=True):
             total += path[node]
         return 2.0 ** (-total / (TREES * self.usual)) if self.usual else np.zeros(len(rows))
 
@@ -170,6 +184,37 @@ def threshold(scores: np.ndarray, good: np.ndarray) -> float:
     return float((cuts[best] + above) / 2)
 
 
+def threshold_of(scored: DataFrame) -> float:
+    """``threshold`` of all rows of ``score`` and how many ``good`` and ``bad`` rows have it, by the same rule.
+
+    Rows below a stretch of scores are known from the sums of the stretches; within one they are a running sum. Only
+    stretches that end with few enough good rows lost are looked at more closely.
+    """
+    scored = settle(scored.groupBy("score").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")), "label-scores")
+    place = F.floor(F.col("score") * BINS)
+    bins = scored.groupBy(place.alias("bin")).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    bins = sorted(tuple(row) for row in bins.collect())
+    all_good, all_bad = sum(row[1] for row in bins), sum(row[2] for row in bins)
+    if not all_good or not all_bad:
+        return float("inf")
+    below, good, bad = [], 0, 0
+    for number, more_good, more_bad in bins:
+        if 1 - (good + more_good) / all_good <= GOOD_LOST:
+            below.append((number, good, bad))
+        good, bad = good + more_good, bad + more_bad
+    below = F.broadcast(scored.sparkSession.createDataFrame(below, "bin LONG, good_below LONG, bad_below LONG"))
+    here = Window.partitionBy("bin").orderBy("score")
+    cuts = scored.withColumn("bin", place).join(below, "bin").select(
+        "score",
+        (1 - (F.col("good_below") + F.sum("good").over(here)) / all_good).alias("lost"),
+        (1 - (F.col("bad_below") + F.sum("bad").over(here)) / all_bad).alias("caught"),
+    )
+    cuts = cuts.filter(F.col("lost") <= GOOD_LOST)
+    best = cuts.agg(F.max_by("score", F.struct(F.col("caught") - F.col("lost"), -F.col("score")))).first()[0]
+    above = scored.filter(F.col("score") > best).agg(F.min("score")).first()[0]
+    return best if above is None else (best + above) / 2
+
+
 class Judge:
     """A forest and its threshold; small, and sent to every task."""
 
@@ -177,26 +222,19 @@ class Judge:
         self.forest, self.limit = forest, limit
 
     @classmethod
-    def fit(cls, docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Judge:
-        quality = labels.filter(F.col("quality").isNotNull()).select(
-            F.col("doc_id").alias(key), F.col("quality").alias("good")
-        )
-        # Bounded by LABEL_ROWS, so it can be broadcast.
-        quality = F.broadcast(quality.filter(F.rand(SEED) < LABEL_ROWS / max(1, quality.count())))
-        pairs = docs.select(key).join(quality, key).count()
-        rows = docs.select(key, text)
-        sample = counted(rows.filter(F.rand(SEED) < FOREST_ROWS / max(1, docs.count())), key, text).collect()
-        sample = np.array([row[1:] for row in sample], np.int64).reshape(-1, len(COUNTS))
-        marked = rows.join(quality, key).filter(F.rand(SEED) < LABEL_ROWS / max(1, pairs))
-        known = [row[1:] for row in counted(marked, key, text, "good").collect()]
-        if not len(sample) or not known:
+    def fit(cls, counts: DataFrame, labels: DataFrame, key: str = "doc_id") -> Judge:
+        """From all rows of ``counted`` (written, as it is read more than once) and all labels."""
+        share = TREES * TREE_ROWS / max(1, counts.count())
+        drawn = counts.select(*COUNTS).filter(F.rand(SEED) < share).collect()
+        if not drawn:
             return cls(None, float("inf"))
-        forest = Forest(features(sample))
-        known = np.array(known, np.int64)
-        passing = known[~rules_fail(known)]
-        if not len(passing):
-            return cls(forest, float("inf"))
-        return cls(forest, threshold(forest.score(features(passing)), passing[:, -1] > 0))
+        forest = Forest(features(np.array(sorted(drawn), np.int64)))
+        forest.weigh(mass(counts, forest))
+        good = F.col("quality") > 0
+        marks = labels.filter(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias(key)).agg(
+            F.count_if(good).alias("good"), F.count_if(~good).alias("bad")
+        )
+        return cls(forest, threshold_of(scores(counts, forest, key).join(marks, key).select("score", "good", "bad")))
 
     def kept(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether to keep each row, and its score."""
@@ -207,42 +245,78 @@ class Judge:
         return ~rules_fail(counts) & (scores <= self.limit), scores
 
 
-def counted(docs: DataFrame, key: str, text: str, *more: str) -> DataFrame:
-    """``key``, the counts of the text, and the columns ``more``."""
+def counted(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key`` and the counts of the text, written once."""
     schema = docs.select(key).schema
     for name in COUNTS:
         schema = schema.add(name, "long")
-    for name in more:
-        schema = schema.add(docs.schema[name])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, counts in measured(batches, text):
-            columns = [batch.column(0), *map(pa.array, counts.T), *batch.columns[2:]]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, counts.T)], names=schema.names)
 
-    return docs.select(key, text, *more).mapInArrow(mapped, schema)
+    return settle(docs.select(key, text).mapInArrow(mapped, schema), "text-counts")
+
+
+def numbers(batch: pa.RecordBatch) -> np.ndarray:
+    """The last columns of a batch, the counts, a row per text."""
+    return np.stack([column.to_numpy() for column in batch.columns[-len(COUNTS) :]], axis=1)
+
+
+def mass(counts: DataFrame, forest: Forest) -> np.ndarray:
+    """How many of all rows end in each node of each tree."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((TREES, NODES), np.int64)
+        for batch in batches:
+            for tree, node in enumerate(forest.leaves(features(numbers(batch)))):
+                total[tree] += np.bincount(node, minlength=NODES)
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total.flat[place])], names=["place", "n"])
+
+    rows = counts.select(*COUNTS).mapInArrow(mapped, "place LONG, n LONG").groupBy("place").agg(F.sum("n").alias("n"))
+    total = np.zeros((TREES, NODES), np.int64)
+    for row in rows.collect():
+        total.flat[row["place"]] = row["n"]
+    return total
+
+
+def scores(counts: DataFrame, forest: Forest, key: str) -> DataFrame:
+    """``key`` and ``score`` of the documents that pass the rules."""
+    schema = counts.select(key).schema.add("score", "double")
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = numbers(batch)
+            passing = ~rules_fail(rows)
+            score = forest.score(features(rows[passing]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(passing)), pa.array(score)], names=schema.names)
+
+    return counts.select(key, *COUNTS).mapInArrow(mapped, schema)
 
 
 def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, the counts, ``base_failed``, ``score`` and ``kept`` of every document."""
-    judge = Judge.fit(docs, labels, key, text)
+    written = counted(docs, key, text)
+    judge = Judge.fit(written, labels, key)
     schema = docs.select(key).schema
     for name in COUNTS:
         schema = schema.add(name, "long")
     schema = schema.add("base_failed", "boolean").add("score", "double").add("kept", "boolean")
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, counts in measured(batches, text):
+        for batch in batches:
+            counts = numbers(batch)
             kept, scores = judge.kept(counts)
-            columns = [*counts.T, rules_fail(counts), scores, kept]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], names=schema.names)
+            columns = [rules_fail(counts), scores, kept]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, columns)], names=schema.names)
 
-    return docs.select(key, text).mapInArrow(mapped, schema)
+    return written.mapInArrow(mapped, schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that rules and forest keep, with all their columns."""
-    judge = Judge.fit(docs, labels, key, text)
+    judge = Judge.fit(counted(docs, key, text), labels, key)
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, counts in measured(batches, text):
