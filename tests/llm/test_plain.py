@@ -313,6 +313,22 @@ def test_joined_words_have_the_tokens_of_single_ones():
         assert np.frombuffer(ids, "<u4").tolist() == expected.ids, text
 
 
+def test_latin_texts_are_encoded_whole():
+    encoder = packing.word_tokens("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
+    draw = random.Random(5)
+    chars = "abcdefghijklmnoETA éßñŁ\u023f '’'.,!\n\t\x1c\x85\xa0 019  <|>-"
+    latin = ["".join(draw.choices(chars.replace("’", "").replace("|", ""), k=draw.randrange(80))) for _ in range(3000)]
+    latin += ["", " ", "we've  'S\n\n x ", "zq" * 3000, " \n" * 3000, "\u00ff" * 500, "|<endoftext|>"]
+    other = ["".join(draw.choices(chars + "日Ω\u0240\u024f", k=draw.randrange(80))) for _ in range(500)] + ["a <|endoftext|> b", "\u0240"]
+    encoder.forget()
+    for texts, some in ((latin, False), (latin[::9] + other, True)):
+        plain = encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for text, ids, expected in zip(texts, encoder.encode(texts), plain, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == expected.ids, text
+        assert bool(encoder.now) == some
+    encoder.forget()
+
+
 def plain_score(model, items, start):
     """Log-likelihood of one text, token by token."""
     hidden, size = gru.HIDDEN, model.size

@@ -57,6 +57,8 @@ BLANKS = re.compile(r"\s\s")
 NONE: list[int] = []
 #: Words of characters before this one may be encoded from ranks.
 PLAIN = "\u0250"
+#: UTF-8 of earlier characters than U+0240 has no byte from this one on.
+BEYOND = 0xC9
 #: What ends a sentence, at the end of a word.
 STOPS = (".", "!", "?", "\n")
 
@@ -80,13 +82,14 @@ def rank_encoder(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
 
 
 class WordTokens:
-    """Token ids of texts, word by word, as the byte-level tokenizer gives them for the whole text.
-
-    Its pieces never reach over a space between two visible characters, so the text can be cut before
-    each such space, and equal words are encoded once. With ``ranks``, a file of the same vocabulary, words
-    of Latin letters are encoded by a faster library; others are left to the tokenizer itself, as the two
-    need not agree on what a letter is in every version of Unicode. New words that begin with a space and
-    end with a visible character are encoded many at a time, one after the other as in a text.
+    """Token ids of texts, as the byte-level tokenizer gives them for the whole text.
+
+    With ``ranks``, a file of the same vocabulary, texts of Latin letters are encoded whole by a faster library,
+    which takes less time than to look up their words. Others are encoded word by word, as the two libraries need
+    not agree on what a letter is in every version of Unicode: pieces never reach over a space between two visible
+    characters, so the text can be cut before each such space, and equal words are encoded once, those of Latin
+    letters by the faster library. New words that begin with a space and end with a visible character are encoded
+    many at a time, one after the other as in a text.
     """
 
     def __init__(self, path: str, ranks: str | None = None):
@@ -107,16 +110,26 @@ class WordTokens:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         for begin in range(0, len(texts), 256):
-            block = [self._words(text) for text in texts[begin : begin + 256]]
+            block = texts[begin : begin + 256]
+            cut = [None if self._whole(text) else self._words(text) for text in block]
             if len(self.now) > MEMORY:  # words that were not met since the last time are forgotten
                 self.now, self.old = {}, self.now
-            self._learn(set().union(*block).difference(self.now))
-            for words in block:
-                yield b"".join(map(self.now.__getitem__, words))
+            self._learn(set().union(*filter(None, cut)).difference(self.now))
+            for text, words in zip(block, cut, strict=True):
+                if words is None:
+                    yield pack_ids(self.faster.encode_ordinary(text))
+                else:
+                    yield b"".join(map(self.now.__getitem__, words))
             for word in self.long:
                 del self.now[word]
             self.long.clear()
 
+    def _whole(self, text: str) -> bool:
+        """Whether the faster library may encode the text."""
+        if self.faster is None or "<|" in text:
+            return False
+        return text.isascii() or int(np.frombuffer(text.encode(), np.uint8).max()) < BEYOND
+
     def _learn(self, words: set[str]) -> None:
         unknown, plain = [], []
         for word in words:
