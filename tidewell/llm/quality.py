@@ -115,7 +115,8 @@ class Forest:
         self.column = np.zeros((TREES, NODES), np.int64)
         self.split = np.full((TREES, NODES), np.nan)
         self.path = np.zeros((TREES, NODES))
-        self.usual = self._rest(min(TREE_ROWS, len(rows)))
+        self.size = min(TREE_ROWS, len(rows))
+        self.usual = self._rest(self.size)
         for tree in range(TREES):
             held = {0: rows[rng.permutation(len(rows))[:TREE_ROWS]]}
             for node in range(NODES):
@@ -155,10 +156,9 @@ class Forest:
     def weigh(self, counts: np.ndarray) -> None:
         """Path lengths from how many of all rows end in each node (trees x nodes)."""
         share = counts / counts.sum(axis=1, keepdims=True)
-        size = min(TREE_ROWS, int(counts[0].sum()))
         for tree, node in np.argwhere(counts > 0).tolist():
             depth = (node + 1).bit_length() - 1
-            self.path[tree, node] = depth + self._rest(size * share[tree, node])
+            self.path[tree, node] = depth + self._rest(self.size * share[tree, node])
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         total = np.zeros(len(rows))
@@ -224,8 +224,11 @@ class Judge:
     @classmethod
     def fit(cls, counts: DataFrame, labels: DataFrame, key: str = "doc_id") -> Judge:
         """From all rows of ``counted`` (written, as it is read more than once) and all labels."""
-        share = TREES * TREE_ROWS / max(1, counts.count())
-        drawn = counts.select(*COUNTS).filter(F.rand(SEED) < share).collect()
+        # Drawn by hash, each repeated row once, so that a table has one forest however its files are read.
+        lot = F.xxhash64(F.lit(SEED), key, *COUNTS)
+        distinct = counts.agg(F.approx_count_distinct(lot).alias("n")).first()["n"]
+        bound = min(1 << 32, int((1 << 32) * TREES * TREE_ROWS / max(1, distinct)))
+        drawn = counts.filter(F.pmod(lot, F.lit(1 << 32)) < bound).select(key, *COUNTS).distinct().drop(key).collect()
         if not drawn:
             return cls(None, float("inf"))
         forest = Forest(features(np.array(sorted(drawn), np.int64)))
