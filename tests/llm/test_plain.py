@@ -9,12 +9,14 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from tidewell.llm import bpe, gru, lsh, main_text, packing, quality, sharding, simhash, vantage
+from tidewell.llm import bpe, gru, lm, lsh, main_text, packing, quality, sharding, simhash, vantage
 from tidewell.llm.boosting import boosted, threshold
+from tidewell.llm.common import lower_words
 from tidewell.llm.mincut import source_side
 
 PIECES = ["a", "b", "É", "é", " ", "  ", "\n", "\t", ".", "!", "'s", "<|endoftext|>", "1", "22", "\x1c", "\xa0", "日本"]
@@ -368,3 +370,60 @@ def test_a_long_text_beside_short_ones_takes_no_more_than_its_tokens():
     tracemalloc.stop()
     assert peak < 100e6
     assert np.isfinite(model.score(texts[:255] + [texts[255][:20_000]], 64)).all()
+
+
+def test_a_few_long_texts_make_few_windows():
+    rng = np.random.default_rng(3)
+    model, learnt = gru.Model(np.ones((8, 8))), []
+    texts = [rng.integers(0, 64, 24).astype(np.int32) for _ in range(255)] + [rng.integers(0, 64, 24 * 400).astype(np.int32)]
+    model._learn = lambda before, *rest: learnt.append(before.shape)
+    model.train(texts, 8)
+    assert len(learnt) < 10 and max(steps * streams for steps, streams in learnt) <= 24 * 256
+
+
+def test_sums_by_row():
+    rng = np.random.default_rng(4)
+    rows = np.concatenate([rng.integers(0, 300, 500), np.full(200, 7), np.full(gru.MANY + 1, 311), [317]])
+    values = rng.standard_normal((len(rows) + 1, 5))
+    values[-1] = 0
+    present, sums = gru._sums_by(rows, values, 320)
+    assert sorted(present) == sorted(set(rows))
+    for row, total in zip(present, sums, strict=True):
+        assert np.allclose(total, values[:-1][rows == row].sum(axis=0))
+
+
+def test_texts_are_read_as_words_are_defined():
+    draw = random.Random(2)
+    texts = ["".join(draw.choices("aAbBÉ \t\n\x0b\x0c\r\x1c\x1f\x85\xa0é日　😀", k=draw.randrange(40))) for _ in range(400)]
+    texts += [None, "", " ", "a", " a", "a\n", "zq" * 500]
+    expected = [lower_words(text or "") for text in texts]
+    words, number = lm.words_of(pa.array(texts))
+    assert list(zip(number.tolist(), words.to_pylist(), strict=True)) == [(i, w) for i, found in enumerate(expected) for w in found]
+    count = Counter(word for found in expected[::2] for word in [*found, lm.END])
+    common, rest = count.most_common(40), count.most_common()[40:]
+    groups = {}
+    for word, n in rest:
+        old = groups.get(lm.bucket_of(word), (0, 0))
+        groups[lm.bucket_of(word)] = (old[0] + n, old[1] + 1)
+    known = lm.Vocabulary(common, count.total(), len(count), groups)
+    read, common = known.read(pa.array(texts)), dict(common)
+    rare = Counter()
+    for text, word, n in zip(read.rare_text.tolist(), read.rare.to_pylist(), read.rare_n.tolist(), strict=True):
+        rare[text, word] += n
+    assert rare == Counter((i, word) for i, found in enumerate(expected) for word in found if word not in common)
+    for i, found in enumerate(expected):
+        items = [known.items.get(word, lm.bucket_of(word)) for word in [*found, lm.END]]
+        assert read.items[i].tolist() == items == known.items_of(pa.array(texts))[i].tolist()
+        base = sum(math.log10(common[word] + 0.1) for word in [*found, lm.END] if word in common)
+        assert read.base[i] == pytest.approx(base - len(items) * math.log10(count.total() + 0.1 * (len(count) + 1)))
+        assert read.n_known[i] == sum(word in common for word in [*found, lm.END])
+
+
+def test_runs_hold_every_row_once_in_order():
+    texts = ["x" * n for n in (3, 0, 20, 1, 1, 9, 0, 30, 2)] + [None, "é"]
+    table = pa.table({"id": range(len(texts)), "text": texts})
+    for size in (1, 4, 10, 1000):
+        found = list(lm.runs(iter(table.to_batches(max_chunksize=4)), size))
+        assert [x for run in found for x in run.column(1).to_pylist()] == texts
+        assert all(sum(len((x or "").encode()) for x in run.column(1).to_pylist()[:-1]) < size for run in found)
+        assert len(found) == 1 if size == 1000 else len(found) > 3

@@ -23,19 +23,19 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewell.llm.common import batches_of, crc_bucket, lower_words, texts_of
+from tidewell.llm.common import crc_bucket
 from tidewell.llm.gru import Model
 from tidewell.session import settle
 
@@ -45,12 +45,12 @@ CLASSES = 64
 BUCKETS = 64
 ROUNDS = 3
 SMOOTH = 0.1
-#: Words a task counts before it gives its counts out.
-FLUSH = 400_000
 #: Tokens that a task trains on at least, if there are so many: models of fewer are not worth sending.
 TRAINER_TOKENS = 1_000_000
-#: Characters that are trained on or scored at a time.
-RUN_CHARS = 1 << 23
+#: Bytes of text that are counted, trained on or scored at a time.
+RUN_BYTES = 1 << 23
+#: Rows given out at a time.
+ROWS = 50_000
 PIECES = 8
 LANES = 64
 
@@ -66,26 +66,66 @@ def held_out(key: str):
     return F.coalesce(crc_bucket(key, 10) == 0, F.lit(False))
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after the other, and of each the number of its text.
+
+    Arrow's lower case and white space of ASCII are just those of ``common.lower_words``.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words, text = lists.flatten().cast(pa.binary()), pc.list_parent_indices(lists).to_numpy()
+    # White space at an end of a text leaves an empty word there.
+    some = pc.greater(pc.binary_length(words), 0)
+    return words.filter(some), text[some.to_numpy(zero_copy_only=False)]
+
+
+def runs(batches: Iterator[pa.RecordBatch], size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows again, in batches with about so many bytes of text (last column)."""
+    size = size or RUN_BYTES
+    held, full = [], 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = before = 0
+        # A run ends with the text that fills it.
+        while (cut := int(np.searchsorted(ends, before + size - full)) + 1) <= batch.num_rows:
+            yield pa.concat_batches([*held, batch.slice(start, cut - start)])
+            held, full, start, before = [], 0, cut, int(ends[cut - 1])
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+            full += int(ends[-1]) - before
+    if held:
+        yield pa.concat_batches(held)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word`` and ``n`` over the texts (the only column); each text also has one ``END``."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        for run in runs(batches):
+            counts = words_of(run.column(0))[0].value_counts()
+            words = pa.concat_arrays([counts.field(0), pa.array([END], pa.binary())])
+            n = pa.concat_arrays([counts.field(1), pa.array([run.num_rows], pa.int64())])
+            yield from sliced(pa.RecordBatch.from_arrays([words, n], names=["word", "n"]))
+
+    return texts.mapInArrow(mapped, "word BINARY, n LONG").groupBy("word").agg(F.sum("n").alias("n"))
 
-        def out() -> pa.RecordBatch:
-            words, n = pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())
-            counts.clear()
-            return pa.RecordBatch.from_arrays([words, n], names=["word", "n"])
 
-        for batch in batches:
-            for text in texts_of(batch.column(0)):
-                counts.update(lower_words(text))
-                counts[END] += 1
-                if len(counts) > FLUSH:
-                    yield out()
-        yield out()
+def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, ROWS):
+        yield batch.slice(start, ROWS)
 
-    return texts.mapInArrow(mapped, "word BINARY, n LONG").groupBy("word").agg(F.sum("n").alias("n"))
+
+class Read(NamedTuple):
+    """Of each text its items, what is known of its base score and of its words' shares of their groups, and its
+    known tokens; and the words whose counts are still to be looked up, each with its text and its times there."""
+
+    items: list[np.ndarray]
+    base: np.ndarray
+    share: np.ndarray
+    n_known: np.ndarray
+    rare: pa.Array
+    rare_text: np.ndarray
+    rare_n: np.ndarray
 
 
 class Vocabulary:
@@ -112,37 +152,51 @@ class Vocabulary:
         self.table = table
         self.base_rest = math.log10(total + SMOOTH * (distinct + 1)) if total else math.log10(SMOOTH)
         self.bucket_rest = np.log10(mass + SMOOTH * (kinds + 1))
-        #: Number of each common word; by number: item, log10 of the smoothed count, and log10 of the share
-        #: of its group. The last row stands for words that are not common.
-        self.number = {word: i for i, (word, _) in enumerate(common)}
+        #: The common words; by number: item, log10 of the smoothed count, and log10 of the share of its group.
+        #: The last row stands for words that are not common.
+        self.words = pa.array([word for word, _ in common], pa.binary())
         self.item = np.array([self.items.get(word, bucket_of(word)) for word, _ in common] + [0], np.int32)
         self.log = np.log10(np.array([n + SMOOTH for _, n in common] + [1.0]))
         alone = np.array([word in self.items for word, _ in common] + [True])
         self.share = np.where(alone, 0.0, self.log - self.bucket_rest[np.minimum(self.item, BUCKETS - 1)])
 
-    def _numbers(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.get, tokens, repeat(-1)), np.int64, len(tokens))
-
-    def items_of(self, text: str) -> np.ndarray:
-        return self.read(text)[0]
-
-    def read(self, text: str):
-        """Items of a text, what is known of its base score and of its words' shares of their groups, its
-        known tokens, and the words whose counts are still to be looked up."""
-        tokens = lower_words(text)
-        numbers = self._numbers(tokens)
-        items = np.append(self.item[numbers], np.int32(self.items[END]))
-        base = float(self.log[numbers].sum()) + math.log10(self.counts.get(END, 0) + SMOOTH)
-        share = float(self.share[numbers].sum())
-        rare: Counter[bytes] = Counter()
-        for place in np.nonzero(numbers < 0)[0].tolist():
-            word = tokens[place]
-            bucket = bucket_of(word)
-            items[place] = bucket
-            share -= self.bucket_rest[bucket]
-            rare[word] += 1
-        n_known = len(tokens) - sum(rare.values()) + (END in self.counts)
-        return items, base - len(items) * self.base_rest, share, n_known, rare
+    def _distinct(self, words: pa.Array):
+        """Of each word its number among the distinct ones; these, and their numbers (-1: not common) and items."""
+        coded = words.dictionary_encode()
+        number = pc.fill_null(pc.index_in(coded.dictionary, self.words), -1).to_numpy()
+        item = self.item[number]
+        rare = coded.dictionary.filter(pa.array(number < 0))
+        item[number < 0] = np.fromiter(map(bucket_of, rare.to_pylist()), np.int32, len(rare))
+        return coded.indices.to_numpy(), coded.dictionary, number, item
+
+    def _by_text(self, items: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+        """The items of each text, with its end."""
+        with_end = np.insert(items, np.cumsum(length), self.items[END])
+        return np.split(with_end, np.cumsum(length + 1)[:-1])
+
+    def items_of(self, texts: pa.Array) -> list[np.ndarray]:
+        words, text = words_of(texts)
+        code, _, _, item = self._distinct(words)
+        return self._by_text(item[code], np.bincount(text, minlength=len(texts)))
+
+    def read(self, texts: pa.Array) -> Read:
+        words, text = words_of(texts)
+        code, distinct, number, item = self._distinct(words)
+        length = np.bincount(text, minlength=len(texts))
+        share = np.where(number < 0, -self.bucket_rest[np.minimum(item, BUCKETS - 1)], self.share[number])
+        base = np.bincount(text, self.log[number][code], len(texts)) - (length + 1) * self.base_rest
+        is_rare = (number < 0)[code]
+        pair, n = np.unique(text[is_rare] * len(distinct) + code[is_rare], return_counts=True)
+        rare_text, rare = np.divmod(pair, max(1, len(distinct)))
+        return Read(
+            self._by_text(item[code], length),
+            base + math.log10(self.counts.get(END, 0) + SMOOTH),
+            np.bincount(text, share[code], len(texts)),
+            length - np.bincount(text[is_rare], minlength=len(texts)) + (END in self.counts),
+            distinct.take(pa.array(rare)),
+            rare_text,
+            n,
+        )
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
@@ -175,22 +229,6 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
     return Vocabulary(common, total, distinct, {int(r["bucket"]): (r["n"], r["words"]) for r in rest}), cut
 
 
-def runs(batches: Iterator[pa.RecordBatch], chars: int = RUN_CHARS) -> Iterator[tuple[list[pa.RecordBatch], list[str]]]:
-    """Rows with about so many characters of text (last column): their batches and texts."""
-    held, texts, size = [], [], 0
-    for batch in batches:
-        start = 0
-        for row, text in enumerate(texts_of(batch.column(batch.num_columns - 1))):
-            texts.append(text)
-            size += len(text)
-            if size >= chars:
-                yield [*held, batch.slice(start, row + 1 - start)], texts
-                held, texts, size, start = [], [], 0, row + 1
-        held.append(batch.slice(start))
-    if texts:
-        yield held, texts
-
-
 def trained(texts: DataFrame, model: Model, shared) -> Model:
     """The average of the models that the tasks learn from their texts (the only column)."""
     vector = model.vector()
@@ -200,8 +238,8 @@ def trained(texts: DataFrame, model: Model, shared) -> Model:
         known = shared.value
         own, tokens = Model(known.table), 0
         own.load(start.value)
-        for _, block in runs(batches):
-            items = [known.items_of(text) for text in block]
+        for run in runs(batches):
+            items = known.items_of(run.column(0))
             own.train(items, BUCKETS)
             tokens += sum(map(len, items))
         pieces = np.array_split(own.vector() * np.float32(tokens), PIECES)
@@ -263,21 +301,26 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         own = Model(known.table)
         own.load(final.value)
         row = TaskContext.get().partitionId() << 40
-        for held, block in runs(batches):
-            read = [known.read(text) for text in block]
-            logs = own.score([x[0] for x in read], BUCKETS) / math.log(10)
-            keys = [value for batch in held for value in batch.column(0).to_pylist()]
-            outs = [value for batch in held for value in batch.column(1).to_pylist()]
-
-            def rows(row=row, keys=keys, outs=outs, logs=logs, read=read):
-                for key, out, log, (items, base, share, n_known, rare) in zip(keys, outs, logs, read, strict=True):
-                    yield key, row, out, len(items), n_known, base, float(log) + share, b" %d" % row, 0
-                    for word, n in rare.items():
-                        yield None, row, None, 0, 0, 0.0, 0.0, word, n
-                    row += 1
-
-            yield from batches_of(rows(), arrow)
-            row += len(block)
+        for run in runs(batches):
+            read = known.read(run.column(2))
+            logs = own.score(read.items, BUCKETS) / math.log(10) + read.share
+            rows = np.arange(row, row + run.num_rows)
+            row += run.num_rows
+            n, rare = run.num_rows, len(read.rare)
+            of_texts = (
+                run.column(0), rows, run.column(1), [len(x) for x in read.items], read.n_known, read.base, logs,
+                [b" %d" % number for number in rows.tolist()], np.zeros(n, np.int64),
+            )
+            zeros = np.zeros(rare, np.int64)
+            of_words = (
+                pa.nulls(rare), rows[read.rare_text], pa.nulls(rare), zeros, zeros, zeros, zeros, read.rare, read.rare_n,
+            )
+            for columns in (of_texts, of_words):
+                arrays = [
+                    (column if isinstance(column, pa.Array) else pa.array(column)).cast(field.type)
+                    for column, field in zip(columns, arrow, strict=True)
+                ]
+                yield from sliced(pa.RecordBatch.from_arrays(arrays, schema=arrow))
 
     arrow = to_arrow_schema(schema)
     parts = docs.select(key, held_out(key).alias("held_out"), text).mapInArrow(mapped, schema)
