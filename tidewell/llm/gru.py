@@ -93,7 +93,7 @@ def _log_share(x: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Log of the softmax of each row at one place; ``x`` is used up."""
     _in_range(x)
     picked = x[np.arange(len(x)), place]
-    return picked - np.log(_exp(x))
+    return picked - np.log(np.exp(x, out=x) @ np.ones(x.shape[-1], x.dtype))
 
 
 def _logistic_of_negative(x: np.ndarray) -> None:

@@ -313,7 +313,7 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             )
             zeros = np.zeros(rare, np.int64)
             of_words = (
-                pa.nulls(rare), rows[read.rare_text], pa.nulls(rare), zeros, zeros, zeros, zeros, read.rare, read.rare_n,
+                pa.nulls(rare, arrow[0].type), rows[read.rare_text], pa.nulls(rare), zeros, zeros, zeros, zeros, read.rare, read.rare_n,
             )
             for columns in (of_texts, of_words):
                 arrays = [
